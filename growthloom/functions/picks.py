@@ -35,10 +35,18 @@ def most_frequent(value: Column | str) -> Column:
 
 
 def most_frequent_with_null(value: Column | str) -> Column:
-    """Most frequent value where NULL counts as a value of its own; a tie goes
-    to the smallest value, NULL being the smallest."""
+    """Most frequent value of a string column where NULL counts as a value of
+    its own; a tie goes to the smallest value, NULL being the smallest.
+
+    NULL is encoded as the empty string and every value gets a leading
+    U+0001, so the encoding keeps the order (NULL lowest, values in their own
+    order) and the plain string ``mode`` does the counting. (``mode`` over a
+    struct wrapper gave run-to-run differences when partial buffers merged.)
+    """
     v = _col(value)
-    return F.mode(F.struct(v.alias("v")), deterministic=True)["v"]
+    encoded = F.when(v.isNull(), F.lit("")).otherwise(F.concat(F.lit("\u0001"), v))
+    top = F.mode(encoded, deterministic=True)
+    return F.when(top == "", F.lit(None).cast("string")).otherwise(F.substr(top, F.lit(2)))
 
 
 def approx_top_value(column_name: str) -> Column:
