@@ -6,13 +6,18 @@ from pyspark.sql import SparkSession
 
 # Settings every job needs: calendar dates are taken in UTC, as the
 # warehouse semantics require; AQE re-plans joins and splits skewed
-# partitions at run time; partition overwrite only replaces the partitions
-# a write touches (used by the incremental loader).
+# partitions at run time. The user lookup joins shuffle events by user_id
+# and the aggregates above them reuse that partitioning, so AQE would not
+# split a hot user's partition without ``forceOptimizeSkewedJoin`` (it then
+# adds a shuffle above the split join, after the map-side partial
+# aggregate). Partition overwrite only replaces the partitions a write
+# touches (used by the incremental loader).
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -34,6 +39,7 @@ def build_session(
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.ansi.enabled", "true")
     )
     for key, value in RUNTIME_CONF.items():
