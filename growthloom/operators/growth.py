@@ -105,8 +105,16 @@ def _active_rows(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_
     return ex.groupBy(*keys).agg(*aggs)
 
 
-def _panel(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
-    # Last period over all events (NULL users included), one scalar per job.
+def sequenced_activity(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
+    """Active (user, grain, period index, type) rows with the previous and next
+    active period of the same user and type (``_prev``, ``_next``), the
+    user's first period over all types (``_first_overall``) and the global
+    last period index of the grain (``_last``).
+
+    Partitioned by user_id; windows run within a user, whose rows are
+    bounded by the number of calendar periods.
+    """
+    # Last period over all events (NULL users included), a scalar subquery.
     last_date = fct.select(F.max("event_date")).scalar()
     act = _active_rows(fct, grains, week_start, with_metrics).repartition("user_id")
 
@@ -119,21 +127,35 @@ def _panel(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metric
         first_overall = F.when(grain == g, m) if first_overall is None else first_overall.when(grain == g, m)
     act = act.withColumn("_first_overall", first_overall)
     act = act.withColumn("_prev", F.lag("pidx").over(by_seq)).withColumn("_next", F.lead("pidx").over(by_seq))
+    return act.withColumn("_last", period_index(last_date, grain, week_start))
+
+
+def active_status() -> Column:
+    """Status of an active row from its previous active period."""
+    pidx, prev = F.col("pidx"), F.col("_prev")
+    return (
+        F.when(prev.isNull(), F.lit("new"))
+        .when(prev == pidx - 1, F.lit("retained"))
+        .otherwise(F.lit("resurrected"))
+    )
+
 
-    last_idx = period_index(last_date, grain, week_start)
-    gap_end = F.coalesce(F.col("_next") - F.lit(1), last_idx)
-    rows = act.withColumn("_p", F.explode(F.sequence(F.col("pidx"), gap_end)))
+def gap_end() -> Column:
+    """Last idle period after an active row: up to the next active period, or
+    the global last period."""
+    return F.coalesce(F.col("_next") - F.lit(1), F.col("_last"))
+
+
+def _panel(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
+    act = sequenced_activity(fct, grains, week_start, with_metrics)
+    grain = F.col("period_grain")
+    rows = act.withColumn("_p", F.explode(F.sequence(F.col("pidx"), gap_end())))
 
     pidx, p, prev = F.col("pidx"), F.col("_p"), F.col("_prev")
     active = p == pidx
     prior_active = F.when(active, F.coalesce(prev == pidx - 1, F.lit(False))).otherwise(p == pidx + 1)
     historical = active & F.coalesce(prev < pidx - 1, F.lit(False))
-    status = (
-        F.when(~active, F.lit("churned"))
-        .when(prev.isNull(), F.lit("new"))
-        .when(prev == pidx - 1, F.lit("retained"))
-        .otherwise(F.lit("resurrected"))
-    )
+    status = F.when(~active, F.lit("churned")).otherwise(active_status())
     new_customer = active & (pidx == F.col("_first_overall"))
     cols: list[Column] = [
         F.col("user_id"),

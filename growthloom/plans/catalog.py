@@ -24,6 +24,7 @@ from growthloom.operators.reporting import (
     event_activity_report,
     grouping_report,
     growth_report,
+    growth_report_from_events,
     miles_mix,
     redemption_rate,
     retention_curve,
@@ -148,8 +149,9 @@ def queries() -> dict[str, Query]:
         "growth_features_week": _growth_features("events", "week"),
         "growth_features_month": _growth_features("orders", "month"),
         "growth_features_combined": _growth_features("events", ("day", "week", "month")),
-        "growth_report": lambda s, d: growth_report(_growth_features("events", ("day", "week", "month"))(s, d)),
-        "growth_report_orders": lambda s, d: growth_report(_growth_features("orders", ("week", "month"))(s, d)),
+        "growth_report": lambda s, d: growth_report_from_events(fact(s, d, "events"), users(s, d, "events")),
+        "growth_report_dense": lambda s, d: growth_report(_growth_features("events", ("day", "week", "month"))(s, d)),
+        "growth_report_orders": lambda s, d: growth_report_from_events(fact(s, d, "orders"), users(s, d, "orders"), ("week", "month")),
         "grouping_report_generic": _generic_grouping,
         "cohort_week": lambda s, d: cohort_retention(fact(s, d, "orders"), "week"),
         "cohort_month": lambda s, d: cohort_retention(fact(s, d, "orders"), "month"),
@@ -165,7 +167,7 @@ def queries() -> dict[str, Query]:
         "miles_mix": lambda s, d: miles_mix(fact(s, d, "events")),
         "redemption_rate": lambda s, d: redemption_rate(fact(s, d, "orders")),
         "retention_curve_month": lambda s, d: retention_curve(cohort_retention(fact(s, d, "orders"), "month")),
-        "user_trend": lambda s, d: user_trend(growth_report(_growth_features("orders", ("week", "month"))(s, d))),
+        "user_trend": lambda s, d: user_trend(growth_report_from_events(fact(s, d, "orders"), users(s, d, "orders"), ("week", "month"))),
         "retained_users_30d": _retained_30d,
         "dq_core": _dq_core,
         "dq_marts": _dq_marts,
