@@ -7,7 +7,7 @@ and JIT warm-up, later runs show the steady-state throughput. Prints one
 JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma-separated subset), BENCH_REPEAT (default 2).
+BENCH_QUERIES (comma-separated subset), BENCH_REPEAT (default 3).
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     chosen = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or list(HEADLINE)
 
     from growthloom.session import build_session

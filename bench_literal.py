@@ -1,0 +1,111 @@
+"""Literal plans vs the growthloom plans, both on Spark.
+
+The literal forms are the oracle's SQL (spine range join + max-before join
++ four left joins for the growth panel; eight window subqueries + nine left
+joins for the growth features; one UNION ALL branch per grouping set),
+turned into Spark SQL and run over the same fact and user dimension. Each
+pair is timed through the ``noop`` sink, best of BENCH_REPEAT runs.
+Prints one JSON line. Env: BENCH_SF_DIR, BENCH_CPUS, BENCH_REPEAT,
+BENCH_PAIRS (comma-separated subset; the literal report recomputes the
+whole feature chain once per grouping set, so it is slow beyond sf0.01).
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import re
+import sys
+import tempfile
+import time
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+def to_spark_sql(sql: str) -> str:
+    """DuckDB spellings used by the oracle -> Spark SQL."""
+    sql = re.sub(r"CAST\(unnest\(generate_series\(([^()]*)\)\) AS DATE\)", r"explode(sequence(\1))", sql)
+    sql = re.sub(r"\(([\w.]+) - CAST\(dayofweek\(\1\) AS INTEGER\)\)", r"date_sub(\1, dayofweek(\1) - 1)", sql)
+    sql = sql.replace("AS VARCHAR)", "AS STRING)")
+    return sql
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+
+    from growthloom.session import build_session
+    from growthloom.plans.catalog import fact, users
+    from growthloom.operators.growth import growth_status, growth_user_features
+    from growthloom.operators.reporting import growth_report, growth_report_from_events
+    from oracle import duckdb_sql as O
+
+    spark = build_session(
+        f"local[{cpus}]",
+        app_name="growthloom-bench-literal",
+        shuffle_partitions=cpus * 2,
+        extra={"spark.driver.memory": "16g", "spark.local.dir": tempfile.mkdtemp(prefix="growthloom-lit-")},
+    )
+
+    def literal(source: str, ctes: list[str], select: str):
+        fact(spark, sf_dir, source).createOrReplaceTempView("fct")
+        users(spark, sf_dir, source).createOrReplaceTempView("dimu")
+        return spark.sql(to_spark_sql(O.sql(ctes, select)))
+
+    def gs_literal(source, g):
+        c, n = O.growth_status_ctes(g)
+        return lambda: literal(source, c, f"SELECT * FROM {n}")
+
+    def gf_literal(source, g):
+        c, n = O.growth_feature_ctes(g)
+        return lambda: literal(source, c, f"SELECT * FROM {n}")
+
+    def report_literal(source, grains):
+        c, comb = O.combined_ctes(grains)
+        c.append(f"rpt AS ({O.grouping_sql(comb, O.REPORT_DIMS, O.REPORT_DEFAULTS, O.REPORT_SETS, O.REPORT_METRICS)})")
+        return lambda: literal(source, c, "SELECT * FROM rpt")
+
+    G3 = ("day", "week", "month")
+    pairs = {
+        "growth_status_day_events": (gs_literal("events", "day"), lambda: growth_status(fact(spark, sf_dir, "events"), "day")),
+        "growth_status_month_orders": (gs_literal("orders", "month"), lambda: growth_status(fact(spark, sf_dir, "orders"), "month")),
+        "growth_status_week_orders": (gs_literal("orders", "week"), lambda: growth_status(fact(spark, sf_dir, "orders"), "week")),
+        "growth_features_day_events": (
+            gf_literal("events", "day"),
+            lambda: growth_user_features(fact(spark, sf_dir, "events"), users(spark, sf_dir, "events"), "day"),
+        ),
+        "growth_report_events": (
+            report_literal("events", G3),
+            lambda: growth_report_from_events(fact(spark, sf_dir, "events"), users(spark, sf_dir, "events"), G3),
+        ),
+        "growth_report_dense_events": (
+            report_literal("events", G3),
+            lambda: growth_report(growth_user_features(fact(spark, sf_dir, "events"), users(spark, sf_dir, "events"), G3)),
+        ),
+    }
+
+    def timed(make) -> float:
+        best = None
+        for _ in range(repeat):
+            df = make()
+            t0 = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        return round(best, 3)
+
+    timed(pairs["growth_status_day_events"][1])  # warm-up
+    chosen = [p for p in os.environ.get("BENCH_PAIRS", "").split(",") if p] or list(pairs)
+    out = {}
+    for name in chosen:
+        lit, ours = pairs[name]
+        out[name] = {"literal": timed(lit), "growthloom": timed(ours)}
+        out[name]["speedup"] = round(out[name]["literal"] / out[name]["growthloom"], 2)
+    print(json.dumps({"sf_dir": sf_dir, "cpus": cpus, "repeat": repeat, "pairs": out}))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
