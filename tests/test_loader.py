@@ -69,3 +69,26 @@ def test_full_with_backfill_date(spark):
     out = spark.read.parquet(path)
     assert out.agg(F.min("event_date")).first()[0] == dt.date(2024, 1, 10)
     assert out.count() == stg.filter(F.col("event_date") >= dt.date(2024, 1, 10)).count()
+
+
+def test_raw_reader_formats(spark):
+    import pytest
+
+    from growthloom.operators.staging import stage_events
+    from growthloom.sources.adapters import raw_events
+    from growthloom.sources.raw import read_raw_events
+
+    raw = raw_events(spark, SF_SMALL, "events").withColumn("user_id", F.col("user_id").cast("string"))
+    base = tempfile.mkdtemp(prefix="raw-")
+    ts = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    raw.write.parquet(f"{base}/parquet")
+    raw.write.options(header="true", **ts).csv(f"{base}/csv")
+    raw.write.options(**ts).json(f"{base}/json")
+    expected = stage_events(raw)
+    for fmt, opts in (("parquet", {}), ("csv", {"header": "true", **ts}), ("json", ts)):
+        got = stage_events(read_raw_events(spark, f"{base}/{fmt}", fmt, options=opts))
+        assert got.count() == expected.count()
+        assert got.exceptAll(expected).count() == 0, fmt
+    raw.drop("country").write.parquet(f"{base}/bad")
+    with pytest.raises(ValueError, match="lack columns"):
+        read_raw_events(spark, f"{base}/bad", "parquet")
