@@ -54,10 +54,10 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app_name="growthloom-bench",
-        shuffle_partitions=cpus * 2,
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2)),
         extra={
             "spark.driver.memory": "16g",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "32m"),
             "spark.local.dir": scratch,
         },
     )

@@ -121,6 +121,19 @@ def _dq_marts(spark: SparkSession, d: str) -> DataFrame:
     return run_checks(tables)
 
 
+def _dq_daily(spark: SparkSession, d: str) -> DataFrame:
+    fct, du = fact(spark, d, "events"), users(spark, d, "events")
+    grains = ("day", "week", "month")
+    tables = {
+        "fct_growth_user_features_daily": growth_user_features(fct, du, "day"),
+        "int_user_growth_status_daily": growth_status(fct, "day"),
+        "int_user_features_daily": user_period_features(fct, "day"),
+        "fct_growth_user_features_combined": growth_user_features(fct, du, grains),
+        "fct_user_features_performance": features_performance(user_period_features(fct, grains)),
+    }
+    return run_checks(tables)
+
+
 def _retained_30d(spark: SparkSession, d: str) -> DataFrame:
     fct = fact(spark, d, "events")
     return trailing_active_users(fct, fct.select(F.max("event_date")).scalar(), 30, "transaction")
@@ -171,6 +184,7 @@ def queries() -> dict[str, Query]:
         "retained_users_30d": _retained_30d,
         "dq_core": _dq_core,
         "dq_marts": _dq_marts,
+        "dq_daily": _dq_daily,
         "fact_incremental": _fact_incremental,
         "fact_backfill": _fact_backfill,
     }
