@@ -71,8 +71,9 @@ def cohort_retention(
     )
     group = ["period_grain", "cohort_idx", "engagement_type", "country", "gender"]
     # One row per user and period, so counting rows counts distinct users.
+    # Events without a date have no period and are never retained.
     retention = (
-        up.filter(F.col("user_id").isNotNull())
+        up.filter(F.col("user_id").isNotNull() & F.col("pidx").isNotNull())
         .withColumn("period_number", (F.col("pidx") - F.col("cohort_idx")).cast("bigint"))
         .groupBy(*group, "period_number")
         .agg(F.count(F.lit(1)).alias("retained_users"))
