@@ -10,15 +10,14 @@ from pyspark.sql import SparkSession
 # and the aggregates above them reuse that partitioning, so AQE would not
 # split a hot user's partition without ``forceOptimizeSkewedJoin`` (it then
 # adds a shuffle above the split join, after the map-side partial
-# aggregate). Partition overwrite only replaces the partitions a write
-# touches (used by the incremental loader).
+# aggregate). Partition overwrite mode is set per write (static for full
+# rebuilds, dynamic for partition replacement), never session-wide.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -30,10 +30,11 @@ def write_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Full rebuild. ``cluster_by`` sorts rows within each output file so the
-    parquet min/max statistics can skip row groups on those columns."""
+    """Full rebuild: every existing partition is replaced (static overwrite).
+    ``cluster_by`` sorts rows within each output file so the parquet min/max
+    statistics can skip row groups on those columns."""
     out = df.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else df
-    writer = out.write.mode("overwrite")
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

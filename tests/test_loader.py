@@ -92,3 +92,13 @@ def test_raw_reader_formats(spark):
     raw.drop("country").write.parquet(f"{base}/bad")
     with pytest.raises(ValueError, match="lack columns"):
         read_raw_events(spark, f"{base}/bad", "parquet")
+
+
+def test_full_load_replaces_every_partition(spark):
+    path = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
+    stg = staged(spark, SF_SMALL, "events")
+    load_fact(spark, stg, path, "full")
+    load_fact(spark, stg, path, "full", backfill_start_date="2024-01-20")
+    out = spark.read.parquet(path)
+    assert out.agg(F.min("event_date")).first()[0] == dt.date(2024, 1, 20)
+    assert out.count() == stg.filter(F.col("event_date") >= dt.date(2024, 1, 20)).count()
