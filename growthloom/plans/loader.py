@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthloom.operators.core import as_date_column, fact_events
-from growthloom.sources.sinks import merge_by_key, read_target, replace_partitions, upsert_partitions, write_table
+from growthloom.sources.sinks import (
+    merge_by_key,
+    read_target,
+    replace_partitions_from,
+    upsert_partitions,
+    write_table,
+)
 
 # The published merge key is the timestamp alone, which lets two users'
 # events at one instant collide; the default key here adds user and type.
@@ -93,6 +99,7 @@ def load_fact(
         if read_target(spark, path) is None:
             write_table(fresh, path, FACT_PARTITION, FACT_CLUSTER)
         else:
-            replace_partitions(fresh, path, FACT_PARTITION, FACT_CLUSTER)
+            start = backfill_start_date if isinstance(backfill_start_date, dt.date) else dt.date.fromisoformat(backfill_start_date)
+            replace_partitions_from(spark, fresh, path, FACT_PARTITION[0], start, FACT_CLUSTER)
     else:
         raise ValueError(f"Unknown load mode: {mode}")

@@ -57,6 +57,37 @@ def replace_partitions(
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
+    """Delete the partition folders ``<path>/<column>=<value>`` through the
+    Hadoop file system of the table path."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    for v in values:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{column}={v}"), True)
+
+
+def replace_partitions_from(
+    spark: SparkSession,
+    fresh: DataFrame,
+    path: str,
+    column: str,
+    start,
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Make every partition with ``column >= start`` equal to ``fresh``:
+    partitions present in ``fresh`` are overwritten, the others on or after
+    ``start`` are deleted. Only the list of partition values (one per day)
+    reaches the driver, never rows."""
+    from pyspark.sql import functions as F
+
+    existing = spark.read.parquet(path).select(column).filter(F.col(column) >= F.lit(start)).distinct()
+    stale = [r[0] for r in existing.join(fresh.select(column).distinct(), column, "left_anti").collect()]
+    replace_partitions(fresh, path, [column], cluster_by)
+    drop_partitions(spark, path, column, stale)
+
+
 def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """Upsert as a DataFrame: target rows whose key is not in ``updates``,
     plus ``updates`` (one row per key). NULL keys never match, as in MERGE.

@@ -102,3 +102,14 @@ def test_full_load_replaces_every_partition(spark):
     out = spark.read.parquet(path)
     assert out.agg(F.min("event_date")).first()[0] == dt.date(2024, 1, 20)
     assert out.count() == stg.filter(F.col("event_date") >= dt.date(2024, 1, 20)).count()
+
+
+def test_backfill_drops_days_gone_from_the_source(spark):
+    path = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
+    stg = staged(spark, SF_SMALL, "events")
+    load_fact(spark, stg, path, "full")
+    gone = dt.date(2024, 1, 25)
+    load_fact(spark, stg.filter(F.col("event_date") != gone), path, "backfill", backfill_start_date="2024-01-20")
+    out = spark.read.parquet(path)
+    assert out.filter(F.col("event_date") == gone).count() == 0
+    assert out.count() == stg.filter(F.col("event_date") != gone).count()
