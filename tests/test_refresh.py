@@ -30,6 +30,15 @@ def test_full_build_then_daily_refresh(spark):
     combined = spark.table("fct_cohort_retention_combined")
     assert combined.filter("period_grain = 'week'").count() > 0
     assert _same(spark.read.parquet(f"{wh}/marts/rpt_growth_reporting"), first)
+    weekly = refresh(spark, raw, wh, tag="refresh_weekly")
+    assert weekly == [
+        "int_user_features_weekly", "int_user_growth_status_weekly",
+        "fct_growth_user_features_weekly", "fct_cohort_retention_weekly",
+    ]
+    assert _same(
+        spark.read.parquet(f"{wh}/marts/fct_cohort_retention_weekly"),
+        queries()["cohort_week_events"](spark, SF_SMALL),
+    )
 
 
 def test_tags_from_names():
