@@ -70,7 +70,11 @@ def customer_country(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """customer key -> nation name and market segment.
 
     ``nation`` is a fixed 25-row dimension; Spark broadcasts it on its own
-    from the file size statistics, no hint is needed.
+    from the file size statistics, no hint is needed. The events then join
+    this lookup on user_id as a sort-merge join (AQE may turn it into a
+    broadcast once it has measured the lookup): the aggregates and windows
+    keyed by user downstream reuse that partitioning instead of shuffling
+    again, and AQE splits a hot user's partition.
     """
     return customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(
         nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
