@@ -25,7 +25,7 @@ from growthloom.operators.activity import event_detail_activity
 from growthloom.operators.core import dim_user
 from growthloom.operators.features import features_performance, user_period_features
 from growthloom.operators.growth import growth_status, growth_user_features
-from growthloom.operators.reporting import event_activity_report, growth_report
+from growthloom.operators.reporting import event_activity_report, growth_report_from_events
 from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
 from growthloom.plans.loader import load_fact
@@ -118,8 +118,10 @@ MODELS: list[Model] = [
           _union([f"fct_growth_user_features_{SUFFIX[g]}" for g in GRAINS]), DAILY),
     Model("fct_user_features_performance", "marts", "table",
           lambda c: features_performance(_union([f"int_user_features_{SUFFIX[g]}" for g in GRAINS])(c)), DAILY),
+    # Equal to the report over the combined features, computed from the
+    # active rows: the dense panel tables are not read again.
     Model("rpt_growth_reporting", "marts", "table",
-          lambda c: growth_report(c.ref("fct_growth_user_features_combined")), DAILY),
+          lambda c: growth_report_from_events(c.ref("fct_events"), c.ref("dim_user"), GRAINS, c.week_start), DAILY),
     Model("fct_cohort_retention_weekly", "marts", "table",
           lambda c: cohort_retention(c.ref("fct_events"), "week", week_start=c.week_start)),
     Model("fct_cohort_retention_monthly", "marts", "table",
