@@ -46,3 +46,16 @@ def test_tags_from_names():
     assert tags["int_user_growth_status_weekly"] == ("refresh_weekly",)
     assert tags["fct_cohort_retention_monthly"] == ("refresh_monthly",)
     assert tags["rpt_growth_reporting"] == ("refresh_daily",)
+
+
+def test_command_line_build_and_test(spark, capsys):
+    from growthloom.__main__ import main
+
+    base = tempfile.mkdtemp(prefix="cli-")
+    raw_events(spark, SF_SMALL, "events").write.parquet(f"{base}/raw")
+    assert main(["build", "--raw", f"{base}/raw", "--warehouse", f"{base}/wh"], spark) == 0
+    assert "rpt_growth_reporting" in capsys.readouterr().out
+    # The events table has an "error" event type outside the accepted list.
+    assert main(["test", "--warehouse", f"{base}/wh"], spark) == 1
+    out = capsys.readouterr().out
+    assert "108 checks" in out and "FAIL fct_events.event_type accepted_values" in out
