@@ -6,6 +6,11 @@ BENCH_REPEAT runs per query: the first run of a plan pays code generation
 and JIT warm-up, later runs show the steady-state throughput. Prints one
 JSON line.
 
+Local sizing: 2 shuffle partitions per core, and AQE may coalesce small
+shuffles down to 256 KB per partition (the default 1 MB leaves the
+CPU-heavy aggregates of a few-MB shuffle on a few cores). A cluster sizes
+these for its own data.
+
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma-separated subset), BENCH_REPEAT (default 3).
 """
@@ -58,6 +63,7 @@ def main() -> None:
         extra={
             "spark.driver.memory": "16g",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "32m"),
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": os.environ.get("BENCH_MIN_PARTITION", "256k"),
             "spark.local.dir": scratch,
         },
     )
