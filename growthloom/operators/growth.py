@@ -15,8 +15,9 @@ Plan (no range join, no per-row Python):
    period (or the global last period) as ``churned`` rows: the dense panel
    is generated in place, with no spine cross join and no self joins.
 
-The panel keeps the user partitioning, so joining the user dimension only
-moves the dimension.
+The user dimension is joined to the active rows before the idle periods
+are generated; the active rows keep the user partitioning and order, so
+the join moves and sorts only the dimension.
 """
 
 from __future__ import annotations
@@ -146,8 +147,19 @@ def gap_end() -> Column:
     return F.coalesce(F.col("_next") - F.lit(1), F.col("_last"))
 
 
-def _panel(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
+def _panel(
+    fct: DataFrame,
+    grains: tuple[str, ...],
+    week_start: str,
+    with_metrics: bool,
+    users: DataFrame | None = None,
+) -> DataFrame:
     act = sequenced_activity(fct, grains, week_start, with_metrics)
+    if users is not None:
+        # Join the user attributes to the active rows, before the idle periods
+        # are generated: the join sorts the active rows (already ordered by
+        # user from the window) instead of the much larger dense panel.
+        act = act.join(users.select("user_id", "gender", "country"), "user_id", "left")
     grain = F.col("period_grain")
     rows = act.withColumn("_p", F.explode(F.sequence(F.col("pidx"), gap_end())))
 
@@ -169,6 +181,8 @@ def _panel(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metric
         new_customer.alias("is_new_customer"),
         F.when(new_customer, F.lit("new_customer")).otherwise(F.lit("existing_customer")).alias("customer_status"),
     ]
+    if users is not None:
+        cols += [F.col("gender"), F.col("country")]
     if with_metrics:
         for a in ATTRIBUTES:
             for kind in ("first", "primary"):
@@ -200,9 +214,8 @@ def growth_user_features(
     platform, utm_source, event_type and transaction_category (NULLs skipped;
     ties go to the smaller value). Churned rows carry 0 and NULL.
     """
-    panel = _panel(fct, _grains(grain), week_start, with_metrics=True)
-    dims = users.select("user_id", "gender", "country")
-    return panel.join(dims, "user_id", "left").select(*GROWTH_FEATURE_COLUMNS)
+    panel = _panel(fct, _grains(grain), week_start, with_metrics=True, users=users)
+    return panel.select(*GROWTH_FEATURE_COLUMNS)
 
 
 def growth_user_features_combined(fct: DataFrame, users: DataFrame, week_start: str = "sunday") -> DataFrame:
