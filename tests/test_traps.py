@@ -149,3 +149,20 @@ def test_report_from_events_equals_dense(trap_fct, trap_staged):
     assert {(r.period_start, r.users) for r in churned.collect()} == {
         (D(2025, 3, 30), 1), (D(2025, 3, 31), 2), (D(2025, 4, 1), 2), (D(2025, 4, 2), 2)
     }
+
+
+def test_dashboard_measures(trap_fct):
+    from growthloom.operators.reporting import miles_mix, redemption_rate, retention_curve, trailing_active_users
+
+    mix = {(r.event_type, r.transaction_category): r for r in miles_mix(trap_fct).collect()}
+    assert mix[("miles_earned", "shopping")].share_of_type == 1.0
+    assert mix[("miles_redeemed", "flight")].miles_amount == Decimal("40")
+    rate = redemption_rate(trap_fct).collect()[0]
+    assert rate.miles_earned == Decimal("100.5") and rate.miles_redeemed == Decimal("40")
+    assert abs(rate.redemption_rate - 40 / 100.5) < 1e-12
+    curve = {(r.engagement_type, r.period_number): r for r in retention_curve(cohort_retention(trap_fct, "month")).collect()}
+    assert curve[("all", 1)].retention_rate == 1.0 and curve[("transaction", 1)].retained_users == 1
+    # transactions on 03-30 (u1) and 04-01 (u1): one user in the window ending 04-02
+    t = trailing_active_users(trap_fct, "2025-04-02", 30).collect()[0]
+    assert (t.as_of, t.window_days, t.retained_users) == (D(2025, 4, 2), 30, 1)
+    assert trailing_active_users(trap_fct, "2025-04-02", 1, None).collect()[0].retained_users == 2
