@@ -139,8 +139,6 @@ def default_checks() -> list[Check]:
 
 # --- runner -----------------------------------------------------------------
 
-_SUMMARY_SCHEMA = "table_name string, column_name string, check_name string, failing_rows bigint"
-
 
 def _row_level_counts(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     """not_null and accepted_values checks of one table in a single scan."""
@@ -173,6 +171,19 @@ def _count_as_row(ch: Check, rows: DataFrame) -> DataFrame:
     )
 
 
+def _unique_count(ch: Check, df: DataFrame) -> DataFrame:
+    """Rows whose value is repeated, counted from the group sizes (no join
+    back to the table)."""
+    groups = df.filter(F.col(ch.column).isNotNull()).groupBy(ch.column).agg(F.count(F.lit(1)).alias("_n"))
+    total = groups.filter(F.col("_n") > 1).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failing_rows"))
+    return total.select(
+        F.lit(ch.table).alias("table_name"),
+        F.lit(ch.column).alias("column_name"),
+        F.lit(ch.kind).alias("check_name"),
+        "failing_rows",
+    )
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] | None = None) -> DataFrame:
     """(table_name, column_name, check_name, failing_rows) for every check
     whose table is given. ``failing_rows`` counts the rows the check's
@@ -183,6 +194,8 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] | None =
     for ch in chosen:
         if ch.kind in ("not_null", "accepted_values"):
             by_table.setdefault(ch.table, []).append(ch)
+        elif ch.kind == "unique":
+            parts.append(_unique_count(ch, tables[ch.table]))
         else:
             parts.append(_count_as_row(ch, failures(ch, tables)))
     for table, group in by_table.items():

@@ -166,3 +166,11 @@ def test_dashboard_measures(trap_fct):
     t = trailing_active_users(trap_fct, "2025-04-02", 30).collect()[0]
     assert (t.as_of, t.window_days, t.retained_users) == (D(2025, 4, 2), 30, 1)
     assert trailing_active_users(trap_fct, "2025-04-02", 1, None).collect()[0].retained_users == 2
+
+
+def test_unique_check_counts_repeated_rows(spark):
+    from growthloom.operators.quality import Check, run_checks, unique_failures
+
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,), (3,), (3,)], "k int")
+    out = run_checks({"t": df}, [Check("t", "k", "unique")]).collect()[0]
+    assert out.failing_rows == 5 == unique_failures(df, "k").count()
