@@ -24,6 +24,22 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if table_exists(spark, path) else None
 
 
+def _laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    """Rows ordered for the writer.
+
+    With partition or cluster columns, rows are range-partitioned on
+    (partition columns, cluster columns) and sorted within each task. Each
+    task then writes a contiguous key range: a file per table partition it
+    touches rather than a file per partition per task. A large date spreads
+    over several tasks, and the files are sorted on the cluster columns so
+    parquet min/max statistics can skip row groups.
+    """
+    keys = [*partition_by, *cluster_by]
+    if not keys:
+        return df
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -31,10 +47,8 @@ def write_table(
     cluster_by: Sequence[str] = (),
 ) -> None:
     """Full rebuild: every existing partition is replaced (static overwrite).
-    ``cluster_by`` sorts rows within each output file so the parquet min/max
-    statistics can skip row groups on those columns."""
-    out = df.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else df
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    See ``_laid_out`` for the file layout."""
+    writer = _laid_out(df, partition_by, cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -48,9 +62,8 @@ def replace_partitions(
 ) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition
     overwrite); other partitions are left as they are."""
-    out = df.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else df
     (
-        out.write.mode("overwrite")
+        _laid_out(df, partition_by, cluster_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
