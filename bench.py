@@ -21,7 +21,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -55,7 +54,6 @@ def main() -> None:
     from growthloom.session import build_session
     from growthloom.plans.catalog import queries
 
-    scratch = tempfile.mkdtemp(prefix="growthloom-bench-")
     spark = build_session(
         f"local[{cpus}]",
         app_name="growthloom-bench",
@@ -64,7 +62,6 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "32m"),
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": os.environ.get("BENCH_MIN_PARTITION", "256k"),
-            "spark.local.dir": scratch,
         },
     )
     qs = queries()

@@ -16,7 +16,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -46,7 +45,7 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="growthloom-bench-literal",
         shuffle_partitions=cpus * 2,
-        extra={"spark.driver.memory": "16g", "spark.local.dir": tempfile.mkdtemp(prefix="growthloom-lit-")},
+        extra={"spark.driver.memory": "16g"},
     )
 
     def literal(source: str, ctes: list[str], select: str):
