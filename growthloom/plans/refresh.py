@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from growthloom.functions.periods import GRAINS
 from growthloom.operators.activity import event_detail_activity
-from growthloom.operators.core import dim_user
+from growthloom.operators.core import dim_user, fact_events
 from growthloom.operators.features import features_performance, user_period_features
 from growthloom.operators.growth import growth_status, growth_user_features
 from growthloom.operators.reporting import event_activity_report, growth_report_from_events
@@ -165,3 +165,33 @@ def refresh(
             ctx.frames[model.name] = spark.read.parquet(ctx.path(model))
         built.append(model.name)
     return built
+
+
+class _LazyContext(Context):
+    """Context whose models are DataFrames built on demand, never written."""
+
+    backfill_start_date: str | dt.date | None = None
+
+    def ref(self, name: str) -> DataFrame:
+        if name not in self.frames:
+            model = MODELS_BY_NAME[name]
+            if model.materialized == "fact":
+                df = fact_events(self.ref("stg_event_stream"), self.backfill_start_date)
+            else:
+                df = model.build(self)
+            self.frames[name] = df
+        return self.frames[name]
+
+
+def lazy_models(
+    spark: SparkSession,
+    raw: DataFrame,
+    backfill_start_date: str | dt.date | None = None,
+    week_start: str = "sunday",
+) -> dict[str, DataFrame]:
+    """Every model as a lazy DataFrame over ``raw``, nothing written (the
+    fact is the full load on or after ``backfill_start_date``)."""
+    ctx = _LazyContext(spark, raw, "", week_start)
+    ctx.backfill_start_date = backfill_start_date
+    return {m.name: ctx.ref(m.name) for m in MODELS}
+

@@ -59,3 +59,13 @@ def test_command_line_build_and_test(spark, capsys):
     assert main(["test", "--warehouse", f"{base}/wh"], spark) == 1
     out = capsys.readouterr().out
     assert "108 checks" in out and "FAIL fct_events.event_type accepted_values" in out
+
+
+def test_lazy_models_equal_registered_queries(spark):
+    from growthloom.plans.refresh import lazy_models
+
+    frames = lazy_models(spark, raw_events(spark, SF_SMALL, "events"))
+    assert set(frames) == {m.name for m in MODELS}
+    assert _same(frames["rpt_growth_reporting"], queries()["growth_report"](spark, SF_SMALL))
+    assert _same(frames["rpt_event_activity"], queries()["event_activity"](spark, SF_SMALL))
+    assert _same(frames["int_user_growth_status_daily"], queries()["growth_status_day"](spark, SF_SMALL))
