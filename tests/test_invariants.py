@@ -50,3 +50,24 @@ def test_report_country_sums_to_overall(spark):
 def test_growth_feature_grain_unique(spark):
     gf = queries()["growth_features_combined"](spark, SF_SMALL)
     assert gf.count() == gf.select("user_id", "period_grain", "period_start", "engagement_type").distinct().count()
+
+
+@pytest.mark.parametrize(
+    "name, keys",
+    [
+        ("user_features_day", ["user_id", "reporting_date", "period_grain"]),
+        ("user_features_month", ["user_id", "reporting_date", "period_grain"]),
+        ("features_performance", ["reporting_date", "period_grain", "user_type", "country", "gender",
+                                  "first_utm_source", "first_event_type", "first_transaction_category", "first_platform",
+                                  "primary_utm_source", "primary_event_type", "primary_transaction_category", "primary_platform"]),
+        ("event_activity", ["period_start", "period_grain", "user_flag_of_period_grain", "country", "gender",
+                            "transaction_category", "platform", "utm_source", "event_type"]),
+        ("growth_report", ["aggregation_granularity", "period_start", "period_grain", "engagement_type", "growth_status",
+                           "country", "gender", "event_type", "utm_source", "platform", "transaction_category"]),
+        ("user_activity_week", ["period_start", "engagement_type", "user_id"]),
+        ("dim_user_orders", ["user_id"]),
+    ],
+)
+def test_grain_is_unique(spark, name, keys):
+    df = queries()[name](spark, SF_SMALL)
+    assert df.count() == df.select(*keys).distinct().count()
