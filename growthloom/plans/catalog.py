@@ -165,6 +165,9 @@ def queries() -> dict[str, Query]:
         "growth_report": lambda s, d: growth_report_from_events(fact(s, d, "events"), users(s, d, "events")),
         "growth_report_dense": lambda s, d: growth_report(_growth_features("events", ("day", "week", "month"))(s, d)),
         "growth_report_orders": lambda s, d: growth_report_from_events(fact(s, d, "orders"), users(s, d, "orders"), ("week", "month")),
+        # Day grain over years of orders: the dense panel would be users x days;
+        # the report from events only follows the active rows.
+        "growth_report_orders_day": lambda s, d: growth_report_from_events(fact(s, d, "orders"), users(s, d, "orders"), ("day",)),
         "grouping_report_generic": _generic_grouping,
         "cohort_week": lambda s, d: cohort_retention(fact(s, d, "orders"), "week"),
         "cohort_month": lambda s, d: cohort_retention(fact(s, d, "orders"), "month"),
