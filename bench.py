@@ -29,6 +29,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 HEADLINE = (
     "growth_report",
     "growth_report_orders",
+    "growth_report_orders_day",
     "growth_status_day",
     "growth_status_week_orders",
     "growth_status_month",
