@@ -187,7 +187,13 @@ def _unique_count(ch: Check, df: DataFrame) -> DataFrame:
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] | None = None) -> DataFrame:
     """(table_name, column_name, check_name, failing_rows) for every check
     whose table is given. ``failing_rows`` counts the rows the check's
-    failing-row query returns."""
+    failing-row query returns.
+
+    Each table is read once for its NULL / accepted-value checks, once per
+    uniqueness check and once per relationship. Pass materialized tables,
+    as ``python -m growthloom test`` does. A table given as an unmaterialized
+    plan is recomputed by each of those reads.
+    """
     chosen = [c for c in (checks or default_checks()) if c.table in tables and (c.to_table is None or c.to_table in tables)]
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
