@@ -46,6 +46,21 @@ def _norm(v, tolerant: bool):
     return v
 
 
+_SPARK_TYPES = {"int": "int32", "bigint": "int64", "double": "float64", "string": "str", "boolean": "bool",
+                "date": "date", "timestamp": "ts", "timestamp_ntz": "ts"}
+_DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "str", "BOOLEAN": "bool",
+               "DATE": "date", "TIMESTAMP": "ts"}
+
+
+def spark_type(t: str) -> str:
+    return _SPARK_TYPES.get(t.lower(), t.lower().replace(" ", ""))
+
+
+def duck_type(t) -> str:
+    t = str(t).upper()
+    return t.lower().replace(" ", "") if t.startswith("DECIMAL") else _DUCK_TYPES.get(t, t)
+
+
 def bag(rows, cols, order, tolerant):
     idx = [cols.index(c) for c in order]
     return Counter(tuple(_norm(r[i], tolerant) for i in idx) for r in rows)
@@ -55,16 +70,21 @@ def compare(spark, con, name, fn, oracle, sf_dir):
     t0 = time.time()
     df = fn(spark, sf_dir)
     s_cols = df.columns
+    s_types = {c: spark_type(t) for c, t in df.dtypes}
     s_rows = [tuple(r) for r in df.collect()]
     t1 = time.time()
     if oracle is None:
         return dict(name=name, rows=len(s_rows), oracle=None, spark_s=t1 - t0)
     res = con.sql(oracle)
     d_cols = [c[0] for c in res.description]
+    d_types = {c: duck_type(t) for c, t in zip(res.columns, res.types)}
     d_rows = res.fetchall()
     t2 = time.time()
     out = dict(name=name, rows=len(s_rows), oracle_rows=len(d_rows), spark_s=t1 - t0, duck_s=t2 - t1)
     out["cols_equal"] = sorted(s_cols) == sorted(d_cols)
+    out["types_equal"] = s_types == d_types
+    if not out["types_equal"]:
+        out["types"] = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
     if not out["cols_equal"]:
         out["cols"] = (s_cols, d_cols)
         return out
@@ -101,7 +121,7 @@ def main(argv):
         bad += 0 if ok else 1
         print(
             f"{name:30s} {'OK ' if ok else 'BAD'} rows={r['rows']} oracle_rows={r.get('oracle_rows')} "
-            f"exact={r.get('exact')} tol={r.get('tolerant')} spark={r['spark_s']:.1f}s duck={r.get('duck_s', 0):.1f}s"
+            f"exact={r.get('exact')} tol={r.get('tolerant')} types={r.get('types_equal')} spark={r['spark_s']:.1f}s duck={r.get('duck_s', 0):.1f}s"
             + (f"\n    cols={r['cols']}" if "cols" in r else "")
             + (f"\n    only_spark={r['only_spark']}\n    only_duck={r['only_duck']}" if "only_spark" in r else ""),
             flush=True,

@@ -30,6 +30,7 @@ def test_query_matches_oracle(spark, con, name):
         assert r["rows"] > 0
         return
     assert r["cols_equal"], r.get("cols")
+    assert r["types_equal"], r.get("types")
     assert r["rows"] == r["oracle_rows"]
     assert r["exact"], (r.get("only_spark"), r.get("only_duck"))
 
