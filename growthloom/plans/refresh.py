@@ -110,7 +110,8 @@ DAILY = ("refresh_daily",)
 MODELS: list[Model] = [
     Model("stg_event_stream", "staging", "view", lambda c: stage_events(c.raw), DAILY),
     Model("fct_events", "core", "fact", None, DAILY, ("event_date",), ("user_id",)),
-    Model("dim_user", "core", "table", lambda c: dim_user(c.ref("stg_event_stream")), DAILY, (), ("user_id",)),
+    Model("dim_user", "core", "table", lambda c: dim_user(c.ref("stg_event_stream")), DAILY,
+          ("first_seen_date",), ("user_id",)),
     Model("int_event_detail_activity", "intermediate", "table",
           lambda c: event_detail_activity(c.ref("fct_events"), c.week_start), DAILY),
     *_grain_models(),
