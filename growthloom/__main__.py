@@ -23,7 +23,6 @@ from growthloom.operators.quality import run_checks
 from growthloom.plans.refresh import MODELS, Context, refresh
 from growthloom.session import apply_runtime_conf
 from growthloom.sources.raw import read_raw_events
-from growthloom.sources.sinks import read_target
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -56,7 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     for m in MODELS:
         if m.materialized == "view":
             continue
-        df = read_target(spark, ctx.path(m))
+        df = m.read(spark, ctx.path(m))
         if df is not None:
             tables[m.name] = df
     if "fct_growth_user_features_daily" in tables and "fct_growth_user_features_weekly" in tables and "fct_growth_user_features_monthly" in tables:

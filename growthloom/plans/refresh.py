@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from growthloom.functions.periods import GRAINS
 from growthloom.operators.activity import event_detail_activity
-from growthloom.operators.core import dim_user, fact_events
+from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS, dim_user, fact_events
 from growthloom.operators.features import features_performance, user_period_features
 from growthloom.operators.growth import growth_status, growth_user_features
 from growthloom.operators.reporting import event_activity_report, growth_report_from_events
@@ -43,6 +43,13 @@ class Model:
     tags: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    # Declared column order of a partitioned table (parquet lists partition
+    # columns last when the table is read back).
+    columns: tuple[str, ...] = ()
+
+    def read(self, spark: SparkSession, path: str) -> DataFrame | None:
+        df = read_target(spark, path)
+        return df.select(*self.columns) if df is not None and self.columns else df
 
     @property
     def all_tags(self) -> tuple[str, ...]:
@@ -70,7 +77,7 @@ class Context:
         if model.materialized == "view":
             df = model.build(self)
         else:
-            df = read_target(self.spark, self.path(model))
+            df = model.read(self.spark, self.path(model))
             if df is None:
                 raise ValueError(f"{name} has not been built yet in {self.warehouse}")
         self.frames[name] = df
@@ -109,9 +116,9 @@ DAILY = ("refresh_daily",)
 
 MODELS: list[Model] = [
     Model("stg_event_stream", "staging", "view", lambda c: stage_events(c.raw), DAILY),
-    Model("fct_events", "core", "fact", None, DAILY, ("event_date",), ("user_id",)),
+    Model("fct_events", "core", "fact", None, DAILY, ("event_date",), ("user_id",), FACT_COLUMNS),
     Model("dim_user", "core", "table", lambda c: dim_user(c.ref("stg_event_stream")), DAILY,
-          ("first_seen_date",), ("user_id",)),
+          ("first_seen_date",), ("user_id",), DIM_USER_COLUMNS),
     Model("int_event_detail_activity", "intermediate", "table",
           lambda c: event_detail_activity(c.ref("fct_events"), c.week_start), DAILY),
     *_grain_models(),
@@ -160,10 +167,10 @@ def refresh(
             df.createOrReplaceTempView(model.name)
         elif model.materialized == "fact":
             load_fact(spark, ctx.ref("stg_event_stream"), ctx.path(model), fact_mode, backfill_start_date)
-            ctx.frames[model.name] = spark.read.parquet(ctx.path(model))
+            ctx.frames[model.name] = model.read(spark, ctx.path(model))
         else:
             write_table(model.build(ctx), ctx.path(model), model.partition_by, model.cluster_by)
-            ctx.frames[model.name] = spark.read.parquet(ctx.path(model))
+            ctx.frames[model.name] = model.read(spark, ctx.path(model))
         built.append(model.name)
     return built
 

@@ -69,3 +69,18 @@ def test_lazy_models_equal_registered_queries(spark):
     assert _same(frames["rpt_growth_reporting"], queries()["growth_report"](spark, SF_SMALL))
     assert _same(frames["rpt_event_activity"], queries()["event_activity"](spark, SF_SMALL))
     assert _same(frames["int_user_growth_status_daily"], queries()["growth_status_day"](spark, SF_SMALL))
+
+
+def test_built_tables_keep_their_column_order(spark):
+    from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS
+    from growthloom.plans.refresh import Context
+
+    wh = tempfile.mkdtemp(prefix="wh-")
+    raw = raw_events(spark, SF_SMALL, "events")
+    refresh(spark, raw, wh)
+    # Plain parquet reads list the partition column last ...
+    assert spark.read.parquet(f"{wh}/core/dim_user").columns[-1] == "first_seen_date"
+    # ... the models are read back in their declared order.
+    ctx = Context(spark, raw, wh)
+    assert tuple(ctx.ref("dim_user").columns) == DIM_USER_COLUMNS
+    assert tuple(ctx.ref("fct_events").columns) == FACT_COLUMNS
