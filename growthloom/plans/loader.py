@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from growthloom.operators.core import as_date_column, fact_events
 from growthloom.sources.sinks import (
     merge_by_key,
+    one_per_key,
     read_target,
     replace_partitions_from,
     upsert_partitions,
@@ -53,7 +54,7 @@ def merged_fact(
 ) -> DataFrame:
     """The fact after an incremental run, as a DataFrame (no write)."""
     batch = incremental_batch(staged, target, backfill_start_date)
-    return batch.dropDuplicates(list(key)) if target is None else merge_by_key(target, batch, key)
+    return one_per_key(batch, key) if target is None else merge_by_key(target, batch, key)
 
 
 def backfilled_fact(

@@ -108,11 +108,26 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> D
     Both sides are shuffled on the key; no side is broadcast, so neither
     size is assumed.
     """
-    fresh = updates.dropDuplicates(list(key))
+    fresh = one_per_key(updates, key)
     kept = target.join(fresh.select(*key), list(key), "left_anti")
     return kept.unionByName(fresh)
 
 
+def one_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key: the largest of the rows sharing it (deterministic,
+    so a rerun picks the same row). An aggregate, so copies of one event
+    combine map-side however many there are; only when a column has no
+    ordering (maps) does it fall back to an arbitrary row."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import MapType
+
+    others = [c for c in df.columns if c not in key]
+    if not others or any(isinstance(f.dataType, MapType) for f in df.schema.fields):
+        return df.dropDuplicates(list(key))
+    best = df.groupBy(*key).agg(F.max(F.struct(*others)).alias("_row"))
+    return best.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def upsert_partitions(
     spark: SparkSession,
     updates: DataFrame,
@@ -132,7 +147,7 @@ def upsert_partitions(
     """
     target = read_target(spark, path)
     if target is None:
-        write_table(updates.dropDuplicates(list(key)), path, partition_by, cluster_by)
+        write_table(one_per_key(updates, key), path, partition_by, cluster_by)
         return
     touched = updates.select(*partition_by).distinct()
     affected = target.join(touched, list(partition_by), "left_semi")
