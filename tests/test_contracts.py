@@ -35,3 +35,9 @@ def test_contract_reports_drift(trap_fct):
     assert res.missing == ["user_flag_daily"]
     res = column_contract(trap_fct.select("event_ts", "user_id"), ["user_id", "event_ts"])
     assert res.out_of_order and not res.ok
+
+
+def test_top_level_api():
+    import growthloom
+
+    assert all(callable(getattr(growthloom, name)) for name in growthloom.__all__)
