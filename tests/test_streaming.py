@@ -30,5 +30,10 @@ def test_stream_equals_batch(spark):
     got = spark.read.parquet(fact_path)
     expected = fact_events(stage_events(raw))
     cols = sorted(expected.columns)
-    assert got.count() == expected.count()
-    assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
+    try:
+        assert got.count() == expected.count()
+        assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
+    finally:
+        # A cached plan would be substituted into later tests' reads of the
+        # same tables and hide their scan-level pushdown.
+        raw.unpersist()
