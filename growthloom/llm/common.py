@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,15 +66,16 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
 
 
 class Vocabulary(dict):
-    """word (bytes) -> running number; ``hashes[number]`` is the word's 64-bit hash.
+    """word (bytes) -> running number; ``hashes[number]`` is ``code(word)``, by default a 64-bit hash.
 
     Lives for one task; ``trim`` empties it once it holds ``limit`` words, so
     its memory is bounded whatever the corpus holds.
     """
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 400_000, code: Callable[[bytes], int] = xxhash.xxh64_intdigest):
         super().__init__()
         self.limit = limit
+        self.code = code
         self.words: list[bytes] = []
         self.hashes = np.zeros(1 << 12, np.uint64)
 
@@ -83,7 +84,7 @@ class Vocabulary(dict):
         self.words.append(word)
         if n >= len(self.hashes):
             self.hashes = np.concatenate([self.hashes, np.zeros(len(self.hashes), np.uint64)])
-        self.hashes[n] = xxhash.xxh64_intdigest(word)
+        self.hashes[n] = self.code(word)
         return n
 
     def trim(self) -> bool:

@@ -17,8 +17,10 @@ shares no bucket with probability (1 - 0.8^5)^25 = 5e-5. Then
    decides;
 2. linked texts form components; only pairs of a bucket that are still in
    different components, and of lengths that allow the similarity, are then
-   verified the same way. So every pair that shares a bucket is decided,
-   without all pairs of a group being made.
+   verified the same way. In crowded buckets such pairs must also share a
+   shingle of their prefixes, rare shingles first, as any pair of that
+   similarity does. So every pair that shares a bucket is decided, without
+   all pairs of a group being made.
 
 Copies are folded first (texts by MD5), so a group of copies is one node.
 
@@ -44,6 +46,10 @@ WIDTH, BANDS, ROWS = 5, 25, 5
 #: Components: a prime, so that i -> a * i + b visits each of them once; the last two are unused.
 SIZE = 127
 FLOOR = 0.6
+#: Rows beside a bucket's largest component up to which they are paired directly.
+CROWD = 32
+#: Frequent shingles that prefixes put last.
+HOT = 1 << 16
 #: Shingles that are sketched together, to bound a task's memory.
 TOGETHER = 400_000
 
@@ -170,6 +176,14 @@ def _similar(threshold: float):
     return run
 
 
+def _shingles_of(needed: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(k, shingles): the sorted distinct shingles of the texts ``needed`` (k), in the shared folder."""
+    # One row of each text is enough: the one that stands for its copies.
+    whose = nodes.select("k", "id").join(needed, "k")
+    chosen = texts.join(whose, (texts["k"] == whose["k"]) & texts["id"].eqNullSafe(whose["id"]), "left_semi")
+    return scratch_table(chosen.select("k", "text").mapInArrow(_shingle_sets, "k binary, shingles binary").dropDuplicates(["k"]), "shingles")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Those of ``pairs`` (a, b) that are linked, written to the shared folder."""
     k = "binary"
@@ -181,11 +195,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: f
         .mapInArrow(_likely, f"a {k}, b {k}"),
         "likely",
     )
-    needed = likely.select(F.col("a").alias("k")).unionByName(likely.select(F.col("b").alias("k"))).distinct()
-    # One row of each text is enough: the one that stands for its copies.
-    whose = nodes.select("k", "id").join(needed, "k")
-    chosen = texts.join(whose, (texts["k"] == whose["k"]) & texts["id"].eqNullSafe(whose["id"]), "left_semi")
-    sets = scratch_table(chosen.select("k", "text").mapInArrow(_shingle_sets, f"k {k}, shingles binary").dropDuplicates(["k"]), "shingles")
+    sets = _shingles_of(likely.select(F.col("a").alias("k")).unionByName(likely.select(F.col("b").alias("k"))).distinct(), texts, nodes)
     return scratch_table(
         likely.join(sets.select(F.col("k").alias("b"), F.col("shingles").alias("tb")), "b")
         .join(sets.select(F.col("k").alias("a"), F.col("shingles").alias("ta")), "a")
@@ -195,6 +205,70 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: f
     )
 
 
+def _differing(placed: DataFrame, crowd: int | None = CROWD) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, k, n, label, size) of keys that hold several labels, with ``main``,
+    the key's largest component; apart: those of keys with over ``crowd`` rows beside it."""
+    several = (
+        placed.groupBy("key")
+        .agg(F.max(F.struct("size", "label")).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("lo != hi")
+        .select("key", F.col("main.label").alias("main"))
+    )
+    rows = placed.join(several, "key")
+    if crowd is None:
+        return rows, rows.limit(0)
+    beside = rows.where("label != main").groupBy("key").agg(F.count(F.lit(1)).alias("beside"))
+    rows = scratch_table(rows.join(beside, "key"), "differing")
+    return rows.where(F.col("beside") <= crowd).drop("beside"), rows.where(F.col("beside") > crowd).drop("beside")
+
+
+def _cross_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a key's rows with different labels and sizes that allow the similarity."""
+    # Similar sets have similar sizes: floor(log size) differs by one step at most.
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9)
+    x = rows.where("label != main").select("key", F.explode(F.array(level - 1, level, level + 1)).alias("level"), F.col("k").alias("xk"), F.col("n").alias("xn"), F.col("label").alias("xl"))
+    y = rows.select("key", level.alias("level"), F.col("k").alias("yk"), F.col("n").alias("yn"), F.col("label").alias("yl"), "main")
+    return (
+        x.join(y, ["key", "level"])
+        .where("xl != yl and (yl = main or xk < yk)")
+        .where(F.least("xn", "yn") >= threshold * F.greatest("xn", "yn"))
+        .select(F.least("xk", "yk").alias("a"), F.greatest("xk", "yk").alias("b"))
+    )
+
+
+def _prefixes(members: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(key, k, n, label, size) for each shingle ``key`` of a member's prefix.
+
+    Two sets of similarity t share a shingle among the first n - ceil(t n) + 1
+    of each, in whatever order all sets follow. Frequent shingles come last in
+    this one, so a passage that many texts share brings no pairs. The list of
+    the HOT most frequent only shapes that order; any list gives all pairs.
+    """
+    sets = _shingles_of(members.select("k"), texts, nodes)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
+            value, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(value[n > 2]), pa.array(n[n > 2])], names=["s", "n"])
+
+    top = sets.select("shingles").mapInArrow(counted, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(HOT)
+    hot = np.sort(np.array([r.s for r in top.collect()], np.int64))  # HOT values at most
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.column(1).to_pylist():
+                s = np.frombuffer(x, np.int64)
+                length = len(s) - int(np.ceil(threshold * len(s) - 1e-9)) + 1
+                out.append(s[np.argsort(np.isin(s, hot), kind="stable")[:length]])
+            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+            flat = np.concatenate(out) if out else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["k", "prefix"])
+
+    return sets.mapInArrow(prefix, "k binary, prefix array<long>").join(members, "k").select(F.explode("prefix").alias("key"), "k", "n", "label", "size")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """One row per document: (id, class_id, n_copies); see the module's text.
 
@@ -223,23 +297,20 @@ def _with_class(docs: DataFrame, id_col: str, text_col: str, threshold: float) -
     labels = connected_components(linked)
     # What still differs inside a bucket is compared with the rest of it.
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    placed = (
+    placed = scratch_table(
         shared.select("bucket", "k", "n")
         .join(labels.withColumnRenamed("node", "k"), "k", "left")
         .join(sizes, "label", "left")
-        .select("bucket", "k", "n", F.coalesce("label", "k").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+        .select(F.col("bucket").alias("key"), "k", "n", F.coalesce("label", "k").alias("label"), F.coalesce("size", F.lit(1)).alias("size")),
+        "placed",
     )
-    mixed_buckets = placed.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket", F.col("main.label").alias("main"))
-    open_rows = scratch_table(placed.join(mixed_buckets, "bucket").select("bucket", "k", "n", "label", "main"), "open")
-    # Similar sets have similar sizes: floor(log size) differs by one step at most.
-    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9)
-    x = open_rows.where("label != main").select("bucket", F.explode(F.array(level - 1, level, level + 1)).alias("level"), F.col("k").alias("xk"), F.col("n").alias("xn"), F.col("label").alias("xl"))
-    y = open_rows.select("bucket", level.alias("level"), F.col("k").alias("yk"), F.col("n").alias("yn"), F.col("label").alias("yl"), "main")
+    few, crowded = _differing(placed)
+    # Members of crowded buckets meet again by a shared shingle of their prefixes.
+    members = crowded.select("k", "n", "label", "size").distinct()
+    again = scratch_table(_prefixes(members, texts, nodes, threshold), "prefixes")
     rest = (
-        x.join(y, ["bucket", "level"])
-        .where("xl != yl and (yl = main or xk < yk)")
-        .where(F.least("xn", "yn") >= threshold * F.greatest("xn", "yn"))
-        .select(F.least("xk", "yk").alias("a"), F.greatest("xk", "yk").alias("b"))
+        _cross_pairs(few, threshold)
+        .unionByName(_cross_pairs(_differing(again, crowd=None)[0], threshold))
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
