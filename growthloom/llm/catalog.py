@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from growthloom.llm.common import read_table
 from growthloom.llm.host_rules import host_rules
+from growthloom.llm.latent_search import contaminated
 from growthloom.llm.prob_minhash import near_duplicates
 
 
+def op2_latent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -21,4 +26,4 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_prob_minhash, op8_host_rules)}
+    return {f.__name__: f for f in (op2_latent_search, op7_prob_minhash, op8_host_rules)}
