@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from growthloom.llm.common import read_table
 from growthloom.llm.host_rules import host_rules
 from growthloom.llm.latent_search import contaminated
+from growthloom.llm.mixing import source_mix
 from growthloom.llm.prob_minhash import near_duplicates
+from growthloom.llm.sharding import shards
+
+
+def op1_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix(read_table(spark, sf_dir, "documents"))
 
 
 def op2_latent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(read_table(spark, sf_dir, "documents"))
+
+
 def op7_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -26,4 +36,4 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_latent_search, op7_prob_minhash, op8_host_rules)}
+    return {f.__name__: f for f in (op1_subset_sum_mix, op2_latent_search, op6_extendible_shards, op7_prob_minhash, op8_host_rules)}

@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _with_class(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(one row per document, one row per distinct text: k, class_id)."""
+    """(one row per document, one row per distinct text: k, label, class_id, n_copies)."""
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))).alias("k"), F.col(f"`{text_col}`").alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, k binary, n long, sketch binary, bands array<long>"
@@ -319,10 +319,28 @@ def _with_class(docs: DataFrame, id_col: str, text_col: str, threshold: float) -
         labels = connected_components(linked.unionByName(more))
     by_text = nodes.select("k", "id", "copies").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
     classes = by_text.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("copies").alias("n_copies"))
-    classes = scratch_table(by_text.join(classes, "label").select("k", "class_id", "n_copies"), "classes")
+    classes = scratch_table(by_text.join(classes, "label").select("k", "label", "class_id", "n_copies"), "classes")
     out = (
         rows.select("id", "k", "n")
         .join(classes, "k", "left")
         .select(F.col("id").alias(id_col), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"), F.when(F.col("n") > 0, F.col("n_copies")).otherwise(F.lit(1)).cast("long").alias("n_copies"))
     )
     return out, classes
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates, with their columns.
+
+    Of each class the document with the least id stays (a null id is greater
+    than others; then the least text by MD5, then the least row by hash).
+    Documents without shingles all stay.
+    """
+    keyed = docs.withColumn("__k", F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary")))).withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    rows, classes = _with_class(docs.select(id_col, text_col), id_col, text_col, threshold)
+    del rows
+    narrow = keyed.select(F.col(f"`{id_col}`").alias("__id"), "__k", "__h").join(classes.select(F.col("k").alias("__k"), "label"), "__k")
+    first = narrow.groupBy("label").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__k", "__h")).alias("f")).select(F.col("f.__h").alias("__h"), F.col("f.__k").alias("__k"))
+    # Rows alike in every column are one row, so that one of them stays.
+    kept = keyed.join(first, ["__h", "__k"], "left_semi").dropDuplicates(["__h", "__k"])
+    bare = keyed.join(classes.select(F.col("k").alias("__k")), "__k", "left_anti")
+    return kept.select(*docs.columns).unionByName(bare.select(*docs.columns))
