@@ -11,7 +11,9 @@ from growthloom.llm.host_rules import host_rules
 from growthloom.llm.latent_search import contaminated
 from growthloom.llm.mixing import source_mix
 from growthloom.llm.prob_minhash import near_duplicates
+from growthloom.llm.secret_ledger import secrets
 from growthloom.llm.sharding import shards
+from growthloom.llm.url_filter import url_verdicts
 
 
 def op1_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +24,14 @@ def op2_latent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(read_table(spark, sf_dir, "pages")).drop("score")
+
+
+def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op6_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(read_table(spark, sf_dir, "documents"))
 
@@ -36,4 +46,4 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_subset_sum_mix, op2_latent_search, op6_extendible_shards, op7_prob_minhash, op8_host_rules)}
+    return {f.__name__: f for f in (op1_subset_sum_mix, op2_latent_search, op3_url_markov, op4_secret_ledger, op6_extendible_shards, op7_prob_minhash, op8_host_rules)}
