@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from growthloom.llm.boosted_toxicity import toxicity_scores
 from growthloom.llm.common import read_table
+from growthloom.llm.factor_quality import quality_scores
 from growthloom.llm.host_rules import host_rules
 from growthloom.llm.latent_search import contaminated
 from growthloom.llm.mixing import source_mix
 from growthloom.llm.prob_minhash import near_duplicates
 from growthloom.llm.secret_ledger import secrets
 from growthloom.llm.sharding import shards
+from growthloom.llm.token_file import round_trip
 from growthloom.llm.url_filter import url_verdicts
 
 
@@ -32,6 +35,10 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op5_factor_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(read_table(spark, sf_dir, "documents"))
 
@@ -45,5 +52,22 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules(read_table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op9_directly_addressable(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
+    return round_trip(read_table(spark, sf_dir, "documents"), path, end_id=2)
+
+
+def op10_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_subset_sum_mix, op2_latent_search, op3_url_markov, op4_secret_ledger, op6_extendible_shards, op7_prob_minhash, op8_host_rules)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_subset_sum_mix, op2_latent_search, op3_url_markov, op4_secret_ledger, op5_factor_quality,
+            op6_extendible_shards, op7_prob_minhash, op8_host_rules, op9_directly_addressable, op10_boosted_toxicity,
+        )
+    }

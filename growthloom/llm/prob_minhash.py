@@ -11,10 +11,10 @@ documents agree in a component with probability J_p.
 ``BANDS`` bands of ``ROWS`` components make buckets. At similarity 0.8 a pair
 shares no bucket with probability (1 - 0.8^5)^25 = 5e-5. Then
 
-1. every distinct text of a bucket is paired with the bucket's least text, the
-   sketches discard pairs whose estimate is below ``FLOOR`` (over five standard
-   deviations under 0.8), and the Jaccard similarity of the whole shingle sets
-   decides;
+1. every distinct text of a bucket is paired with the bucket's most central
+   text (whose buckets hold most texts), the sketches discard pairs whose
+   estimate is below ``FLOOR`` (over four standard deviations under 0.8), and
+   the Jaccard similarity of the whole shingle sets decides;
 2. linked texts form components; only pairs of a bucket that are still in
    different components, and of lengths that allow the similarity, are then
    verified the same way. In crowded buckets such pairs must also share a
@@ -45,7 +45,7 @@ from growthloom.llm.components import connected_components
 WIDTH, BANDS, ROWS = 5, 25, 5
 #: Components: a prime, so that i -> a * i + b visits each of them once; the last two are unused.
 SIZE = 127
-FLOOR = 0.6
+FLOOR = 0.65
 #: Rows beside a bucket's largest component up to which they are paired directly.
 CROWD = 32
 #: Frequent shingles that prefixes put last.
@@ -290,9 +290,13 @@ def _with_class(docs: DataFrame, id_col: str, text_col: str, threshold: float) -
     )
     texts = texts.where(F.col("k").isNotNull())
     buckets = nodes.select(F.explode("bands").alias("bucket"), "k", "n")
-    leaders = buckets.groupBy("bucket").agg(F.min("k").alias("a"), F.max("k").alias("z")).where("a != z").select("bucket", "a")
-    shared = scratch_table(buckets.join(leaders, "bucket"), "buckets")
-    first = scratch_table(shared.where("a != k").select("a", F.col("k").alias("b")).distinct(), "pairs")
+    held = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = scratch_table(buckets.join(held, "bucket"), "shared")
+    # The text whose buckets hold most is the likeliest source of a group of near copies.
+    central = shared.groupBy("k").agg(F.sum("held").alias("central"))
+    leaders = shared.select("bucket", "k").join(central, "k").groupBy("bucket").agg(F.max(F.struct("central", "k")).alias("m")).select("bucket", F.col("m.k").alias("a"))
+    shared = scratch_table(shared.select("bucket", "k", "n").join(leaders, "bucket"), "buckets")
+    first = scratch_table(shared.where("a != k").select(F.least("a", "k").alias("a"), F.greatest("a", "k").alias("b")).distinct(), "pairs")
     linked = _verified(first, texts, nodes, threshold)
     labels = connected_components(linked)
     # What still differs inside a bucket is compared with the rest of it.
