@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from growthloom.llm.sharding import LIMIT_BYTES
+
 #: Each document once, with a row number (ids may be null or repeat).
 _DOCS = "d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents)"
 
@@ -46,5 +48,125 @@ FROM m JOIN judged USING (rid)
 """
 
 
+def _op3() -> str:
+    """Counts of runs of 1 to 5 characters, then one probability table per length from the one before."""
+    sql = r"""
+WITH parts AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM parts),
+said AS (
+  SELECT *, CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS verdict,
+    ('0x' || substr(md5(host || path), 1, 4))::INT % 5 = 0 AS held FROM ruled),
+runs AS (
+  SELECT rid, verdict, held, length(host || path) + 1 AS n, unnest(list_transform(range(1, length(host || path) + 2),
+    lambda i: substr(repeat(chr(2), 4) || host || path || chr(3), i, 5))) AS run FROM said),
+g AS (
+  SELECT run, count(*) FILTER (WHERE verdict = 'allow' AND NOT held) AS a, count(*) FILTER (WHERE verdict = 'block' AND NOT held) AS b
+  FROM runs GROUP BY run)"""
+    for k in range(5):
+        before = "(1.0::DOUBLE / 256)" if k == 0 else "below.{0}"
+        join = "" if k == 0 else f" JOIN p{k - 1} AS below ON below.g = substr(c.g, 2)"
+        sql += f""",
+c{k} AS (SELECT right(run, {k + 1}) AS g, sum(a) AS a, sum(b) AS b FROM g GROUP BY 1),
+x{k} AS (SELECT left(g, {k}) AS ctx, sum(a) AS na, sum(b) AS nb, count(*) FILTER (WHERE a > 0) AS ta, count(*) FILTER (WHERE b > 0) AS tb FROM c{k} GROUP BY 1),
+p{k} AS (
+  SELECT c.g, CASE WHEN na > 0 THEN (a + ta * {before.format('pa')}) / (na + ta) ELSE {before.format('pa')} END AS pa,
+    CASE WHEN nb > 0 THEN (b + tb * {before.format('pb')}) / (nb + tb) ELSE {before.format('pb')} END AS pb
+  FROM c{k} AS c JOIN x{k} AS x ON x.ctx = left(c.g, {k}){join})"""
+    return sql + """,
+score AS (SELECT rid, any_value(verdict) AS verdict, any_value(held) AS held, sum(ln(pa) - ln(pb)) / any_value(n) AS s FROM runs JOIN p4 ON p4.g = run GROUP BY rid),
+m AS (SELECT verdict, avg(s) AS mean, sqrt(greatest(avg(s * s) - avg(s) * avg(s), 0)) + 1e-9 AS spread FROM score WHERE held AND verdict IS NOT NULL GROUP BY verdict),
+bound AS (SELECT (l.mean * r.spread + r.mean * l.spread) / (l.spread + r.spread) AS v FROM (SELECT * FROM m WHERE verdict = 'allow') AS l, (SELECT * FROM m WHERE verdict = 'block') AS r)
+SELECT page_id, host, path, rule, coalesce(said.verdict, CASE WHEN coalesce(s >= (SELECT v FROM bound), true) THEN 'allow' ELSE 'block' END) AS verdict
+FROM said JOIN score USING (rid)
+"""
+
+
+def _op4() -> str:
+    kinds = [
+        ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        ("access", r"AKIA[A-Z0-9]+", 0, 20),
+        ("hex", r"[0-9a-f]+", 0, 24),
+        ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+        ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+        ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+        ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 1),
+        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ]
+    parts = [
+        f"""SELECT rid, {o} AS o, '{kind}' AS kind, {least} AS least, regexp_extract_all(text, '{pattern}') AS found,
+      regexp_extract_all(text, '{pattern}', {group}) AS grouped, string_split_regex(text, '{pattern}') AS pieces FROM d"""
+        for o, (kind, pattern, group, least) in enumerate(kinds)
+    ]
+    return f"""
+WITH {_DOCS},
+lists AS ({' UNION ALL '.join(parts)}),
+flat AS (
+  SELECT rid, o, kind, least, generate_subscripts(found, 1) AS n, length(unnest(found)) AS f, length(unnest(grouped)) AS g,
+    length(unnest(pieces[:len(found)])) AS p FROM lists WHERE len(found) > 0),
+ends AS (SELECT *, sum(p + f) OVER (PARTITION BY rid, o ORDER BY n) AS e FROM flat),
+spans AS (SELECT rid, o, kind, (e - f)::BIGINT AS s, kind || ':' || (e - f)::BIGINT || ':' || e::BIGINT AS t FROM ends WHERE g >= least),
+per_doc AS (
+  SELECT rid, count(*) FILTER (WHERE o = 0) AS n_assign, count(*) FILTER (WHERE o = 1) AS n_access, count(*) FILTER (WHERE o = 2) AS n_hex,
+    string_agg(t, ',' ORDER BY s, o) FILTER (WHERE o < 3) AS base, string_agg(t, ',' ORDER BY s, o) AS spans FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_doc USING (rid)
+"""
+
+
+def op6(limit: int) -> str:
+    """Bytes under every prefix of every length at once; a document's bucket is the shortest that fits."""
+    return f"""
+WITH {_DOCS},
+h AS (
+  SELECT rid, doc_id, strlen(text) AS bytes, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(text)), 1, 15))::BIGINT AS h FROM d),
+sums AS (
+  SELECT depth, h >> (60 - depth) AS q, sum(bytes)::BIGINT AS shard_bytes, count(*)::BIGINT AS shard_docs
+  FROM h, range(0, 61) AS t(depth) GROUP BY ALL HAVING sum(bytes) <= {limit} OR count(*) = 1),
+leaf AS (
+  SELECT rid, min(depth) AS depth, arg_min(shard_bytes, depth) AS shard_bytes, arg_min(shard_docs, depth) AS shard_docs
+  FROM h JOIN sums ON q = h >> (60 - depth) GROUP BY rid),
+alike AS (
+  SELECT rid, doc_id, bytes, h, greatest(1, {limit} // bytes) AS room, row_number() OVER (PARTITION BY h ORDER BY rid) - 1 AS n, count(*) OVER (PARTITION BY h) AS every
+  FROM h WHERE rid NOT IN (SELECT rid FROM leaf))
+SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> (60 - depth)), depth::INT, '0') END AS shard, depth::INT AS depth, shard_bytes, shard_docs
+FROM h JOIN leaf USING (rid)
+UNION ALL
+SELECT doc_id, lpad(bin(h), 60, '0') || '+' || (n // room + 1), 60, least(room, every - (n // room) * room) * bytes, least(room, every - (n // room) * room) FROM alike
+"""
+
+
+OP7 = rf"""
+WITH RECURSIVE {_DOCS},
+lists AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+sh AS (
+  SELECT DISTINCT rid, unnest(list_transform(range(1, greatest(len(ws) - 3, 2)), lambda i: array_to_string(ws[i:i + 4], ' '))) AS g
+  FROM lists WHERE len(ws) > 0),
+sizes AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+common AS (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM sh AS x JOIN sh AS y ON x.g = y.g AND x.rid < y.rid GROUP BY ALL),
+linked AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.rid = a JOIN sizes AS y ON y.rid = b WHERE c >= 0.8::DOUBLE * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, e.b FROM reach AS r JOIN edges AS e ON r.b = e.a)
+SELECT x.doc_id, min(y.doc_id) AS class_id, count(*) AS n_copies
+FROM reach JOIN d AS x ON x.rid = a JOIN d AS y ON y.rid = b GROUP BY a, x.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_host_rules": OP8}
+    return {
+        "op3_url_markov": _op3(),
+        "op4_secret_ledger": _op4(),
+        "op6_extendible_shards": op6(LIMIT_BYTES),
+        "op7_prob_minhash": OP7,
+        "op8_host_rules": OP8,
+    }
