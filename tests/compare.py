@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import os
 import sys
 import time
 from collections import Counter
@@ -104,7 +105,7 @@ def main(argv):
     import __spark_entry__ as E
     from growthloom.session import build_session
 
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session(f"local[{os.environ.get('COMPARE_CPUS', '8')}]", shuffle_partitions=8)
     con = duck(sf_dir)
     oracles = E.oracle_sql()
     bad = 0
