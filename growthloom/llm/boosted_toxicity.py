@@ -28,7 +28,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import Vocabulary, scratch_table, text_bytes
+from growthloom.llm.common import Vocabulary, picked, scratch_table, text_bytes
 from growthloom.llm.labels import fold_of, training_rows
 
 TRAIN_ROWS = 20_000
@@ -159,14 +159,15 @@ def _calibrated(m: Column, bounds: list[float], values: list[float]) -> Column:
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, held_out, score, predicted."""
-    ident = F.col(f"`{id_col}`")
-    rows = training_rows(docs.select(ident.alias(id_col), F.col(f"`{text_col}`").alias("text")), labels, label_col, ("text",), TRAIN_ROWS, id_col)
+    docs = picked(docs, **{id_col: id_col, "text": text_col})
+    ident = F.col(id_col)
+    rows = training_rows(docs, labels, label_col, ("text",), TRAIN_ROWS, id_col)
     counts = {r.label > 0: r.n for r in rows.groupBy((F.col("label") > 0).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_bad, n_good = counts.get(True, 0), counts.get(False, 0)
     held = (fold_of(ident) == 0).alias("held_out")
     if not n_bad or not n_good:
         flat = F.lit(1.0 if n_bad else 0.0)
-        return docs.select(ident.alias(id_col), held, flat.alias("score"), (flat >= PREDICT).cast("int").alias("predicted"))
+        return docs.select(id_col, held, flat.alias("score"), (flat >= PREDICT).cast("int").alias("predicted"))
     # The calibration rows take no part in the lexicon and the trees.
     apart = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(4)) == 0
     rows = rows.withColumn("label", (F.col("label") > 0).cast("double"))
@@ -181,7 +182,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     margins = _margin(model, inputs.where("apart") if not rest.isEmpty() else inputs)
     isotonic = IsotonicRegression(featuresCol="m", labelCol="label").fit(margins)
     bounds, values = (list(map(float, x.toArray())) for x in (isotonic.boundaries, isotonic.predictions))
-    scored = _margin(model, _vectors(docs.select(ident.alias("id"), F.col(f"`{text_col}`").alias("text")), lexicon, ("id",)))
+    scored = _margin(model, _vectors(docs.select(ident.alias("id"), "text"), lexicon, ("id",)))
     # A whisker of the margin keeps the order within a step.
     score = 0.998 * _calibrated(F.col("m"), bounds, values) + 0.002 / (1 + F.exp(-2 * F.col("m")))
     return scored.select(F.col("id").alias(id_col), (fold_of(F.col("id")) == 0).alias("held_out"), score.alias("score"), (score >= PREDICT).cast("int").alias("predicted"))

@@ -53,6 +53,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1...: whatever they were called, names can't clash with a working column's."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def restored(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``positional(like)`` in ``df`` under their own names again."""
+    return df.select(*[f"c{i}" for i in range(len(like.columns))]).toDF(*like.columns)
+
+
+def picked(df: DataFrame, **columns: str) -> DataFrame:
+    """Only the named columns of ``df``, under new names; by exact name, first come first."""
+    where = {new: f"c{df.columns.index(old)}" for new, old in columns.items()}
+    return positional(df).select(*[F.col(c).alias(new) for new, c in where.items()])
+
+
 def word_count(text):
     """Number of words of a text column (null: 0), as a Spark expression."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import Vocabulary, text_bytes
+from growthloom.llm.common import Vocabulary, picked, text_bytes
 from growthloom.llm.labels import fold_of, training_rows
 
 BUCKETS = 1 << 16
@@ -165,8 +165,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     """One row per document: id, held_out, score, predicted."""
     machine = fit_quality(docs, labels, label_col, id_col, text_col, length_col)
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # BUCKETS x FACTORS floats
-    declared = F.col(f"`{length_col}`").cast("double") if length_col else F.lit(None).cast("double")
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), declared.alias("d"), F.col(f"`{text_col}`").alias("t"))
+    if length_col:
+        rows = picked(docs, id=id_col, d=length_col, t=text_col).withColumn("d", F.col("d").cast("double"))
+    else:
+        rows = picked(docs, id=id_col, t=text_col).select("id", F.lit(None).cast("double").alias("d"), "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, fm = Vocabulary(), shared.value

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import Vocabulary, scratch_table, text_bytes
+from growthloom.llm.common import Vocabulary, picked, positional, restored, scratch_table, text_bytes
 
 SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 BLANKS = np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8)
@@ -169,17 +169,19 @@ def host_rates(measures: DataFrame, host_col: str = "source") -> DataFrame:
 def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                trust: float = 0.002, bad: float = 0.9) -> DataFrame:
     """One row per document: measures, ``base_failed``, the host's rates and ``kept``."""
-    measures = scratch_table(measured(docs, text_col, (id_col, host_col)), "measures")
-    return judged(measures, host_rates(measures, host_col), host_col, trust, bad)
+    rows = picked(docs, c0=id_col, c1=host_col, c2=text_col)
+    measures = scratch_table(measured(rows, "c2", ("c0", "c1")), "measures")
+    return judged(measures, host_rates(measures, "c1"), "c1", trust, bad).withColumnsRenamed({"c0": id_col, "c1": host_col})
 
 
 def kept_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source",
                    trust: float = 0.002, bad: float = 0.9) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns. Texts aren't
     shuffled: they are measured again next to the rates of the hosts."""
-    columns = tuple(docs.columns)
-    rates = scratch_table(host_rates(measured(docs, text_col, (host_col,)), host_col), "host-rates")
-    return judged(measured(docs, text_col, columns), rates, host_col, trust, bad).where("kept").select(*columns)
+    frame = positional(docs)
+    text, host = (f"c{docs.columns.index(c)}" for c in (text_col, host_col))
+    rates = scratch_table(host_rates(measured(frame, text, (host,)), host), "host-rates")
+    return restored(judged(measured(frame, text, tuple(frame.columns)), rates, host, trust, bad).where("kept"), docs)
 
 
 def judged(measures: DataFrame, rates: DataFrame, host_col: str = "source", trust: float = 0.002, bad: float = 0.9) -> DataFrame:

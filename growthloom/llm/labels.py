@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import scratch_table
+from growthloom.llm.common import picked, scratch_table
 
 FOLDS = 5
 
@@ -22,14 +22,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, columns: t
     least label, and the row of its least text. The drawn ids are few enough
     to be broadcast, so texts aren't shuffled to find them.
     """
-    ident = F.col(f"`{id_col}`")
     drawn = (
-        labels.where(ident.isNotNull() & F.col(label_col).isNotNull() & (fold_of(ident) != 0))
-        .groupBy(ident.alias("__id"))
-        .agg(F.min(label_col).alias("label"))
+        picked(labels, __id=id_col, label=label_col)
+        .where(F.col("__id").isNotNull() & F.col("label").isNotNull() & (fold_of(F.col("__id")) != 0))
+        .groupBy("__id")
+        .agg(F.min("label").alias("label"))
         .orderBy(F.xxhash64("__id", F.lit(5)), "__id")
         .limit(rows)
     )
     drawn = scratch_table(drawn, "drawn")
-    found = docs.join(F.broadcast(drawn), ident == F.col("__id"))  # ``rows`` ids at most
-    return scratch_table(found.select(F.col("__id").alias("id"), "label", *[F.col(f"`{c}`").alias(c) for c in columns]).dropDuplicates(["id"]), "labelled")
+    found = picked(docs, **{id_col: id_col}, **{c: c for c in columns}).join(F.broadcast(drawn), F.col(id_col) == F.col("__id"))  # ``rows`` ids at most
+    return scratch_table(found.select(F.col("__id").alias("id"), "label", *columns).dropDuplicates(["id"]), "labelled")

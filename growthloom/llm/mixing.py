@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import scratch_table, word_count
+from growthloom.llm.common import picked, positional, restored, scratch_table, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2
@@ -170,9 +170,8 @@ def _hash(columns: list[Column], seed: int) -> Column:
 
 def source_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
     """One row per document: id, size, source_size, target, taken, source."""
-    text = F.col(f"`{text_col}`")
-    ident = F.col(f"`{id_col}`")
-    rows = docs.select(ident.alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), word_count(text).alias("size"), _hash([ident, text], seed).alias("__h"))
+    frame = picked(docs, id=id_col, source=source_col, text=text_col)
+    rows = frame.select("id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), _hash([F.col("id"), F.col("text")], seed).alias("__h"))
     return mixed(rows).select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), F.col("source").alias(source_col))
 
 
@@ -181,12 +180,10 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", source_col: str = "
 
     Rows alike in all columns are one row here, taken as often as they are together.
     """
-    hashed = docs.withColumn("__h", _hash([F.col(f"`{c}`") for c in docs.columns], seed))
-    rows = hashed.select(F.col(f"`{source_col}`").cast("string").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"), "__h")
+    frame = positional(docs)
+    hashed = frame.withColumn("__h", _hash([F.col(c) for c in frame.columns], seed))
+    text, source = (F.col(f"c{docs.columns.index(c)}") for c in (text_col, source_col))
+    rows = hashed.select(source.cast("string").alias("source"), word_count(text).alias("size"), "__h")
     copies = mixed(rows).groupBy("__h").agg(F.sum("copies").alias("__copies")).where("__copies > 0")
-    return (
-        hashed.dropDuplicates(["__h"])
-        .join(copies, "__h")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-        .select(*docs.columns)
-    )
+    taken = hashed.dropDuplicates(["__h"]).join(copies, "__h")
+    return restored(taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))), docs)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import Vocabulary, mixed, scratch_table, shingle_hashes, text_bytes
+from growthloom.llm.common import Vocabulary, mixed, picked, positional, restored, scratch_table, shingle_hashes, text_bytes
 from growthloom.llm.components import connected_components
 
 WIDTH, BANDS, ROWS = 5, 25, 5
@@ -275,12 +275,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``class_id`` is the least id of the documents linked to it, directly or by
     way of others; ``n_copies`` counts the documents of its class.
     """
-    return _with_class(docs.select(id_col, text_col), id_col, text_col, threshold)[0]
+    return _with_class(picked(docs, id=id_col, text=text_col), threshold)[0].withColumnRenamed("id", id_col)
 
 
-def _with_class(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _with_class(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(one row per document, one row per distinct text: k, label, class_id, n_copies)."""
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))).alias("k"), F.col(f"`{text_col}`").alias("text"))
+    texts = docs.select("id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("k"), "text")
     id_type = texts.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, k binary, n long, sketch binary, bands array<long>"
     rows = scratch_table(texts.mapInArrow(_sketched, schema), "sketches")
@@ -327,7 +327,7 @@ def _with_class(docs: DataFrame, id_col: str, text_col: str, threshold: float) -
     out = (
         rows.select("id", "k", "n")
         .join(classes, "k", "left")
-        .select(F.col("id").alias(id_col), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"), F.when(F.col("n") > 0, F.col("n_copies")).otherwise(F.lit(1)).cast("long").alias("n_copies"))
+        .select("id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"), F.when(F.col("n") > 0, F.col("n_copies")).otherwise(F.lit(1)).cast("long").alias("n_copies"))
     )
     return out, classes
 
@@ -339,12 +339,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     than others; then the least text by MD5, then the least row by hash).
     Documents without shingles all stay.
     """
-    keyed = docs.withColumn("__k", F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary")))).withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    rows, classes = _with_class(docs.select(id_col, text_col), id_col, text_col, threshold)
-    del rows
-    narrow = keyed.select(F.col(f"`{id_col}`").alias("__id"), "__k", "__h").join(classes.select(F.col("k").alias("__k"), "label"), "__k")
+    frame = positional(docs)
+    ident, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    keyed = frame.withColumn("__k", F.unhex(F.md5(text.cast("binary")))).withColumn("__h", F.xxhash64(*frame.columns))
+    _, classes = _with_class(frame.select(ident.alias("id"), text.alias("text")), threshold)
+    narrow = keyed.select(ident.alias("__id"), "__k", "__h").join(classes.select(F.col("k").alias("__k"), "label"), "__k")
     first = narrow.groupBy("label").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__k", "__h")).alias("f")).select(F.col("f.__h").alias("__h"), F.col("f.__k").alias("__k"))
     # Rows alike in every column are one row, so that one of them stays.
     kept = keyed.join(first, ["__h", "__k"], "left_semi").dropDuplicates(["__h", "__k"])
     bare = keyed.join(classes.select(F.col("k").alias("__k")), "__k", "left_anti")
-    return kept.select(*docs.columns).unionByName(bare.select(*docs.columns))
+    return restored(kept.unionByName(bare.select(*kept.columns)), docs)

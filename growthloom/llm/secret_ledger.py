@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import scratch_table
+from growthloom.llm.common import picked, scratch_table
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,8 @@ def update_ledger(versions: DataFrame, scanned: DataFrame | None = None, finding
     (blob, kind, version) and ``findings`` (blob, kind, version, start, end)
     are the ledger so far; append the new pairs and replace the findings.
     """
-    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    versions = picked(versions, id=id_col, text=text_col)
+    ident, text = F.col("id"), F.col("text")
     paths = scratch_table(versions.select(ident.alias("id"), blob_of(text).alias("blob")), "paths")
     # One row of each blob will be read: that of its least id.
     blobs = paths.groupBy("blob").agg(F.min("id").alias("id"))

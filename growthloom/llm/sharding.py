@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import scratch_table
+from growthloom.llm.common import positional, scratch_table
 
 BITS = 60
 LIMIT_BYTES = 32 << 20
@@ -71,9 +71,10 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
 
     ``shard`` is the bucket's bits, with ``+k`` for its k-th overflow shard.
     """
-    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    frame = positional(docs)
+    ident, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
     rows = scratch_table(
-        docs.select(ident.alias("__id"), *[F.col(f"`{c}`").alias(f"__k{n}") for n, c in enumerate(keep)], hash_bits(ident, text).alias("h"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"), F.monotonically_increasing_id().alias("mid")),
+        frame.select(ident.alias("__id"), *[F.col(f"c{docs.columns.index(c)}").alias(f"__k{n}") for n, c in enumerate(keep)], hash_bits(ident, text).alias("h"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"), F.monotonically_increasing_id().alias("mid")),
         "shard-rows",
     )
     placed = reduce(DataFrame.unionByName, directory_rounds(rows, limit))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import Vocabulary, scratch_path, text_bytes
+from growthloom.llm.common import Vocabulary, picked, scratch_path, text_bytes
 
 WIDTHS = (8, 8, 16)
 RANK_BITS = 512
@@ -166,7 +166,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, id
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = picked(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     # Equal ids and texts may fill several ranges: the row number parts them.
     keyed = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     order = [F.col("id").asc_nulls_first(), "tie", "row"]

@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import scratch_table
+from growthloom.llm.common import picked, scratch_table
 
 #: The rules of the production list.
 RULES = (
@@ -100,8 +100,8 @@ def run_probabilities(runs: DataFrame) -> DataFrame:
 
 def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, score (null where a rule decides)."""
-    url = F.col(f"`{url_col}`")
-    parts = pages.select(F.col(f"`{id_col}`").alias(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
+    url = F.col("url")
+    parts = picked(pages, id=id_col, url=url_col).select(F.col("id").alias(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parts = parts.select("*", rule.alias("rule"), verdict.alias("said"))
     distinct = scratch_table(parts.groupBy("host", "path", "said").agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.concat("host", "path")), "urls")
