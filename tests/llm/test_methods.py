@@ -84,6 +84,22 @@ def test_lcs():
         assert latent_search.lcs_length(latent_search._masks(a), len(a), b) == table[-1][-1]
 
 
+def test_word_codes_do_not_depend_on_where_words_stand(monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choices("abcdeXYZ\u00e9\u00fc19", k=rng.randint(1, 9))) for _ in range(rng.randint(0, 30))) for _ in range(50)]
+    one = latent_search.WordCoder()
+    each = [one.codes([t.encode()])[0].tolist() for t in texts]
+    assert [c.tolist() for c in latent_search.WordCoder().codes([t.encode() for t in texts])] == each
+    words = {}
+    for t, c in zip(texts, each):
+        for w, code in zip("".join(x.lower() if x < "\x80" else x for x in t).split(), c):
+            assert words.setdefault(w, code) == code
+    assert len(set(words.values())) == len(words)
+    assert one.codes([b"It, is: (that) THE-end."])[0].tolist() == one.codes([b"it is that the end"])[0].tolist()
+    monkeypatch.setattr(latent_search, "PIECE", 40)
+    assert [c.tolist() for c in latent_search.WordCoder().codes([t.encode() for t in texts])] == each
+
+
 def test_passages_cover_every_word():
     lengths = np.array([0, 1, 12, 13, 24, 25, 100])
     sums, whose, at = latent_search.passage_sums(np.ones((int(lengths.sum()), 1)), lengths)
@@ -102,7 +118,7 @@ def test_latent_search_recall(spark):
     items = {r.item_id: r.text for r in read_table(spark, SF, "benchmark").collect()}
 
     def codes(text):
-        return [c for c in map(latent_search.word_code, text.encode().split()) if c]
+        return latent_search.WordCoder().codes([text.encode()])[0].tolist()
 
     coded = {i: codes(t) for i, t in items.items()}
     pairs = defaultdict(list)
@@ -134,9 +150,9 @@ def test_paraphrase_needs_its_answer(spark):
     texts += [" ".join(rng.choices(vocabulary, k=36) + body + rng.choices(vocabulary, k=20)) for body in (with_answer, without)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert latent_search.verdict(np.arange(40, dtype=np.uint32), 0, list(range(30)), 0, 25)[1]
-    words = [latent_search.word_code(w.encode()) for w in item]
+    words = latent_search.WordCoder().codes([" ".join(item).encode()])[0].tolist()
     for body, leak in ((with_answer, True), (without, False)):
-        found = np.array([latent_search.word_code(w.encode()) for w in body], np.uint32)
+        found = latent_search.WordCoder().codes([" ".join(body).encode()])[0]
         share, verdict = latent_search.verdict(found, 0, words, 0, 25)
         assert (share < latent_search.LCS or verdict) and verdict == (leak or share >= latent_search.LCS)
     bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
