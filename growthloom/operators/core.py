@@ -32,9 +32,10 @@ def as_date_column(value: str | dt.date | Column) -> Column:
 def fact_events(staged: DataFrame, backfill_start_date: str | dt.date | Column | None = None) -> DataFrame:
     """Event fact: staged events with their engagement bucket.
 
-    ``backfill_start_date`` keeps events on or after that date; ``None`` means
-    no lower bound. The date predicate reaches the parquet scan as a range on
-    the timestamp.
+    ``backfill_start_date`` keeps events on or after that date, and undated
+    ones, which no bound can place; ``None`` means no lower bound. The date
+    predicate reaches the parquet scan as a range on the timestamp. A staged
+    ``event_id`` stays as the last column.
     """
     fct = staged.select(
         "user_id",
@@ -48,9 +49,10 @@ def fact_events(staged: DataFrame, backfill_start_date: str | dt.date | Column |
         "country",
         "gender",
         engagement_bucket("event_type").alias("engagement_bucket"),
+        *[c for c in ("event_id",) if c in staged.columns],
     )
     if backfill_start_date is not None:
-        fct = fct.filter(F.col("event_date") >= as_date_column(backfill_start_date))
+        fct = fct.filter((F.col("event_date") >= as_date_column(backfill_start_date)) | F.col("event_date").isNull())
     return fct
 
 

@@ -15,7 +15,8 @@ def stage_events(raw: DataFrame) -> DataFrame:
     """Rename and type the raw columns; no rows are dropped.
 
     ``event_time`` becomes a timestamp ``event_ts`` and its UTC calendar date
-    ``event_date``; ``miles_amount`` becomes decimal(38,9) (NUMERIC).
+    ``event_date``; ``miles_amount`` becomes decimal(38,9) (NUMERIC). An
+    ``event_id`` of the source is kept as the last column.
     """
     ts = F.col("event_time").cast("timestamp")
     return raw.select(
@@ -29,4 +30,5 @@ def stage_events(raw: DataFrame) -> DataFrame:
         "platform",
         "utm_source",
         "country",
+        *[c for c in ("event_id",) if c in raw.columns],
     )

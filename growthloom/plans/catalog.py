@@ -7,14 +7,16 @@ events); ``orders`` feeds week and month grains (years of coarse events).
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthloom.operators.activity import event_detail_activity, user_activity
-from growthloom.operators.core import dim_user, fact_events
-from growthloom.operators.features import features_performance, user_period_features
+from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS, dim_user, fact_events
+from growthloom.operators.features import FEATURE_ATTRIBUTES, features_performance, user_period_features
 from growthloom.operators.growth import growth_status, growth_user_features
 from growthloom.operators.quality import run_checks
 from growthloom.operators.reporting import (
@@ -33,9 +35,11 @@ from growthloom.operators.reporting import (
 )
 from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
-from growthloom.plans.loader import backfilled_fact, merged_fact
-from growthloom.session import apply_runtime_conf
+from growthloom.plans.loader import load_fact
+from growthloom.plans.refresh import refresh
+from growthloom.session import apply_runtime_conf, shared_folder
 from growthloom.sources.adapters import raw_events
+from growthloom.sources.sinks import merge_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,24 +85,100 @@ def _generic_grouping(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _awkward(spark: SparkSession, d: str) -> DataFrame:
+    """Staged events with NULL users and types, and undated ones."""
+    minute = F.minute("event_ts")
+    return (
+        staged(spark, d, "events")
+        .withColumn("user_id", F.when(minute != 7, F.col("user_id")))
+        .withColumn("event_type", F.when(minute != 11, F.col("event_type")))
+        .withColumn("event_date", F.when(minute != 13, F.col("event_date")))
+        .withColumn("event_ts", F.when(minute != 13, F.col("event_ts")))
+    )
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/growthloom-{label}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def _cut(stg: DataFrame) -> dt.date:
+    """A week before the last day."""
+    return stg.agg(F.max("event_date")).first()[0] - dt.timedelta(days=7)
+
+
 def _fact_incremental(spark: SparkSession, d: str) -> DataFrame:
-    """State: the fact loaded up to a week before the last event date; then
-    one incremental run over all staged events."""
-    stg = staged(spark, d, "events")
-    full = fact_events(stg)
-    cut = F.date_sub(full.select(F.max("event_date")).scalar(), 7)
-    target = full.filter(F.col("event_date") < cut)
-    return merged_fact(stg, target)
+    """Written and read back. A first load up to a week before the last day:
+    half of that day's rows are missing and the others stale, and an earlier
+    day lacks its afternoon. Then two incremental runs over all staged events
+    put the last loaded day right and leave the earlier one as it is."""
+    stg = _awkward(spark, d)
+    cut = _cut(stg)
+    day, late = F.col("event_date"), F.hour("event_ts") >= 12
+    loaded = (day.isNull() | (day < cut) | ((day == cut) & ~late)) & ~F.coalesce((day == cut - dt.timedelta(days=3)) & late, F.lit(False))
+    stale = F.when(day == cut, F.col("miles_amount") + 1).otherwise(F.col("miles_amount")).cast("decimal(38,9)")
+    path = scratch(spark, "fact")
+    load_fact(spark, stg.filter(loaded).withColumn("miles_amount", stale), path, "full")
+    for _ in range(2):
+        load_fact(spark, stg, path, "incremental")
+    return spark.read.parquet(path).select(*FACT_COLUMNS)
 
 
 def _fact_backfill(spark: SparkSession, d: str) -> DataFrame:
-    """State: a fact whose last two weeks lost their transactions (late
-    data); then a backfill from two weeks before the last event date."""
+    """Written and read back. A fact whose last days and undated rows are
+    stale; then a backfill from a source in which one of those days is gone."""
+    stg = _awkward(spark, d)
+    cut = _cut(stg)
+    start, gone = cut - dt.timedelta(days=5), cut + dt.timedelta(days=2)
+    day = F.col("event_date")
+    stale = F.when(day < start, F.col("miles_amount")).otherwise(F.col("miles_amount") + 1).cast("decimal(38,9)")
+    path = scratch(spark, "fact")
+    load_fact(spark, stg.withColumn("miles_amount", stale), path, "full")
+    load_fact(spark, stg.filter(~day.eqNullSafe(F.lit(gone))), path, "backfill", backfill_start_date=start)
+    return spark.read.parquet(path).select(*FACT_COLUMNS)
+
+
+def _dim_user_merged(spark: SparkSession, d: str) -> DataFrame:
+    """Written, merged by user and read back: a first load of all users up to
+    a week before the last day, then one from a source without a fifth of them."""
     stg = staged(spark, d, "events")
-    full = fact_events(stg)
-    start = F.date_sub(full.select(F.max("event_date")).scalar(), 14)
-    damaged = full.filter((F.col("event_date") < start) | (F.col("engagement_bucket") != "transaction"))
-    return backfilled_fact(stg, damaged, start)
+    path = scratch(spark, "dim")
+    kept = F.col("user_id").isNull() | (F.col("user_id") % 5 != 0)
+    merge_table(spark, dim_user(stg.filter(F.col("event_date") <= _cut(stg))), path, ["user_id"], ["first_seen_date"], ["user_id"])
+    merge_table(spark, dim_user(stg.filter(kept)), path, ["user_id"], ["first_seen_date"], ["user_id"])
+    return spark.read.parquet(path).select(*DIM_USER_COLUMNS)
+
+
+def _refresh_weekly(spark: SparkSession, d: str) -> DataFrame:
+    """Two refresh groups into a new warehouse; row counts read back from its tables."""
+    warehouse = scratch(spark, "warehouse")
+    raw = raw_events(spark, d, "events")
+    apply_runtime_conf(spark)
+    refresh(spark, raw, warehouse, models=("stg_event_stream", "fct_events", "int_user_growth_status_weekly", "fct_cohort_retention_weekly"))
+    parts = (("intermediate", "int_user_growth_status_weekly", "growth_status"), ("marts", "fct_cohort_retention_weekly", "engagement_type"), ("core", "fct_events", "engagement_bucket"))
+    out = None
+    for layer, model, part in parts:
+        rows = spark.read.parquet(f"{warehouse}/{layer}/{model}").groupBy(F.lit(model).alias("model"), F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _approx_tops(spark: SparkSession, d: str) -> DataFrame:
+    """Per attribute: user-periods, and those whose approximate primary value is a most frequent one by exact counts."""
+    fct = fact(spark, d, "orders")
+    picks = user_period_features(fct, "month", primary="approx")
+    values = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).alias("v")) for a in FEATURE_ATTRIBUTES])
+    chosen = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(f"primary_{a}").alias("pick")) for a in FEATURE_ATTRIBUTES])
+    period = F.trunc("event_date", "month").alias("reporting_date")
+    counts = fct.select("user_id", period, F.inline(values)).groupBy("user_id", "reporting_date", "attribute", "v").agg(F.count(F.lit(1)).alias("times"))
+    tops = counts.groupBy("user_id", "reporting_date", "attribute").agg(F.max("times").alias("most"), F.max(F.when(F.col("v").isNotNull(), F.col("times"))).alias("most_known"), F.collect_list(F.struct("v", "times")).alias("all"))
+    both = picks.select(F.col("user_id").alias("u"), F.col("reporting_date").alias("r"), F.inline(chosen)).withColumnRenamed("attribute", "a")
+    joined = both.join(tops, both["u"].eqNullSafe(tops["user_id"]) & (both["r"] == tops["reporting_date"]) & (both["a"] == tops["attribute"]))
+    hit = F.exists("all", lambda x: x["v"].eqNullSafe(F.col("pick")) & ((x["times"] == F.col("most")) | (x["times"] == F.col("most_known"))))
+    return joined.groupBy("attribute").agg(F.count(F.lit(1)).alias("user_periods"), F.count(F.when(hit, 1)).alias("with_a_top_value"))
 
 
 def _dq_core(spark: SparkSession, d: str) -> DataFrame:
@@ -151,7 +231,7 @@ def queries() -> dict[str, Query]:
         "user_features_day": lambda s, d: user_period_features(fact(s, d, "events"), "day"),
         "user_features_week": lambda s, d: user_period_features(fact(s, d, "events"), "week"),
         "user_features_month": lambda s, d: user_period_features(fact(s, d, "orders"), "month"),
-        "user_features_approx_month": lambda s, d: user_period_features(fact(s, d, "orders"), "month", primary="approx"),
+        "user_features_approx_month": _approx_tops,
         "features_performance": lambda s, d: features_performance(user_period_features(fact(s, d, "events"), ("day", "week", "month"))),
         "growth_status_day": lambda s, d: growth_status(fact(s, d, "events"), "day"),
         "growth_status_week": lambda s, d: growth_status(fact(s, d, "events"), "week"),
@@ -171,7 +251,6 @@ def queries() -> dict[str, Query]:
         "grouping_report_generic": _generic_grouping,
         "cohort_week": lambda s, d: cohort_retention(fact(s, d, "orders"), "week"),
         "cohort_month": lambda s, d: cohort_retention(fact(s, d, "orders"), "month"),
-        "cohort_month_as_written": lambda s, d: cohort_retention(fact(s, d, "orders"), "month", join_on="cohort"),
         "cohort_combined": lambda s, d: cohort_retention(fact(s, d, "orders"), ("month", "week")),
         "cohort_week_events": lambda s, d: cohort_retention(fact(s, d, "events"), "week"),
         "user_activity_day": lambda s, d: user_activity(fact(s, d, "events"), "day"),
@@ -190,5 +269,7 @@ def queries() -> dict[str, Query]:
         "dq_daily": _dq_daily,
         "fact_incremental": _fact_incremental,
         "fact_backfill": _fact_backfill,
+        "dim_user_merged": _dim_user_merged,
+        "refresh_weekly": _refresh_weekly,
     }
     return q

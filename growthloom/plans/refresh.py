@@ -15,7 +15,7 @@ activity report, so a daily run starts from fresh facts.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +29,7 @@ from growthloom.operators.reporting import event_activity_report, growth_report_
 from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
 from growthloom.plans.loader import load_fact
-from growthloom.sources.sinks import read_target, write_table
+from growthloom.sources.sinks import merge_table, read_target, write_table
 
 SUFFIX = {"day": "daily", "week": "weekly", "month": "monthly"}
 
@@ -38,7 +38,7 @@ SUFFIX = {"day": "daily", "week": "weekly", "month": "monthly"}
 class Model:
     name: str
     layer: str
-    materialized: str  # view | table | fact
+    materialized: str  # view | table | fact | merge (by the first cluster column)
     build: Callable[["Context"], DataFrame] | None
     tags: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
@@ -117,7 +117,7 @@ DAILY = ("refresh_daily",)
 MODELS: list[Model] = [
     Model("stg_event_stream", "staging", "view", lambda c: stage_events(c.raw), DAILY),
     Model("fct_events", "core", "fact", None, DAILY, ("event_date",), ("user_id",), FACT_COLUMNS),
-    Model("dim_user", "core", "table", lambda c: dim_user(c.ref("stg_event_stream")), DAILY,
+    Model("dim_user", "core", "merge", lambda c: dim_user(c.ref("stg_event_stream")), DAILY,
           ("first_seen_date",), ("user_id",), DIM_USER_COLUMNS),
     Model("int_event_detail_activity", "intermediate", "table",
           lambda c: event_detail_activity(c.ref("fct_events"), c.week_start), DAILY),
@@ -150,16 +150,19 @@ def refresh(
     fact_mode: str = "incremental",
     backfill_start_date: str | dt.date | None = None,
     week_start: str = "sunday",
+    models: Sequence[str] | None = None,
 ) -> list[str]:
-    """Build the models carrying ``tag`` (all models if None), in order.
+    """Build the models carrying ``tag`` (all models if None), or those named
+    in ``models``, in order.
 
-    The rebuilt marts are full rewrites, so running a refresh twice leaves
+    The rebuilt marts are full rewrites and the user dimension is merged by
+    user (users gone from the source stay), so running a refresh twice leaves
     the same tables as running it once. Returns the names built.
     """
     ctx = Context(spark, raw, warehouse, week_start)
     built: list[str] = []
     for model in MODELS:
-        if tag is not None and tag not in model.all_tags:
+        if (tag is not None and tag not in model.all_tags) or (models is not None and model.name not in models):
             continue
         if model.materialized == "view":
             df = model.build(ctx)
@@ -168,6 +171,9 @@ def refresh(
         elif model.materialized == "fact":
             load_fact(spark, ctx.ref("stg_event_stream"), ctx.path(model), fact_mode, backfill_start_date)
             ctx.frames[model.name] = model.read(spark, ctx.path(model))
+        elif model.materialized == "merge":
+            merge_table(spark, model.build(ctx), ctx.path(model), model.cluster_by[:1], model.partition_by, model.cluster_by)
+            ctx.frames[model.name] = model.read(spark, ctx.path(model))
         else:
             write_table(model.build(ctx), ctx.path(model), model.partition_by, model.cluster_by)
             ctx.frames[model.name] = model.read(spark, ctx.path(model))

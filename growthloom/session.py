@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job needs: calendar dates are taken in UTC, as the
@@ -52,24 +54,19 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Jobs cut lineage there (``DataFrame.checkpoint``); it must be on shared
-    storage so a lost executor does not lose the data.
+    Jobs cut lineage and stage writes there; it must be on shared storage so a
+    lost executor does not lose the data. In local mode, where driver and
+    executors are one process, a new temporary folder serves if it is unset.
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
+    path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if path:
+        return path.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir is not set on this session")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(path)
+    path = "file://" + tempfile.mkdtemp(prefix="growthloom-")
+    sc.setCheckpointDir(path)
     return path
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint dir; set ``fallback`` only where unset (tests)."""
-    sc = spark.sparkContext
-    if not (sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)):
-        sc.setCheckpointDir(fallback)
-    return checkpoint_dir(spark)

@@ -3,20 +3,55 @@ plain parquet datasets (no table format with MERGE is assumed)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from growthloom.session import checkpoint_dir
+from growthloom.session import shared_folder
+
+#: Spark's folder name for the NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a parquet table. Only a missing path or a folder
+    without files means no; any other failure to read is raised."""
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+@contextmanager
+def staged_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back; the files go at the
+    end. Reading it any number of times computes ``df`` once, and a lost
+    executor costs a re-read."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/growthloom-{label}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs, target = _file_system(spark, path)
+        fs.delete(target, True)
+
+
+def null_safe(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
@@ -72,13 +107,10 @@ def replace_partitions(
 
 def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
     """Delete the partition folders ``<path>/<column>=<value>`` through the
-    Hadoop file system of the table path."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    Hadoop file system of the table path (None: the NULL partition)."""
     for v in values:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{column}={v}"), True)
+        fs, folder = _file_system(spark, f"{path}/{column}={NULL_PARTITION if v is None else v}")
+        fs.delete(folder, True)
 
 
 def replace_partitions_from(
@@ -89,43 +121,52 @@ def replace_partitions_from(
     start,
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Make every partition with ``column >= start`` equal to ``fresh``:
-    partitions present in ``fresh`` are overwritten, the others on or after
-    ``start`` are deleted. Only the list of partition values (one per day)
-    reaches the driver, never rows."""
-    from pyspark.sql import functions as F
-
-    existing = spark.read.parquet(path).select(column).filter(F.col(column) >= F.lit(start)).distinct()
-    stale = [r[0] for r in existing.join(fresh.select(column).distinct(), column, "left_anti").collect()]
+    """Make every partition with ``column >= start``, and the NULL partition,
+    equal to ``fresh``: partitions present in ``fresh`` are overwritten, the
+    others of that range are deleted. Only lists of partition values (one per
+    day) reach the driver, never rows.
+
+    The two steps are not one transaction: a failure between them leaves
+    stale days in place, and running the load again removes them."""
+    existing = spark.read.parquet(path).select(column).filter((F.col(column) >= F.lit(start)) | F.col(column).isNull()).distinct()
+    present = {r[0] for r in fresh.select(column).distinct().collect()}
+    stale = [r[0] for r in existing.collect() if r[0] not in present]
     replace_partitions(fresh, path, [column], cluster_by)
     drop_partitions(spark, path, column, stale)
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """Upsert as a DataFrame: target rows whose key is not in ``updates``,
-    plus ``updates`` (one row per key). NULL keys never match, as in MERGE.
+    plus all of ``updates``.
 
-    Both sides are shuffled on the key; no side is broadcast, so neither
-    size is assumed.
+    A key stands for the group of rows that carry it: the group in ``updates``
+    replaces the one in ``target``, so distinct rows that share a key are all
+    kept and a repeated load changes nothing. NULLs in a key match each other.
+    Both sides are shuffled on the key; no side is broadcast, so neither size
+    is assumed.
     """
-    fresh = one_per_key(updates, key)
-    kept = target.join(fresh.select(*key), list(key), "left_anti")
-    return kept.unionByName(fresh)
-
+    keys = updates.select(*[F.col(k).alias(f"__{k}") for k in key]).distinct()
+    kept = target.join(keys, null_safe([F.col(k) for k in key], [F.col(f"__{k}") for k in key]), "left_anti")
+    return kept.unionByName(updates)
 
-def one_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per key: the largest of the rows sharing it (deterministic,
-    so a rerun picks the same row). An aggregate, so copies of one event
-    combine map-side however many there are; only when a column has no
-    ordering (maps) does it fall back to an arbitrary row."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import MapType
 
-    others = [c for c in df.columns if c not in key]
-    if not others or any(isinstance(f.dataType, MapType) for f in df.schema.fields):
-        return df.dropDuplicates(list(key))
-    best = df.groupBy(*key).agg(F.max(F.struct(*others)).alias("_row"))
-    return best.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+def merge_table(
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    key: Sequence[str],
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Keyed upsert into a table whose key does not determine the partition
+    (a user's first day may change): the whole table is merged, staged in the
+    shared folder and rewritten. Rows whose key is not in ``updates`` stay."""
+    target = read_target(spark, path)
+    if target is None:
+        write_table(updates, path, partition_by, cluster_by)
+        return
+    with staged_copy(merge_by_key(target.select(*updates.columns), updates, key), "merged") as merged:
+        write_table(merged, path, partition_by, cluster_by)
 
 
 def upsert_partitions(
@@ -138,19 +179,34 @@ def upsert_partitions(
 ) -> None:
     """Keyed upsert into a partitioned parquet table.
 
-    Only the partitions the updates touch are rewritten. ``key`` must
+    Only the partitions the updates touch are read and rewritten: their values
+    (a row per partition, e.g. per day) go to the driver and come back as a
+    filter on the partition columns, which prunes the scan. ``key`` must
     determine the partition (e.g. contain ``event_ts`` for a table
     partitioned by ``event_date``), so every match lies in a rewritten
-    partition. The merged partitions are checkpointed to the session's
-    shared checkpoint folder before the write, because the write replaces
-    files the merge reads; the checkpoint also survives lost executors.
+    partition. Updates and merged partitions are staged in the shared folder:
+    the updates are computed once, the write replaces files the merge reads,
+    and the staged files are deleted afterwards.
     """
-    target = read_target(spark, path)
-    if target is None:
-        write_table(one_per_key(updates, key), path, partition_by, cluster_by)
-        return
-    touched = updates.select(*partition_by).distinct()
-    affected = target.join(touched, list(partition_by), "left_semi")
-    merged = merge_by_key(affected, updates, key)
-    checkpoint_dir(spark)
-    replace_partitions(merged.checkpoint(eager=True), path, partition_by, cluster_by)
+    with staged_copy(updates, "updates") as fresh:
+        target = read_target(spark, path)
+        if target is None:
+            write_table(fresh, path, partition_by, cluster_by)
+            return
+        touched = fresh.select(*partition_by).distinct().collect()
+        if not touched:
+            return
+        affected = target.filter(touched_partitions(touched, partition_by))
+        with staged_copy(merge_by_key(affected, fresh, key), "merged") as merged:
+            replace_partitions(merged, path, partition_by, cluster_by)
+
+
+def touched_partitions(rows: Sequence, partition_by: Sequence[str]) -> Column:
+    """A filter on the partition columns: the partitions in ``rows``, NULL included."""
+
+    def one(column: str, values: set) -> Column:
+        some = F.col(column).isin(*[v for v in values if v is not None]) if values - {None} else F.lit(False)
+        return some | F.col(column).isNull() if None in values else some
+
+    # Per column, so that each list prunes by itself; rows are then exact by the merge key.
+    return reduce(lambda a, b: a & b, [one(c, {r[i] for r in rows}) for i, c in enumerate(partition_by)])

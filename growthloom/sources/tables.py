@@ -4,12 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLE_NAMES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels",
-    "conversations",
-)
-
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """Read ``<base_dir>/<name>.parquet``; Spark prunes columns and pushes

@@ -1,12 +1,16 @@
 """Streaming front end for the event fact.
 
-Raw event files arriving in a folder are read as a stream, staged, deduplicated
-on the event key within a watermark (late copies of an event inside that
-window are dropped without keeping state forever), and each micro-batch is
-upserted into the partitioned fact by key. The upsert is idempotent, so a
-micro-batch replayed after a failure leaves the same table. The growth,
-retention and report tables stay batch jobs over the fact: they need
-row-ordered windows over each user's whole history, which streaming
+Raw event files arriving in a folder are read as a stream and staged, and each
+micro-batch is upserted into the partitioned fact. The upsert itself tells
+known events from new ones, NULLs included, so the stream keeps no state and
+needs no watermark: an event that arrives late for the first time is added,
+however late, and a replayed file or micro-batch leaves the same table.
+
+Without an ``event_id`` an event is its whole row: rows alike in all columns
+count once. With one, a later batch's row stands for an earlier one's.
+
+The growth, retention and report tables stay batch jobs over the fact: they
+need row-ordered windows over each user's whole history, which streaming
 aggregations do not offer.
 """
 
@@ -20,8 +24,8 @@ from pyspark.sql.types import StructType
 
 from growthloom.operators.core import fact_events
 from growthloom.operators.staging import stage_events
-from growthloom.plans.loader import DEFAULT_FACT_KEY, FACT_CLUSTER, FACT_PARTITION
-from growthloom.session import checkpoint_dir
+from growthloom.plans.loader import FACT_CLUSTER, FACT_PARTITION, ID_FACT_KEY
+from growthloom.session import shared_folder
 from growthloom.sources.sinks import upsert_partitions
 
 
@@ -35,14 +39,15 @@ def raw_event_stream(spark: SparkSession, source_dir: str, schema: StructType, m
     )
 
 
-def deduplicated_fact_stream(
-    raw: DataFrame,
-    key: Sequence[str] = DEFAULT_FACT_KEY,
-    watermark: str = "1 day",
-) -> DataFrame:
-    """Staged fact rows with copies of one event key dropped within the watermark."""
-    fct = fact_events(stage_events(raw))
-    return fct.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(list(key))
+def fact_stream(raw: DataFrame) -> DataFrame:
+    """Staged fact rows of a raw event stream."""
+    return fact_events(stage_events(raw))
+
+
+def upsert_batch(batch: DataFrame, fact_path: str, key: Sequence[str] | None = None) -> None:
+    """Upsert one micro-batch; ``key`` defaults to the event id with its date, else the whole row."""
+    key = tuple(key or (ID_FACT_KEY if "event_id" in batch.columns else batch.columns))
+    upsert_partitions(batch.sparkSession, batch.dropDuplicates(list(key)), fact_path, key, FACT_PARTITION, FACT_CLUSTER)
 
 
 def start_fact_ingest(
@@ -50,8 +55,7 @@ def start_fact_ingest(
     source_dir: str,
     schema: StructType,
     fact_path: str,
-    key: Sequence[str] = DEFAULT_FACT_KEY,
-    watermark: str = "1 day",
+    key: Sequence[str] | None = None,
     query_name: str = "fact_ingest",
     checkpoint_location: str | None = None,
     available_now: bool = False,
@@ -59,11 +63,11 @@ def start_fact_ingest(
 ) -> StreamingQuery:
     """Start the ingest stream; its checkpoint lives in the shared checkpoint
     folder of the session unless ``checkpoint_location`` is given."""
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
-    stream = deduplicated_fact_stream(raw_event_stream(spark, source_dir, schema), key, watermark)
+    location = checkpoint_location or f"{shared_folder(spark)}/streams/{query_name}"
+    stream = fact_stream(raw_event_stream(spark, source_dir, schema))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitions(batch.sparkSession, batch, fact_path, key, FACT_PARTITION, FACT_CLUSTER)
+        upsert_batch(batch, fact_path, key)
 
     writer = stream.writeStream.queryName(query_name).option("checkpointLocation", location).foreachBatch(upsert)
     if available_now:

@@ -30,10 +30,9 @@ def spark():
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    from growthloom.session import ensure_checkpoint_dir
-
-    # Tests set their own checkpoint folder only because none is configured.
-    ensure_checkpoint_dir(session, f"{scratch}/checkpoints")
+    # Tests set their own shared folder only because none is configured.
+    if not (session.sparkContext.getConf().get("spark.checkpoint.dir", None) or session.sparkContext.getCheckpointDir()):
+        session.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     yield session
     session.stop()
 

@@ -113,3 +113,99 @@ def test_backfill_drops_days_gone_from_the_source(spark):
     out = spark.read.parquet(path)
     assert out.filter(F.col("event_date") == gone).count() == 0
     assert out.count() == stg.filter(F.col("event_date") != gone).count()
+
+
+def _awkward(spark):
+    """Orders with NULL users, NULL types, undated events, events sharing a key and exact copies."""
+    stg = staged(spark, SF_SMALL, "orders")
+    n = F.xxhash64("event_ts", "user_id")
+    odd = (
+        stg.withColumn("user_id", F.when(F.pmod(n, F.lit(17)) != 0, F.col("user_id")))
+        .withColumn("event_type", F.when(F.pmod(n, F.lit(19)) != 0, F.col("event_type")))
+        .withColumn("event_ts", F.when(F.pmod(n, F.lit(23)) != 0, F.col("event_ts")))
+        .withColumn("event_date", F.to_date("event_ts"))
+    )
+    twins = odd.filter(F.pmod(n, F.lit(29)) == 0).withColumn("miles_amount", F.lit(1).cast("decimal(38,9)"))
+    return odd.unionByName(twins).unionByName(odd.filter(F.pmod(n, F.lit(31)) == 0))
+
+
+def test_every_mode_gives_the_same_table(spark):
+    from growthloom.operators.core import fact_events
+
+    stg = _awkward(spark)
+    want = fact_events(stg)
+    assert want.filter("event_date is null").count() > 0 and want.filter("user_id is null").count() > 0
+    base = tempfile.mkdtemp(prefix="fct-")
+    first_day = stg.agg(F.min("event_date")).first()[0]
+    load_fact(spark, stg, f"{base}/full", "full")
+    load_fact(spark, stg, f"{base}/inc", "incremental")
+    load_fact(spark, stg.filter(F.col("event_date") < dt.date(1996, 1, 1)), f"{base}/back", "full")
+    load_fact(spark, stg, f"{base}/back", "backfill", backfill_start_date=first_day)
+    assert _same(spark.read.parquet(f"{base}/full"), want)
+    assert _same(spark.read.parquet(f"{base}/back"), want)
+    for _ in range(3):
+        assert _same(spark.read.parquet(f"{base}/inc"), want)
+        load_fact(spark, stg, f"{base}/inc", "incremental")
+    assert _same(spark.read.parquet(f"{base}/inc"), want)
+
+
+def test_upsert_keeps_other_rows_of_the_null_partition(spark):
+    from growthloom.sources.sinks import upsert_partitions, write_table
+
+    path = tempfile.mkdtemp(prefix="ups-") + "/t"
+    schema = "k string, v int, d date"
+    write_table(spark.createDataFrame([("a", 1, None), ("b", 1, None), (None, 1, None), ("x", 1, dt.date(2024, 1, 1))], schema), path, ["d"])
+    upsert_partitions(spark, spark.createDataFrame([("c", 2, None), ("a", 2, None), (None, 2, None)], schema), path, ["k", "d"], ["d"])
+    rows = sorted((r.k or "", r.v, r.d) for r in spark.read.parquet(path).collect())
+    assert rows == [("", 2, None), ("a", 2, None), ("b", 1, None), ("c", 2, None), ("x", 1, dt.date(2024, 1, 1))]
+
+
+def test_event_id_is_the_key_where_present(spark):
+    path = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
+    stg = staged(spark, SF_SMALL, "events").withColumn("event_id", F.xxhash64("event_ts", "user_id", "event_type"))
+    load_fact(spark, stg, path, "incremental")
+    last = stg.agg(F.max("event_date")).first()[0]
+    changed = stg.withColumn("event_type", F.when(F.col("event_date") == last, F.lit("like")).otherwise(F.col("event_type")))
+    load_fact(spark, changed, path, "incremental")
+    out = spark.read.parquet(path)
+    assert out.count() == stg.count()
+    assert {r[0] for r in out.filter(F.col("event_date") == last).select("event_type").distinct().collect()} == {"like"}
+
+
+def test_upsert_reads_only_the_touched_partitions(spark):
+    from growthloom.sources.sinks import touched_partitions
+
+    path = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
+    stg = staged(spark, SF_SMALL, "events")
+    load_fact(spark, stg, path, "full")
+    days = stg.filter(F.col("event_date") >= dt.date(2024, 1, 28)).select("event_date").distinct().collect()
+    plan = spark.read.parquet(path).filter(touched_partitions(days, ["event_date"]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [event_date" in plan and "2024-01-28" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_staged_files_go_after_the_write(spark):
+    import glob
+
+    from growthloom.session import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:").replace("//", "/")
+    before = set(glob.glob(f"{folder}/growthloom-updates-*") + glob.glob(f"{folder}/growthloom-merged-*"))
+    path = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
+    stg = staged(spark, SF_SMALL, "events")
+    for _ in range(2):
+        load_fact(spark, stg, path, "incremental")
+    assert set(glob.glob(f"{folder}/growthloom-updates-*") + glob.glob(f"{folder}/growthloom-merged-*")) == before
+
+
+def test_only_a_missing_table_counts_as_missing(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from growthloom.sources.sinks import table_exists
+
+    base = tempfile.mkdtemp(prefix="tab-")
+    assert not table_exists(spark, f"{base}/none")
+    with open(f"{base}/broken.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(PySparkException):
+        table_exists(spark, f"{base}/broken.parquet")

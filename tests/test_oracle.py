@@ -18,12 +18,13 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    rows_only = set(QUERIES) - set(ORACLES)
-    assert rows_only == {"user_features_approx_month"}
+    # Queries of the training-data subpackage have their own tests, if it is there.
+    rows_only = {q for q in set(QUERIES) - set(ORACLES) if q != "pipeline" and not q.startswith("op")}
+    assert rows_only == set()
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(q for q in QUERIES if q != "pipeline" and not q.startswith("op")))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF_SMALL)
     if name not in ORACLES:

@@ -37,3 +37,27 @@ def test_stream_equals_batch(spark):
         # A cached plan would be substituted into later tests' reads of the
         # same tables and hide their scan-level pushdown.
         raw.unpersist()
+
+
+def _ingest(spark, scratch, schema, name):
+    q = start_fact_ingest(spark, f"{scratch}/raw", schema, f"{scratch}/fct", query_name=name, checkpoint_location=f"{scratch}/ckpt-{name}", available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    return spark.read.parquet(f"{scratch}/fct")
+
+
+def test_late_first_time_events_and_replays(spark):
+    scratch = tempfile.mkdtemp(prefix="stream-")
+    raw = raw_events(spark, SF_SMALL, "events")
+    raw = raw.withColumn("user_id", F.when(F.minute("event_time") % 11 != 0, F.col("user_id")))
+    day = F.dayofmonth("event_time")
+    want = raw.filter((day <= 5) | day.between(11, 15)).distinct().count()
+    raw.filter(day.between(11, 15)).write.mode("append").parquet(f"{scratch}/raw")
+    _ingest(spark, scratch, raw.schema, "late")
+    # Never-seen events of days long past.
+    raw.filter(day <= 5).write.mode("append").parquet(f"{scratch}/raw")
+    assert _ingest(spark, scratch, raw.schema, "late").count() == want
+    # A new checkpoint replays every file, NULL users included.
+    out = _ingest(spark, scratch, raw.schema, "replay")
+    assert out.count() == want
+    assert out.filter("user_id is null").count() > 0

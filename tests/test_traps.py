@@ -174,11 +174,3 @@ def test_unique_check_counts_repeated_rows(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,), (3,), (3,)], "k int")
     out = run_checks({"t": df}, [Check("t", "k", "unique")]).collect()[0]
     assert out.failing_rows == 5 == unique_failures(df, "k").count()
-
-
-def test_one_per_key_is_deterministic(spark):
-    from growthloom.sources.sinks import one_per_key
-
-    df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (1, "b", 1), (2, "z", 0)], "k int, v string, w int")
-    got = sorted(tuple(r) for r in one_per_key(df.repartition(3), ["k"]).collect())
-    assert got == [(1, "b", 2), (2, "z", 0)]
