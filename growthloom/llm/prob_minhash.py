@@ -15,12 +15,10 @@ shares no bucket with probability (1 - 0.8^5)^25 = 5e-5. Then
    text (whose buckets hold most texts), the sketches discard pairs whose
    estimate is below ``FLOOR`` (over four standard deviations under 0.8), and
    the Jaccard similarity of the whole shingle sets decides;
-2. linked texts form components; only pairs of a bucket that are still in
-   different components, and of lengths that allow the similarity, are then
-   verified the same way. In crowded buckets such pairs must also share a
-   shingle of their prefixes, rare shingles first, as any pair of that
-   similarity does. So every pair that shares a bucket is decided, without
-   all pairs of a group being made.
+2. linked texts form components; what a bucket still holds apart, of lengths
+   that allow the similarity, is then compared the same way, block by block
+   inside tasks that return only links which join components. So every pair
+   that shares a bucket is decided, without rows for all pairs of a group.
 
 Copies are folded first (texts by MD5), so a group of copies is one node.
 
@@ -46,10 +44,8 @@ WIDTH, BANDS, ROWS = 5, 25, 5
 #: Components: a prime, so that i -> a * i + b visits each of them once; the last two are unused.
 SIZE = 127
 FLOOR = 0.65
-#: Rows beside a bucket's largest component up to which they are paired directly.
-CROWD = 32
-#: Frequent shingles that prefixes put last.
-HOT = 1 << 16
+#: Rows of a bucket that a task compares with as many others.
+BLOCK = 1_000
 #: Shingles that are sketched together, to bound a task's memory.
 TOGETHER = 400_000
 
@@ -205,68 +201,85 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: f
     )
 
 
-def _differing(placed: DataFrame, crowd: int | None = CROWD) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, k, n, label, size) of keys that hold several labels, with ``main``,
-    the key's largest component; apart: those of keys with over ``crowd`` rows beside it."""
+def _differing(placed: DataFrame) -> DataFrame:
+    """Rows (key, k, n, label, size) of keys that hold several labels, with ``main``
+    (the label of the key's largest component) and ``blocks`` (into which the key is cut)."""
     several = (
         placed.groupBy("key")
-        .agg(F.max(F.struct("size", "label")).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .agg(F.max(F.struct("size", "label")).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("rows"))
         .where("lo != hi")
-        .select("key", F.col("main.label").alias("main"))
-    )
-    rows = placed.join(several, "key")
-    if crowd is None:
-        return rows, rows.limit(0)
-    beside = rows.where("label != main").groupBy("key").agg(F.count(F.lit(1)).alias("beside"))
-    rows = scratch_table(rows.join(beside, "key"), "differing")
-    return rows.where(F.col("beside") <= crowd).drop("beside"), rows.where(F.col("beside") > crowd).drop("beside")
-
-
-def _cross_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of a key's rows with different labels and sizes that allow the similarity."""
-    # Similar sets have similar sizes: floor(log size) differs by one step at most.
-    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9)
-    x = rows.where("label != main").select("key", F.explode(F.array(level - 1, level, level + 1)).alias("level"), F.col("k").alias("xk"), F.col("n").alias("xn"), F.col("label").alias("xl"))
-    y = rows.select("key", level.alias("level"), F.col("k").alias("yk"), F.col("n").alias("yn"), F.col("label").alias("yl"), "main")
-    return (
-        x.join(y, ["key", "level"])
-        .where("xl != yl and (yl = main or xk < yk)")
-        .where(F.least("xn", "yn") >= threshold * F.greatest("xn", "yn"))
-        .select(F.least("xk", "yk").alias("a"), F.greatest("xk", "yk").alias("b"))
+        .select("key", F.col("main.label").alias("main"), F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     )
+    return placed.join(several, "key").select("key", "k", "n", "label", "main", "blocks")
 
 
-def _prefixes(members: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """(key, k, n, label, size) for each shingle ``key`` of a member's prefix.
+def _cross_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join what is still apart inside the keys of ``rows``.
 
-    Two sets of similarity t share a shingle among the first n - ceil(t n) + 1
-    of each, in whatever order all sets follow. Frequent shingles come last in
-    this one, so a passage that many texts share brings no pairs. The list of
-    the HOT most frequent only shapes that order; any list gives all pairs.
+    A key's rows are cut into blocks of about BLOCK by hash, and a task holds
+    two blocks at a time. It compares the sketches of rows of different
+    components, verifies those that may be similar, likeliest first, and stops
+    once two components are joined: it returns the joining links alone, at
+    most one less than there are components. A pair that meets in several
+    buckets is looked at in the first of its bands.
     """
-    sets = _shingles_of(members.select("k"), texts, nodes)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
-            value, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(value[n > 2]), pa.array(n[n > 2])], names=["s", "n"])
-
-    top = sets.select("shingles").mapInArrow(counted, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(HOT)
-    hot = np.sort(np.array([r.s for r in top.collect()], np.int64))  # HOT values at most
+    rows = scratch_table(rows, "differing")
+    sets = _shingles_of(rows.select("k").distinct(), texts, nodes)
+    members = rows.join(nodes.select("k", "sketch", "bands"), "k").join(sets, "k")
+    mine = F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = members.withColumn("mine", mine).withColumn("other", other).withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
+    least = (FLOOR + (1 - FLOOR) / 256) * SIZE
 
-    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for x in batch.column(1).to_pylist():
-                s = np.frombuffer(x, np.int64)
-                length = len(s) - int(np.ceil(threshold * len(s) - 1e-9)) + 1
-                out.append(s[np.argsort(np.isin(s, hot), kind="stable")[:length]])
-            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            flat = np.concatenate(out) if out else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["k", "prefix"])
+    def link(table: pa.Table) -> pa.Table:
+        key = table.column("key")[0].as_py()
+        keys, labels, main = (table.column(c).to_pylist() for c in ("k", "label", "main"))
+        n = table.column("n").to_numpy()
+        mine = table.column("mine").to_numpy()
+        split = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SIZE)
+        bands = np.array(table.column("bands").to_pylist(), np.int64)
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")]
+        number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+        label = np.array([number[x] for x in labels])
+        outside = np.array([x != m for x, m in zip(labels, main)])
+        parent = list(range(len(number)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out = []
+        for x in np.flatnonzero(outside).tolist():
+            able = (label != label[x]) & (np.minimum(n, n[x]) >= threshold * np.maximum(n, n[x]))
+            # Two rows outside the main component meet once.
+            able &= ~outside | (np.arange(len(n)) > x)
+            if split:
+                able &= mine != mine[x]
+            ys = np.flatnonzero(able)
+            agree = (sketch[ys] == sketch[x]).sum(axis=1)
+            ys, agree = ys[agree >= least], agree[agree >= least]
+            if len(ys) == 0:
+                continue
+            first = (bands[ys] == bands[x]).argmax(axis=1)
+            here = bands[x][first] == key
+            ys, agree = ys[here], agree[here]
+            for y in ys[np.argsort(-agree, kind="stable")].tolist():
+                u, v = find(int(label[x])), find(int(label[y]))
+                if u == v:
+                    continue
+                both = np.concatenate([sets[x], sets[y]])
+                both.sort(kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                if common >= threshold * (len(both) - common):
+                    out.append((keys[x], keys[y]))
+                    parent[max(u, v)] = min(u, v)
+        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
 
-    return sets.mapInArrow(prefix, "k binary, prefix array<long>").join(members, "k").select(F.explode("prefix").alias("key"), "k", "n", "label", "size")
+    columns = ["key", "i", "j", "mine", "k", "n", "label", "main", "sketch", "bands", "shingles"]
+    return scratch_table(dealt.select(*columns).groupBy("key", "i", "j").applyInArrow(link, "a binary, b binary"), "cross")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
@@ -308,17 +321,7 @@ def _with_class(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
         .select(F.col("bucket").alias("key"), "k", "n", F.coalesce("label", "k").alias("label"), F.coalesce("size", F.lit(1)).alias("size")),
         "placed",
     )
-    few, crowded = _differing(placed)
-    # Members of crowded buckets meet again by a shared shingle of their prefixes.
-    members = crowded.select("k", "n", "label", "size").distinct()
-    again = scratch_table(_prefixes(members, texts, nodes, threshold), "prefixes")
-    rest = (
-        _cross_pairs(few, threshold)
-        .unionByName(_cross_pairs(_differing(again, crowd=None)[0], threshold))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = _verified(scratch_table(rest, "rest"), texts, nodes, threshold)
+    more = _cross_links(_differing(placed), nodes, texts, threshold)
     if not more.isEmpty():
         labels = connected_components(linked.unionByName(more))
     by_text = nodes.select("k", "id", "copies").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))

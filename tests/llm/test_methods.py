@@ -234,14 +234,20 @@ def test_classes_of_near_copies(spark):
     assert got == brute.duplicate_classes(texts)
 
 
-def test_crowded_buckets_lose_no_pair(spark, monkeypatch):
-    monkeypatch.setattr(prob_minhash, "CROWD", 0)
-    monkeypatch.setattr(prob_minhash._differing, "__defaults__", (0,))
-    docs = read_table(spark, SF_SMALL, "documents").orderBy("doc_id")
-    texts = [r.text for r in docs.collect()]
-    ids = [r.doc_id for r in docs.collect()]
+def test_blocks_of_a_bucket_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(prob_minhash, "BLOCK", 3)
+    rng = random.Random(10)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    base = rng.choices(vocabulary, k=160)
+    texts = []
+    for _ in range(70):  # near and below the bound, so that no text is similar to all
+        words = list(base)
+        for _ in range(rng.randint(0, 14)):
+            words[rng.randrange(160)] = rng.choice(vocabulary)
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [r.class_id for r in prob_minhash.near_duplicates(docs).orderBy("doc_id").collect()]
-    assert got == [ids[c] for c in brute.duplicate_classes(texts)]
+    assert got == brute.duplicate_classes(texts)
 
 
 def test_random_access_without_decoding():
