@@ -22,9 +22,14 @@ don't matter.
 
 from __future__ import annotations
 
+import json
 import struct
+import sys
+import types
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +46,17 @@ MAGIC = b"GLDAC001"
 NO_ID = -(1 << 63)
 
 
+def _byte_names() -> dict[int, str]:
+    """How byte-level tokenizers write bytes: visible Latin-1 characters as
+    themselves, the others as the characters from U+0100 on, in order."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(0x100 + n) for n, b in enumerate(others)}
+
+
+BYTE_NAMES = _byte_names()
+
+
 def _padded(raw: bytes) -> bytes:
     return raw + b"\0" * (-len(raw) % 8)
 
@@ -124,39 +140,112 @@ class Segment:
 
 
 class CachedTokenizer:
-    """ids of texts; a chunk between blanks is encoded the first time it is seen."""
+    """ids of texts; a chunk between blanks is put together the first time it is seen.
+
+    ASCII case is dropped beforehand where the tokenizer drops it, unless a
+    text may hold a special token. A chunk of letters before marks is two of the
+    tokenizer's own pieces, so the letters are encoded once whatever follows
+    them. The chunks of at most LIMIT are kept.
+    """
+
+    LIMIT = 800_000
+    MARKS = ".,;:!?#&%$*|"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The model alone is asked where these steps before it are the whole of them.
+        steps = json.loads(self.tokenizer.to_str())
+        known = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        known &= [x["type"] for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])] == ["Split", "ByteLevel"]
+        self.model = self.tokenizer.model if known else None
         self._start()
 
+    @staticmethod
+    def _piece(word: str) -> str | None:
+        """What the tokenizer's model gets for a word of Latin letters, which is one
+        piece: composed, without case, bytes as characters. Null for other chunks."""
+        plain = word if word.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+        if not plain.isalpha() or max(plain) >= "\u0250" or (word.isascii() and word != word.lower()):
+            return None
+        return plain if plain.isascii() else plain.encode().decode("latin-1").translate(BYTE_NAMES)
+
     def _start(self) -> None:
-        self.chunks = Vocabulary(code=lambda _: 0)
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1, np.int64)
+        self.chunks = Vocabulary(self.LIMIT, code=_no_code)
+        self.parts: dict[str, list[int]] = {}
+        self.flat = np.zeros(1 << 20, np.uint32)
+        self.begin = np.zeros(1 << 16, np.int64)
+        self.known = 0
 
     def _learn(self) -> None:
-        new = self.chunks.words[len(self.begin) - 1 :]
-        if not new:
-            return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-        ends = self.begin[-1] + np.cumsum([len(f) for f in found])
+        new = [w.decode("utf-8", "replace") for w in self.chunks.words[self.known :]]
+        cut = []
+        for text in new:
+            letters = text.rstrip(self.MARKS)
+            cut.append((letters, text[len(letters) :]) if letters.isalpha() else (text, ""))
+        missing = [p for p in dict.fromkeys(p for pair in cut for p in pair) if p and p not in self.parts]
+        whole = []
+        for p in missing:
+            piece = self._piece(p) if self.model else None
+            if piece is None:
+                whole.append(p)
+            else:
+                self.parts[p] = [x.id for x in self.model.tokenize(piece)]
+        if whole:
+            for p, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+                self.parts[p] = found.ids
+        found = [self.parts[x] + self.parts[y] if y else self.parts[x] for x, y in cut]
+        ends = self.begin[self.known] + np.cumsum([len(f) for f in found])
         while ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-        self.flat[self.begin[-1] : ends[-1]] = np.fromiter((i for f in found for i in f), np.uint32)
-        self.begin = np.append(self.begin, ends)
-
-    def encode(self, text: bytes) -> np.ndarray:
-        if self.chunks.trim():
+        while self.known + len(new) >= len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros(len(self.begin), np.int64)])
+        self.flat[self.begin[self.known] : ends[-1]] = list(chain.from_iterable(found))
+        self.begin[self.known + 1 : self.known + 1 + len(new)] = ends
+        self.known += len(new)
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if len(self.chunks.words) >= self.LIMIT or len(self.parts) >= self.LIMIT:
             self._start()
-        numbers = self.chunks.numbers(text.split())
-        if len(self.chunks.words) >= len(self.begin):
+        words = [(t.lower() if self.model and b"<|" not in t else t).split() for t in texts]
+        numbers = self.chunks.numbers(list(chain.from_iterable(words)))
+        if len(self.chunks.words) > self.known:
             self._learn()
         begin = self.begin[numbers]
         size = self.begin[numbers + 1] - begin
-        return self.flat[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        before = np.cumsum(size) - size
+        ids = self.flat[np.repeat(begin - before, size) + np.arange(int(size.sum()))]
+        upto = np.append(0, np.cumsum(size))[np.cumsum([len(w) for w in words])]
+        return np.split(ids, upto[:-1])
+
+
+def _encoded(encoder: CachedTokenizer, texts: Iterator[bytes], together: int = 1 << 20) -> Iterator[np.ndarray]:
+    """ids of texts, encoded ``together`` bytes at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= together:
+            yield from encoder.encode(held)
+            held, size = [], 0
+    if held:
+        yield from encoder.encode(held)
+
+
+def _no_code(word: bytes) -> int:
+    return 0
+
+
+def _kept_tokenizer(path: str) -> CachedTokenizer:
+    """The worker process's tokenizer: Spark reuses workers, and what one task
+    has learnt helps the next. Its memory is bounded by CachedTokenizer.LIMIT."""
+    kept = sys.modules.setdefault("growthloom_kept_tokenizers", types.ModuleType("growthloom_kept_tokenizers"))
+    found = kept.__dict__.setdefault("by_path", {})
+    if path not in found:
+        found[path] = CachedTokenizer(path)
+    return found[path]
 
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -176,7 +265,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, id
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = CachedTokenizer(tokenizer)
+        encoder = _kept_tokenizer(tokenizer)
         end = np.array([end_id], np.uint32)
         ids, lengths, texts, size, segment, part = [], [], [], 0, 0, 0
 
@@ -185,12 +274,11 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, id
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([segment], pa.int64()), pa.array([size], pa.int64()), pa.array([image], pa.binary())], names=["part", "segment", "n_tokens", "image"])
 
         for batch in batches:
-            numbers = batch.column(1).to_numpy()
-            for row, text in enumerate(text_bytes(batch.column(2))):
-                part = batch.column(0)[row].as_py()
-                texts += [encoder.encode(text), end]
-                ids.append(int(numbers[row]))
-                lengths.append(len(texts[-2]) + 1)
+            part = batch.column(0)[0].as_py() if batch.num_rows else part
+            for id_, encoded in zip(batch.column(1).to_pylist(), _encoded(encoder, text_bytes(batch.column(2)))):
+                texts += [encoded, end]
+                ids.append(id_)
+                lengths.append(len(encoded) + 1)
                 size += lengths[-1]
                 if size >= SEGMENT_TOKENS:
                     yield flush()
