@@ -52,7 +52,7 @@ def fact_events(staged: DataFrame, backfill_start_date: str | dt.date | Column |
         *[c for c in ("event_id",) if c in staged.columns],
     )
     if backfill_start_date is not None:
-        fct = fct.filter((F.col("event_date") >= as_date_column(backfill_start_date)) | F.col("event_date").isNull())
+        fct = fct.filter((F.col("event_date") >= as_date_column(backfill_start_date)) | F.col("event_ts").isNull())
     return fct
 
 

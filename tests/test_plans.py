@@ -9,7 +9,8 @@ import __spark_entry__ as entry_module
 from tests.conftest import SF_SMALL
 from tests.plan_audit import audit
 
-QUERIES = entry_module.queries()
+# The training-data subpackage has tests of its own.
+QUERIES = {n: q for n, q in entry_module.queries().items() if n != "pipeline" and not n.startswith("op")}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
