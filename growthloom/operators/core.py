@@ -60,16 +60,25 @@ def dim_user(staged: DataFrame) -> DataFrame:
     """One row per user over all staged events.
 
     gender/country are the first non-NULL values recorded; ``lifetime_events``
-    counts distinct timestamps. Spark plans the distinct count in two steps
-    (first shuffled on (user, ts), then on user), so a user holding a large
-    share of all events is still spread over many tasks.
+    counts distinct timestamps. Raw events meet two hash aggregates: the time
+    span of each (user, gender, country), from whose few rows the first values
+    are picked, and the distinct (user, ts), so a user holding a large share
+    of all events is spread over many tasks. Both have one row per user in the
+    end and are joined (NULL users match).
     """
-    return staged.groupBy("user_id").agg(
+    spans = staged.groupBy("user_id", "gender", "country").agg(
+        F.min("event_ts").alias("event_ts"),
+        F.max("event_ts").alias("last_ts"),
+        F.min("event_date").alias("first_date"),
+        F.max("event_date").alias("last_date"),
+    )
+    users = spans.groupBy("user_id").agg(
         any_value_det("gender", "event_ts").alias("gender"),
         any_value_det("country", "event_ts").alias("country"),
         F.min("event_ts").alias("first_seen_ts"),
-        F.max("event_ts").alias("last_seen_ts"),
-        F.min("event_date").alias("first_seen_date"),
-        F.max("event_date").alias("last_seen_date"),
-        F.count_distinct("event_ts").alias("lifetime_events"),
+        F.max("last_ts").alias("last_seen_ts"),
+        F.min("first_date").alias("first_seen_date"),
+        F.max("last_date").alias("last_seen_date"),
     )
+    instants = staged.select("user_id", "event_ts").distinct().groupBy(F.col("user_id").alias("_user")).agg(F.count("event_ts").alias("lifetime_events"))
+    return users.join(instants, users["user_id"].eqNullSafe(instants["_user"])).select(*DIM_USER_COLUMNS)

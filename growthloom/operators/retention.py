@@ -27,7 +27,10 @@ def _user_periods(fct: DataFrame, grains: tuple[str, ...], week_start: str) -> D
     structs = F.array(
         *[F.struct(F.lit(g).alias("period_grain"), period_index(F.col("event_date"), g, week_start).alias("pidx")) for g in grains]
     )
-    ex = fct.select("user_id", "event_ts", "country", "gender", "engagement_bucket", F.inline(structs))
+    # Raw events are reduced to a row per day and values before they are
+    # multiplied: a hash aggregate, as its buffer is one timestamp.
+    days = fct.groupBy("user_id", "event_date", "engagement_bucket", "country", "gender").agg(F.min("event_ts").alias("event_ts"))
+    ex = days.select("user_id", "event_ts", "country", "gender", "engagement_bucket", F.inline(structs))
     ex = ex.select(
         "user_id", "event_ts", "country", "gender", "period_grain", "pidx",
         F.explode(engagement_types("engagement_bucket")).alias("engagement_type"),
