@@ -48,6 +48,10 @@ FEATURES = (
 )
 
 
+MASKED = re.compile(r"[^\W\d_][\d@$*!|]+[^\W\d_]")
+STRETCHED = re.compile(r"(.)\1\1")
+
+
 def plain(word: bytes) -> str:
     return word.decode("utf-8", "replace").lower().strip(EDGE)
 
@@ -68,14 +72,14 @@ class Featuriser:
         self.table = np.zeros((0, 6))
 
     def _row(self, word: bytes) -> tuple:
-        text = plain(word)
+        raw = word.decode("utf-8", "replace").strip(EDGE)
+        text = raw.lower()
         if not text:
             return 0, 0, 0, 0, 0, 0
-        raw = word.decode("utf-8", "replace").strip(EDGE)
-        masked = bool(re.search(r"[^\W\d_][\d@$*!|]+[^\W\d_]", raw))
+        masked = not raw.isalpha() and bool(MASKED.search(raw))
         weight = max(self.lexicon.get(text, 0.0), self.lexicon.get(text.translate(STANDS_FOR), 0.0) if masked else 0.0)
         stem = self.lexicon.get(text[:STEM] + "*", 0.0) if len(text) > STEM else 0.0
-        return weight, stem, text in SECOND_PERSON, len(raw) > 2 and raw.isupper(), masked, bool(re.search(r"(.)\1\1", text))
+        return weight, stem, text in SECOND_PERSON, len(raw) > 2 and raw.isupper(), masked, bool(STRETCHED.search(text))
 
     def features(self, text: bytes) -> list[float]:
         if self.book.trim():
