@@ -159,6 +159,63 @@ def test_paraphrase_needs_its_answer(spark):
     assert {r.doc_id for r in latent_search.contaminated(docs, bench).collect()} <= {60, 61}
 
 
+def _planted(rng: random.Random, words: list[str], answer: int, kept: list[int], others: list[str]) -> str:
+    """An item inside a text, of whose words only ``kept`` (places) are as they were."""
+    body = [w if j in set(kept) else rng.choice(others) for j, w in enumerate(words)]
+    return " ".join([*rng.choices(others, k=rng.randint(30, 80)), *body, *rng.choices(others, k=rng.randint(30, 80))])
+
+
+def _coded(text: str) -> np.ndarray:
+    return latent_search.WordCoder().codes([text.encode()])[0]
+
+
+def _benchmark(spark, path=SF) -> tuple[list[str], list[list[str]], list[int], list[str]]:
+    """Texts of the items, their words, where their answers start; words of documents."""
+    texts = [r.text for r in read_table(spark, path, "benchmark").collect()]
+    words = [t.replace(",", " ").replace(".", " ").lower().split() for t in texts]
+    others = " ".join(r.text or "" for r in read_table(spark, SF_SMALL, "documents").collect()).replace(",", " ").replace(".", " ").lower().split()
+    return texts, words, [latent_search._answer_start(t, len(_coded(t))) for t in texts], others
+
+
+def _accepted(text: str, item: str, answer: int) -> bool:
+    """The verdict at any alignment."""
+    words, wanted = _coded(text), _coded(item).tolist()
+    offsets = range(max(1, len(wanted) - latent_search.WINDOW + 1))
+    return any(latent_search.verdict(words, at, wanted, o, answer)[1] for at in range(len(words)) for o in offsets)
+
+
+def test_bound_by_common_words_loses_nothing_that_the_verdict_accepts():
+    """Paraphrases without their rarest words; the checks of many candidates at once against one by one."""
+    rng = random.Random(13)
+    vocabulary = [f"w{int(rng.paretovariate(0.4)) % 5000}" for _ in range(4000)]
+    count = Counter(vocabulary)
+    items, rows = [], []
+    for n in [*range(8, 70, 3), 90]:
+        words = rng.choices(vocabulary, k=n)
+        answer = max(0, n - max(5, n // 4))
+        items.append((_coded(" ".join(words)).tolist(), answer))
+        common = sorted(range(answer), key=lambda j: -count[words[j]])
+        for kept in ([*range(answer, n), *common[: max(0, -(-45 * n // 100) - (n - answer))]], sorted(range(n), key=lambda j: -count[words[j]])[: -(-6 * n // 10)], range(n), ()):
+            rows.append(_coded(_planted(rng, words, answer, list(kept), vocabulary)))
+    vocabulary, groups = latent_search.group_tables(items)
+    texts = latent_search.Texts(rows, vocabulary)
+    texts.group(*groups[0])
+    cases = []
+    for t, row in enumerate(rows):
+        i = t // 4
+        n = len(items[i][0])
+        offsets = sorted({0, max(0, n - latent_search.WINDOW), max(0, n - latent_search.WINDOW) // 2})
+        cases += [(t, i, at, o) for at in range(0, len(row), latent_search.GRID) for o in offsets]
+    text, item, at, offset = np.array(cases).T
+    n, answer = np.array([len(w) for w, _ in items])[item], np.array([a for _, a in items])[item]
+    one = [latent_search.verdict(rows[t], a, items[i][0], o, items[i][1]) for t, i, a, o in cases]
+    able = latent_search.possible(texts, n, answer, text, item, at, offset)
+    share, leak = latent_search.verdicts(texts, items, n, answer, text, item, at, offset)
+    assert share.tolist() == [s for s, _ in one] and leak.tolist() == [x for _, x in one]
+    assert len({t for (t, *_), (_, x) in zip(cases, one) if x}) >= 0.7 * len(rows)
+    assert able[leak].all() and not able.all()
+
+
 def test_url_verdicts_against_brute_force(spark):
     urls = [r.url for r in read_table(spark, SF_SMALL, "pages").collect()] + [None, "", "http://", "nothing", "HTTP://WWW.Example.COM", "x://a.example.com/en/1?x#y", "x://com/", "x://example.com", "x://badcom/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
