@@ -184,6 +184,21 @@ def _accepted(text: str, item: str, answer: int) -> bool:
     return any(latent_search.verdict(words, at, wanted, o, answer)[1] for at in range(len(words)) for o in offsets)
 
 
+def test_short_items_at_every_alignment(spark):
+    rng = random.Random(12)
+    _, items, _, others = _benchmark(spark)
+    wanted = [rng.choices([w for x in items for w in x], k=n) for n in range(8, 31)]
+    docs, want = [], set()
+    for i, words in enumerate(wanted):
+        for shift in range(12):
+            docs.append((len(docs), " ".join([*rng.choices(others, k=36 + shift), *words, *rng.choices(others, k=50)])))
+            want.add((len(docs) - 1, i))
+    bench = [(i, " ".join(words)) for i, words in enumerate(wanted)]
+    found = latent_search.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert len(got & want) >= 0.99 * len(want)
+
+
 def test_bound_by_common_words_loses_nothing_that_the_verdict_accepts():
     """Paraphrases without their rarest words; the checks of many candidates at once against one by one."""
     rng = random.Random(13)
