@@ -184,6 +184,27 @@ def _accepted(text: str, item: str, answer: int) -> bool:
     return any(latent_search.verdict(words, at, wanted, o, answer)[1] for at in range(len(words)) for o in offsets)
 
 
+@pytest.mark.parametrize("kind", ["0.6 kept", "0.45 and the answer"])
+def test_items_at_the_verdict_s_limits_are_found(spark, kind):
+    rng = random.Random(11)
+    texts, items, answers, others = _benchmark(spark)
+    docs, want = [], set()
+    for n in range(160):
+        i = n % len(items)
+        size = len(items[i])
+        if kind == "0.6 kept":
+            kept = rng.sample(range(size), -(-6 * size // 10))
+        else:
+            kept = [*range(answers[i], size), *rng.sample(range(answers[i]), max(0, -(-45 * size // 100) - (size - answers[i])))]
+        docs.append((n, _planted(rng, items[i], answers[i], kept, others)))
+        if _accepted(docs[-1][1], texts[i], answers[i]):
+            want.add((n, i))
+    found = latent_search.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert len(want) > 100
+    assert len(got & want) >= 0.9 * len(want)
+
+
 def test_short_items_at_every_alignment(spark):
     rng = random.Random(12)
     _, items, _, others = _benchmark(spark)
