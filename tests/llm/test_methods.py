@@ -252,6 +252,41 @@ def test_bound_by_common_words_loses_nothing_that_the_verdict_accepts():
     assert able[leak].all() and not able.all()
 
 
+def test_a_paraphrase_with_its_answer_is_found(spark):
+    """The rows of test_paraphrase_needs_its_answer, by what must be found."""
+    rng = random.Random(4)
+    vocabulary = [f"term{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, k=120)) for _ in range(60)]
+    item = rng.sample(vocabulary, 30)
+    kept = [w if n % 5 not in (1, 3) else "said" for n, w in enumerate(item)]
+    bodies = (kept[:25] + item[25:], [w if n % 3 == 0 else "said" for n, w in enumerate(item[:25])] + ["never", "mind", "what", "it", "was"])
+    texts += [" ".join(rng.choices(vocabulary, k=36) + body + rng.choices(vocabulary, k=20)) for body in bodies]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in latent_search.contaminated(docs, bench).collect()} == {60}
+
+
+def test_recall_of_verbatim_edited_and_paraphrased_items(spark):
+    """Against the verdict at every alignment, over all planted documents and their items."""
+    rng = random.Random(14)
+    texts, items, answers, others = _benchmark(spark)
+    docs, want = [], defaultdict(set)
+    for n in range(200):
+        i, kind = n % len(items), ("verbatim", "0.8", "0.7", "0.6", "paraphrase")[n % 5 if n < 100 else n // 7 % 5]
+        size, answer = len(items[i]), answers[i]
+        share = {"verbatim": 1.0, "paraphrase": 0.5}.get(kind) or float(kind)
+        tail = list(range(answer, size)) if kind == "paraphrase" else []
+        left = [j for j in range(size) if j not in set(tail)]
+        kept = tail + rng.sample(left, min(len(left), max(0, int(np.ceil(share * size)) - len(tail))))
+        docs.append((n, _planted(rng, items[i], answer, kept, others)))
+        if _accepted(docs[-1][1], texts[i], answer):
+            want[kind].add((n, i))
+    found = latent_search.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    for kind, pairs in want.items():
+        assert len(pairs) > 10 and len(got & pairs) >= 0.9 * len(pairs), kind
+
+
 def test_url_verdicts_against_brute_force(spark):
     urls = [r.url for r in read_table(spark, SF_SMALL, "pages").collect()] + [None, "", "http://", "nothing", "HTTP://WWW.Example.COM", "x://a.example.com/en/1?x#y", "x://com/", "x://example.com", "x://badcom/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
