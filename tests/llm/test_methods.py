@@ -100,6 +100,16 @@ def test_word_codes_do_not_depend_on_where_words_stand(monkeypatch):
     assert [c.tolist() for c in latent_search.WordCoder().codes([t.encode() for t in texts])] == each
 
 
+def test_word_codes_without_case_and_marks_of_any_script():
+    def codes(text):
+        return latent_search.WordCoder().codes([text.encode()])[0].tolist()
+
+    assert codes("\u00cates-vous L\u00c0 \u00c9t\u00c9") == codes("\u00eates vous l\u00e0 \u00e9t\u00e9")
+    assert codes("\u201eGr\u00fc\u00dfe\u201c \u2013 \u00abSo\u00bb\u2026 \u00bfQu\u00e9?\u00a0ja\u2019s") == codes("gr\u00fc\u00dfe so qu\u00e9 ja s")
+    assert codes("\u041c\u0418\u0420\u3002\u4e16\u754c\uff0c") == codes("\u043c\u0438\u0440 \u4e16\u754c")
+    assert len(set(codes("\u00aa \u00b2 \u00bd \u00b5 x"))) == 5
+
+
 def test_passages_cover_every_word():
     lengths = np.array([0, 1, 12, 13, 24, 25, 100])
     sums, whose, at = latent_search.passage_sums(np.ones((int(lengths.sum()), 1)), lengths)
