@@ -6,14 +6,19 @@ weighted sets: each shingle is a Poisson process whose rate is its weight, its
 arrivals visit the sketch's components in an order of its own, and each
 component keeps the first shingle to arrive. An arrival later than the latest
 of all components can change nothing, so a shingle's process ends there. Two
-documents agree in a component with probability J_p.
+documents agree in a component with probability J_p. Where one text repeats a
+passage more often than another, J_p lies far below the Jaccard similarity J
+that decides; so each text also has a sketch with all weights 1 (the same
+processes, the same sketch if no shingle repeats), whose components agree with
+probability J.
 
-``BANDS`` bands of ``ROWS`` components make buckets. At similarity 0.8 a pair
-shares no bucket with probability (1 - 0.8^5)^25 = 5e-5. Then
+``BANDS`` bands of ``ROWS`` components of either sketch make buckets. At J = 0.8
+the sketches without weights share no bucket with probability
+(1 - 0.8^5)^25 = 5e-5, whatever is repeated; the weighted ones add buckets. Then
 
 1. every distinct text of a bucket is paired with the bucket's most central
-   text (whose buckets hold most texts), the sketches discard pairs whose
-   estimate is below ``FLOOR`` (over four standard deviations under 0.8), and
+   text (whose buckets hold most texts), the sketches without weights discard pairs whose
+   estimate of J is below ``FLOOR`` (over four standard deviations under 0.8), and
    the Jaccard similarity of the whole shingle sets decides;
 2. linked texts form components; what a bucket still holds apart, of lengths
    that allow the similarity, is then compared the same way, block by block
@@ -44,6 +49,8 @@ WIDTH, BANDS, ROWS = 5, 25, 5
 #: Components: a prime, so that i -> a * i + b visits each of them once; the last two are unused.
 SIZE = 127
 FLOOR = 0.65
+#: More than any bucket.
+LAST = np.iinfo(np.int64).max
 #: Rows of a bucket that a task compares with as many others.
 BLOCK = 1_000
 #: Shingles that are sketched together, to bound a task's memory.
@@ -92,8 +99,31 @@ def sketches(shingles: np.ndarray, weights: np.ndarray, owner: np.ndarray, n_own
     return kept.reshape(n_owners, SIZE)
 
 
+def both_sketches(shingles: np.ndarray, counts: np.ndarray, owner: np.ndarray, n_owners: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sketches without weights and with weights 1 + ln(count); alike for sets in which nothing repeats."""
+    plain = sketches(shingles, np.ones(len(shingles)), owner, n_owners)
+    repeats = np.zeros(n_owners, bool)
+    repeats[owner[counts > 1]] = True
+    weighted = plain.copy()
+    if repeats.any():
+        mine = repeats[owner]
+        weighted[repeats] = sketches(shingles[mine], 1.0 + np.log(counts[mine]), (np.cumsum(repeats) - 1)[owner[mine]], int(repeats.sum()))
+    return plain, weighted
+
+
+def band_keys(kept: np.ndarray) -> np.ndarray:
+    """(n, BANDS): the bucket of each band of sketches."""
+    with np.errstate(over="ignore"):
+        rows = kept[:, : BANDS * ROWS].reshape(len(kept), BANDS, ROWS)
+        bands = np.broadcast_to(mixed(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(kept), BANDS)).copy()
+        for j in range(ROWS):
+            bands = mixed(bands * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, j])
+    return bands.view(np.int64)
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, k, text) -> (id, k, n shingles, sketch of one byte a component, bucket keys)."""
+    """(id, k, text) -> (id, k, n shingles, sketch without weights of one byte a component, bucket
+    keys of the sketch without weights, then of the weighted one)."""
     vocabulary = Vocabulary()
     for batch in batches:
         ids, keys = batch.column(0), batch.column(1)
@@ -104,21 +134,17 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner = np.repeat(np.arange(len(sets)), counts)
             flat = np.concatenate([s for s, _ in sets]) if sets else np.zeros(0, np.uint64)
             many = np.concatenate([c for _, c in sets]) if sets else np.zeros(0, np.int64)
-            kept = sketches(flat, 1.0 + np.log(np.maximum(many, 1)), owner, len(sets))
-            with np.errstate(over="ignore"):
-                rows = kept[:, : BANDS * ROWS].reshape(len(sets), BANDS, ROWS)
-                bands = np.broadcast_to(mixed(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(sets), BANDS)).copy()
-                for j in range(ROWS):
-                    bands = mixed(bands * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, j])
-            short = (mixed(kept) & np.uint64(255)).astype(np.uint8)
-            offsets = np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32)
+            plain, weighted = both_sketches(flat, many, owner, len(sets))
+            bands = np.concatenate([band_keys(plain), band_keys(weighted)], axis=1)
+            short = (mixed(plain) & np.uint64(255)).astype(np.uint8)
+            offsets = np.arange(0, (len(sets) + 1) * 2 * BANDS, 2 * BANDS, dtype=np.int32)
             return pa.RecordBatch.from_arrays(
                 [
                     ids.slice(begin, end - begin),
                     keys.slice(begin, end - begin),
                     pa.array(counts),
                     pa.array([x.tobytes() for x in short], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.reshape(-1).view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.reshape(-1))),
                 ],
                 names=["id", "k", "n", "sketch", "bands"],
             )
@@ -221,7 +247,7 @@ def _cross_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold:
     components, verifies those that may be similar, likeliest first, and stops
     once two components are joined: it returns the joining links alone, at
     most one less than there are components. A pair that meets in several
-    buckets is looked at in the first of its bands.
+    buckets is looked at in the least of them.
     """
     rows = scratch_table(rows, "differing")
     sets = _shingles_of(rows.select("k").distinct(), texts, nodes)
@@ -263,8 +289,8 @@ def _cross_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold:
             ys, agree = ys[agree >= least], agree[agree >= least]
             if len(ys) == 0:
                 continue
-            first = (bands[ys] == bands[x]).argmax(axis=1)
-            here = bands[x][first] == key
+            # The least of the buckets that both are in, by either sketch of each.
+            here = np.minimum(*(np.where(bands[ys] == mine_too, mine_too, LAST).min(axis=1) for mine_too in (bands[x], np.roll(bands[x], BANDS)))) == key
             ys, agree = ys[here], agree[here]
             for y in ys[np.argsort(-agree, kind="stable")].tolist():
                 u, v = find(int(label[x])), find(int(label[y]))
@@ -302,7 +328,7 @@ def _with_class(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
         "nodes",
     )
     texts = texts.where(F.col("k").isNotNull())
-    buckets = nodes.select(F.explode("bands").alias("bucket"), "k", "n")
+    buckets = nodes.select(F.explode(F.array_distinct("bands")).alias("bucket"), "k", "n")
     held = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     shared = scratch_table(buckets.join(held, "bucket"), "shared")
     # The text whose buckets hold most is the likeliest source of a group of near copies.

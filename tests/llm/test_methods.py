@@ -388,6 +388,26 @@ def test_blocks_of_a_bucket_lose_no_pair(spark, monkeypatch):
     assert got == brute.duplicate_classes(texts)
 
 
+def test_texts_of_unequal_repetition(spark, monkeypatch):
+    """One of each pair repeats a passage: the classes are by distinct shingles, however often they occur."""
+    monkeypatch.setattr(prob_minhash, "BLOCK", 7)
+    rng = random.Random(15)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    texts = []
+    for n in range(60):
+        base = rng.choices(vocabulary, k=400)
+        size, times, edits = ((200, 20, 0), (200, 50, 0), (133, 5, 6), (200, 10, 6))[n % 4]
+        other = base[:size] * times + base[size:]
+        for _ in range(edits):
+            other[rng.randrange(size * times, len(other))] = rng.choice(vocabulary)
+        texts += [" ".join(base), " ".join(other), " ".join(other[:-1])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.class_id for r in prob_minhash.near_duplicates(docs).orderBy("doc_id").collect()]
+    want = brute.duplicate_classes(texts)
+    assert len(set(want)) < 70
+    assert got == want
+
+
 def test_random_access_without_decoding():
     rng = np.random.default_rng(7)
     ids = np.concatenate([rng.integers(0, 300, 3000), rng.integers(0, 1 << 32, 500), [0, 255, 256, 65535, 65536, (1 << 32) - 1]]).astype(np.uint32)
