@@ -99,24 +99,51 @@ def fitted(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     return take
 
 
+def numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` (a row a source) with ``__n``, from 0, by code point with null last.
+
+    Sorted ranges are numbered in a task each; what lies before a range is added."""
+    order = F.col("source").asc_nulls_last()
+    ranged = scratch_table(sources.repartitionByRange(order).withColumn("__p", F.spark_partition_id()), "sources")
+    before, offsets = 0, []
+    # As many rows as the shuffle has partitions.
+    for r in sorted(ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["__p"]):
+        offsets.append((r["__p"], before))
+        before += r["n"]
+    starts = sources.sparkSession.createDataFrame(offsets, "__p int, __before long")
+    number = F.row_number().over(W.partitionBy("__p").orderBy(order)) - 1
+    return ranged.withColumn("__i", number).join(F.broadcast(starts), "__p").withColumn("__n", F.col("__i") + F.col("__before")).drop("__p", "__i", "__before")
+
+
+def water_level(weighed: DataFrame, share: float, cap: float) -> float | None:
+    """The level at which ``share`` times all words are given (null: every source gets its limit).
+
+    What is given is concave in the level, so steps along its slope rise to the level
+    and end there. Each one is an aggregate of one row; the open sources become fewer with each.
+    """
+    limit, weight = cap * F.col("source_size"), F.col("weight")
+    level = 0.0
+    while True:
+        full = limit < F.lit(level) * weight
+        r = weighed.agg(
+            F.sum("source_size").alias("words"),
+            F.sum(F.when(full, limit)).alias("given"),
+            F.sum(F.when(~full, weight)).alias("open"),
+        ).first()
+        if not r.open or share >= cap:
+            return None
+        higher = (share * r.words - (r.given or 0)) / r.open
+        if higher <= level:
+            return level
+        level = higher
+
+
 def source_targets(sources: DataFrame, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """``sources`` (source, source_size) and each one's ``target``. One row a source: mixing
-    weights are a list that somebody wrote, so the windows here run over a short table."""
-    in_order = W.orderBy(F.col("source").asc_nulls_last())
-    all_rows = W.partitionBy()
-    weighed = sources.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), ((F.row_number().over(in_order) - 1) % len(WEIGHTS) + 1).cast("int")))
-    limit = cap * F.col("source_size")
-    before = W.orderBy(limit / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    level = (share * F.sum("source_size").over(all_rows) - F.coalesce(F.sum(limit).over(before), F.lit(0))) / (
-        F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    )
-    # The level rises while sources are capped and falls after: its maximum is where both meet.
-    return (
-        weighed.withColumn("__level", level)
-        .withColumn("__level", F.max("__level").over(all_rows))
-        .withColumn("target", F.least(limit.cast("double"), F.col("__level") * F.col("weight")))
-        .drop("__level", "weight")
-    )
+    """``sources`` (source, source_size: a row a source) and each one's ``target``."""
+    weights = F.array(*[F.lit(w) for w in WEIGHTS])
+    weighed = scratch_table(numbered(sources).withColumn("weight", F.element_at(weights, (F.col("__n") % len(WEIGHTS) + 1).cast("int"))).drop("__n"), "weighed")
+    limit, level = (cap * F.col("source_size")).cast("double"), water_level(weighed, share, cap)
+    return weighed.withColumn("target", limit if level is None else F.least(limit, F.lit(level) * F.col("weight"))).drop("weight")
 
 
 def mixed(rows: DataFrame, share: float = SHARE, cap: float = CAP) -> DataFrame:

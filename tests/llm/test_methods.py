@@ -63,6 +63,27 @@ def test_mix_reaches_its_targets(spark):
         assert target[s] == pytest.approx(level * weights[s] if s in open_sources else 2 * size[s])
 
 
+def test_targets_of_many_sources_without_a_window_over_all(spark):
+    rng = random.Random(16)
+    rows = [(f"s{n}" if n else None, int(rng.paretovariate(0.5)) % 100_000) for n in range(3000)]
+    sources = spark.createDataFrame(rows, "source string, source_size long").repartition(7)
+    for share, cap in ((1.5, 2), (1.9999, 2), (0.001, 2), (2, 2), (3, 2)):
+        frame = mixing.source_targets(sources, share, cap)
+        plan = frame._jdf.queryExecution().toString() + mixing.numbered(sources)._jdf.queryExecution().toString()
+        assert "SinglePartition" not in plan
+        got = {r.source: r.target for r in frame.collect()}
+        order = sorted((s for s, _ in rows if s is not None)) + [None]
+        weights, size = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}, dict(rows)
+        left, level = share * sum(size.values()), 0.0
+        open_weight = sum(weights.values())
+        for s in sorted(size, key=lambda s: size[s] / weights[s]):
+            level = max(level, left / open_weight)
+            left, open_weight = left - cap * size[s], open_weight - weights[s]
+        assert set(got) == set(size)
+        assert all(got[s] == pytest.approx(min(cap * size[s], level * weights[s])) for s in size)
+    assert mixing.source_targets(sources.limit(0)).count() == 0
+
+
 def test_mix_ranges_of_a_crowded_length(spark, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
     docs = spark.range(400).selectExpr("id as doc_id", "concat('w', id, ' x y') as text", "if(id < 100, 'a', 'b') as source")
