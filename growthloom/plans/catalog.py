@@ -36,7 +36,7 @@ from growthloom.operators.reporting import (
 from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
 from growthloom.plans.loader import load_fact
-from growthloom.plans.refresh import refresh
+from growthloom.plans.refresh import MODELS, refresh
 from growthloom.session import apply_runtime_conf, shared_folder
 from growthloom.sources.adapters import raw_events
 from growthloom.sources.sinks import merge_table
@@ -152,12 +152,32 @@ def _dim_user_merged(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).select(*DIM_USER_COLUMNS)
 
 
-def _refresh_weekly(spark: SparkSession, d: str) -> DataFrame:
-    """Two refresh groups into a new warehouse; row counts read back from its tables."""
+def _refreshed(spark: SparkSession, d: str, *tags: str) -> str:
+    """A new warehouse: all models from events up to a week before the last day, then whole groups by tag from all events."""
     warehouse = scratch(spark, "warehouse")
     raw = raw_events(spark, d, "events")
-    apply_runtime_conf(spark)
-    refresh(spark, raw, warehouse, models=("stg_event_stream", "fct_events", "int_user_growth_status_weekly", "fct_cohort_retention_weekly"))
+    cut = _cut(staged(spark, d, "events"))
+    refresh(spark, raw.filter(F.to_date(F.col("event_time").cast("timestamp")) <= cut), warehouse)
+    for tag in tags:
+        refresh(spark, raw, warehouse, tag=tag)
+    return warehouse
+
+
+def _refresh_groups(spark: SparkSession, d: str) -> DataFrame:
+    """All refresh groups; row counts of every table written, read back. The daily group
+    runs again at the end, as its tables over all grains read those of the other groups."""
+    warehouse = _refreshed(spark, d, "refresh_daily", "refresh_weekly", "refresh_monthly", "refresh_daily")
+    out = None
+    for model in MODELS:
+        if model.materialized != "view":
+            rows = spark.read.parquet(f"{warehouse}/{model.layer}/{model.name}").agg(F.lit(model.name).alias("model"), F.count(F.lit(1)).alias("n_rows"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _refresh_weekly(spark: SparkSession, d: str) -> DataFrame:
+    """The daily and weekly groups; row counts by part read back from three tables (``refresh_groups`` has all)."""
+    warehouse = _refreshed(spark, d, "refresh_daily", "refresh_weekly")
     parts = (("intermediate", "int_user_growth_status_weekly", "growth_status"), ("marts", "fct_cohort_retention_weekly", "engagement_type"), ("core", "fct_events", "engagement_bucket"))
     out = None
     for layer, model, part in parts:
@@ -271,5 +291,6 @@ def queries() -> dict[str, Query]:
         "fact_backfill": _fact_backfill,
         "dim_user_merged": _dim_user_merged,
         "refresh_weekly": _refresh_weekly,
+        "refresh_groups": _refresh_groups,
     }
     return q

@@ -41,6 +41,17 @@ def test_full_build_then_daily_refresh(spark):
     )
 
 
+def test_the_registered_query_runs_whole_groups_by_tag(spark, monkeypatch):
+    from growthloom.plans import catalog
+
+    runs = []
+    monkeypatch.setattr(catalog, "refresh", lambda s, raw, wh, **k: runs.append((k, refresh(s, raw, wh, **k))))
+    queries()["refresh_weekly"](spark, SF_SMALL)
+    assert [k for k, _ in runs] == [{}, {"tag": "refresh_daily"}, {"tag": "refresh_weekly"}]
+    for k, built in runs:
+        assert built == [m.name for m in MODELS if not k or k["tag"] in m.all_tags]
+
+
 def test_tags_from_names():
     tags = {m.name: m.all_tags for m in MODELS}
     assert tags["int_user_growth_status_weekly"] == ("refresh_weekly",)
