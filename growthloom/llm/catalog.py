@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from growthloom.llm.boosted_toxicity import toxicity_scores
 from growthloom.llm.common import read_table
 from growthloom.llm.factor_quality import quality_scores
 from growthloom.llm.host_rules import host_rules
 from growthloom.llm.latent_search import contaminated
+from growthloom.llm.merkle import manifest
 from growthloom.llm.mixing import source_mix
+from growthloom.llm.piece_table import round_trip as piece_round_trip
 from growthloom.llm.prob_minhash import near_duplicates
 from growthloom.llm.secret_ledger import secrets
 from growthloom.llm.sharding import shards
 from growthloom.llm.token_file import round_trip
 from growthloom.llm.url_filter import url_verdicts
+from growthloom.llm.whitening import whitened
 
 
 def op1_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +67,26 @@ def op10_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(read_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_piece_table(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    return piece_round_trip(read_table(spark, sf_dir, "documents"), model or public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_subset_sum_mix, op2_latent_search, op3_url_markov, op4_secret_ledger, op5_factor_quality,
             op6_extendible_shards, op7_prob_minhash, op8_host_rules, op9_directly_addressable, op10_boosted_toxicity,
+            op11_bit_sliced_whitening, op12_merkle_witnesses, op13_piece_table,
         )
     }

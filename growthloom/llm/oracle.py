@@ -162,6 +162,56 @@ FROM reach JOIN d AS x ON x.rid = a JOIN d AS y ON y.rid = b GROUP BY a, x.doc_i
 """
 
 
+def _op12(levels: int = 12) -> str:
+    """One level of the trees after another, each with the siblings before and after a node."""
+    fields = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END" for c in ("doc_id", "source", "lang", "n_chars")]
+    text = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}) || ':' || {0} END"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # The remainder of the id's digits, bit by bit.
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, range(0, 8 * length(name))), lambda c, i:
+      xor((CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(name, (i // 8 + 1)::INT, 1))::BIGINT) ELSE c END) >> 1,
+        3988292384 * ((CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(name, (i // 8 + 1)::INT, 1))::BIGINT) ELSE c END) & 1))))"""
+    sql = f"""
+WITH l AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(doc_id::VARCHAR, '') AS name,
+    sha256({' || '.join([*fields, text.format('text')])}) AS leaf, sha256({' || '.join([*fields, text.format(low)])}) AS lowered FROM documents),
+marked AS (SELECT *, {crc} % 3 = 0 AS tampered FROM l),
+n0 AS (
+  SELECT coalesce('=' || lang, '') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos, leaf AS h FROM marked),
+w0 AS (
+  SELECT rid, coalesce('=' || lang, '') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos,
+    doc_id, leaf, '' AS proof, CASE WHEN tampered THEN lowered ELSE leaf END AS f FROM marked)"""
+
+    def level(k: int, nodes: str, walk: str) -> str:
+        """Nodes and walks one level up, within ``tree``."""
+        return f""",
+c{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS total FROM {nodes}),
+s{k} AS (
+  SELECT *, coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+    coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM c{k} WINDOW run AS (PARTITION BY tree, pos // 8 ORDER BY pos)),
+n{k + 1} AS (
+  SELECT tree, pos // 8 AS pos, CASE WHEN any_value(total) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM c{k} GROUP BY 1, pos // 8),
+w{k + 1} AS (
+  SELECT rid, w.tree, w.pos // 8 AS pos, doc_id, leaf, proof || CASE WHEN total = 1 THEN '' ELSE b || a END AS proof,
+    CASE WHEN total = 1 THEN f ELSE sha256(b || f || a) END AS f
+  FROM {walk} AS w JOIN s{k} AS s ON w.tree = s.tree AND w.pos = s.pos)"""
+
+    for k in range(levels):
+        sql += level(k, f"n{k}", f"w{k}")
+    top = levels + 1
+    sql += f""",
+subroots AS (SELECT tree AS name, row_number() OVER (ORDER BY tree) - 1 AS place, h AS subroot FROM n{levels}),
+n{top} AS (SELECT '' AS tree, place AS pos, subroot AS h FROM subroots),
+w{top} AS (SELECT rid, '' AS tree, place AS pos, doc_id, leaf, proof, f FROM w{levels} JOIN subroots ON tree = name)"""
+    for k in range(top, top + levels):
+        sql += level(k, f"n{k}", f"w{k}")
+    return sql + f"""
+SELECT w.doc_id, w.leaf, subroot, r.h AS root, sha256(w.proof) AS proof_sha256, w.f AS folded_root, w.f = r.h AS verified
+FROM w{top + levels} AS w JOIN n{top + levels} AS r ON w.tree = r.tree JOIN w{levels} AS o ON w.rid = o.rid JOIN subroots ON o.tree = name
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_markov": _op3(),
@@ -169,4 +219,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_extendible_shards": op6(LIMIT_BYTES),
         "op7_prob_minhash": OP7,
         "op8_host_rules": OP8,
+        "op12_merkle_witnesses": _op12(),
     }
