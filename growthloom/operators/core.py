@@ -33,8 +33,9 @@ def fact_events(staged: DataFrame, backfill_start_date: str | dt.date | Column |
     """Event fact: staged events with their engagement bucket.
 
     ``backfill_start_date`` keeps events on or after that date, and undated
-    ones, which no bound can place; ``None`` means no lower bound. The date
-    predicate reaches the parquet scan as a range on the timestamp. A staged
+    ones, which no bound can place; ``None`` means no lower bound. Where the
+    source's timestamps are instants (the readers see to it), both reach the
+    parquet scan, as a range or a null on the timestamp. A staged
     ``event_id`` stays as the last column.
     """
     fct = staged.select(

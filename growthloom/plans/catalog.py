@@ -39,7 +39,7 @@ from growthloom.plans.loader import load_fact
 from growthloom.plans.refresh import MODELS, refresh
 from growthloom.session import apply_runtime_conf, shared_folder
 from growthloom.sources.adapters import raw_events
-from growthloom.sources.sinks import merge_table
+from growthloom.sources.sinks import merge_table, read_target
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,7 +124,7 @@ def _fact_incremental(spark: SparkSession, d: str) -> DataFrame:
     load_fact(spark, stg.filter(loaded).withColumn("miles_amount", stale), path, "full")
     for _ in range(2):
         load_fact(spark, stg, path, "incremental")
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
+    return read_target(spark, path).select(*FACT_COLUMNS)
 
 
 def _fact_backfill(spark: SparkSession, d: str) -> DataFrame:
@@ -138,7 +138,7 @@ def _fact_backfill(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "fact")
     load_fact(spark, stg.withColumn("miles_amount", stale), path, "full")
     load_fact(spark, stg.filter(~day.eqNullSafe(F.lit(gone))), path, "backfill", backfill_start_date=start)
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
+    return read_target(spark, path).select(*FACT_COLUMNS)
 
 
 def _dim_user_merged(spark: SparkSession, d: str) -> DataFrame:
@@ -149,7 +149,7 @@ def _dim_user_merged(spark: SparkSession, d: str) -> DataFrame:
     kept = F.col("user_id").isNull() | (F.col("user_id") % 5 != 0)
     merge_table(spark, dim_user(stg.filter(F.col("event_date") <= _cut(stg))), path, ["user_id"], ["first_seen_date"], ["user_id"])
     merge_table(spark, dim_user(stg.filter(kept)), path, ["user_id"], ["first_seen_date"], ["user_id"])
-    return spark.read.parquet(path).select(*DIM_USER_COLUMNS)
+    return read_target(spark, path).select(*DIM_USER_COLUMNS)
 
 
 def _refreshed(spark: SparkSession, d: str, *tags: str) -> str:
@@ -170,7 +170,7 @@ def _refresh_groups(spark: SparkSession, d: str) -> DataFrame:
     out = None
     for model in MODELS:
         if model.materialized != "view":
-            rows = spark.read.parquet(f"{warehouse}/{model.layer}/{model.name}").agg(F.lit(model.name).alias("model"), F.count(F.lit(1)).alias("n_rows"))
+            rows = read_target(spark, f"{warehouse}/{model.layer}/{model.name}").agg(F.lit(model.name).alias("model"), F.count(F.lit(1)).alias("n_rows"))
             out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -181,7 +181,7 @@ def _refresh_weekly(spark: SparkSession, d: str) -> DataFrame:
     parts = (("intermediate", "int_user_growth_status_weekly", "growth_status"), ("marts", "fct_cohort_retention_weekly", "engagement_type"), ("core", "fct_events", "engagement_bucket"))
     out = None
     for layer, model, part in parts:
-        rows = spark.read.parquet(f"{warehouse}/{layer}/{model}").groupBy(F.lit(model).alias("model"), F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+        rows = read_target(spark, f"{warehouse}/{layer}/{model}").groupBy(F.lit(model).alias("model"), F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
         out = rows if out is None else out.unionByName(rows)
     return out
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampType
 
 from growthloom.sources.adapters import RAW_COLUMNS
+from growthloom.sources.tables import zoned
 
 # Raw columns and the types the staging casts accept; user_id is kept as the
 # input gives it (string here, for text formats).
@@ -45,6 +46,8 @@ def read_raw_events(
     elif fmt not in _SELF_DESCRIBING:
         reader = reader.schema(RAW_SCHEMA)
     df = reader.load(path)
+    if schema is None and fmt == "parquet" and zoned(df.schema) != df.schema:
+        df = reader.schema(zoned(df.schema)).load(path)  # instants, see ``zoned``
     missing = [c for c in RAW_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"raw events at {path} lack columns: {missing}")

@@ -1,52 +1,44 @@
 """Table sinks: full overwrite, partition replacement and keyed upsert on
-plain parquet datasets (no table format with MERGE is assumed)."""
+parquet tables. Every sink publishes a new version in one switch (see
+``published``): a write that fails leaves the table as it was."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthloom.session import shared_folder
+from growthloom.sources import published
+from growthloom.sources.published import current, file_system, publish_change, read_version
 
 #: Spark's folder name for the NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds a parquet table. Only a missing path or a folder
-    without files means no; any other failure to read is raised."""
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-
-
-def _file_system(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+    """Whether ``path`` holds a table. Only a missing path or a folder without
+    files means no; any other failure to read is raised as AnalysisException."""
+    return read_target(spark, path) is not None
 
 
 @contextmanager
 def staged_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``df`` written to the shared folder and read back; the files go at the
     end. Reading it any number of times computes ``df`` once, and a lost
-    executor costs a re-read."""
+    executor costs a re-read. Never the only copy of a table's rows."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/growthloom-{label}-{uuid.uuid4().hex}"
     try:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        fs, target = _file_system(spark, path)
+        fs, target = file_system(spark, path)
         fs.delete(target, True)
 
 
@@ -56,7 +48,7 @@ def null_safe(left: Sequence[Column], right: Sequence[Column]) -> Column:
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
     """The current content of a table, or None on the first run."""
-    return spark.read.parquet(path) if table_exists(spark, path) else None
+    return published.read_table(spark, path)
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
@@ -81,12 +73,22 @@ def write_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Full rebuild: every existing partition is replaced (static overwrite).
-    See ``_laid_out`` for the file layout."""
-    writer = _laid_out(df, partition_by, cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Full rebuild: a new version that holds ``df`` alone. See ``_laid_out``
+    for the file layout."""
+    spark = df.sparkSession
+    publish_change(spark, path, current(spark, path), _laid_out(df, partition_by, cluster_by), partition_by, lambda _: False)
+
+
+def _based(spark: SparkSession, path: str, partition_by: Sequence[str]):
+    """The version to change, partitioned alike; None for a new table. A plain
+    table becomes a first version before it is changed."""
+    base = current(spark, path)
+    if base is None and (files := published.plain_table(spark, path)) is not None:
+        write_table(files, path, partition_by)
+        base = current(spark, path)
+    if base is not None and base.partition_by != tuple(partition_by):
+        raise ValueError(f"{path} is partitioned by {base.partition_by}, not by {tuple(partition_by)}")
+    return base
 
 
 def replace_partitions(
@@ -95,22 +97,9 @@ def replace_partitions(
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition
-    overwrite); other partitions are left as they are."""
-    (
-        _laid_out(df, partition_by, cluster_by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
-def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
-    """Delete the partition folders ``<path>/<column>=<value>`` through the
-    Hadoop file system of the table path (None: the NULL partition)."""
-    for v in values:
-        fs, folder = _file_system(spark, f"{path}/{column}={NULL_PARTITION if v is None else v}")
-        fs.delete(folder, True)
+    """A new version in which only the partitions present in ``df`` differ."""
+    spark = df.sparkSession
+    publish_change(spark, path, _based(spark, path, partition_by), _laid_out(df, partition_by, cluster_by), partition_by, lambda _: True)
 
 
 def replace_partitions_from(
@@ -118,21 +107,18 @@ def replace_partitions_from(
     fresh: DataFrame,
     path: str,
     column: str,
-    start,
+    start: dt.date,
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Make every partition with ``column >= start``, and the NULL partition,
-    equal to ``fresh``: partitions present in ``fresh`` are overwritten, the
-    others of that range are deleted. Only lists of partition values (one per
-    day) reach the driver, never rows.
+    """Make every partition with ``column >= start`` (dates), and the NULL
+    partition, equal to ``fresh``; those that ``fresh`` doesn't have go. One
+    switch: readers see all of it or nothing."""
+
+    def before(folder: str) -> bool:
+        value = folder.partition("=")[2]
+        return value != NULL_PARTITION and value < start.isoformat()
 
-    The two steps are not one transaction: a failure between them leaves
-    stale days in place, and running the load again removes them."""
-    existing = spark.read.parquet(path).select(column).filter((F.col(column) >= F.lit(start)) | F.col(column).isNull()).distinct()
-    present = {r[0] for r in fresh.select(column).distinct().collect()}
-    stale = [r[0] for r in existing.collect() if r[0] not in present]
-    replace_partitions(fresh, path, [column], cluster_by)
-    drop_partitions(spark, path, column, stale)
+    publish_change(spark, path, _based(spark, path, [column]), _laid_out(fresh, [column], cluster_by), [column], before)
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -159,14 +145,11 @@ def merge_table(
     cluster_by: Sequence[str] = (),
 ) -> None:
     """Keyed upsert into a table whose key does not determine the partition
-    (a user's first day may change): the whole table is merged, staged in the
-    shared folder and rewritten. Rows whose key is not in ``updates`` stay."""
+    (a user's first day may change): the whole table is merged into a new
+    version. Rows whose key is not in ``updates`` stay."""
     target = read_target(spark, path)
-    if target is None:
-        write_table(updates, path, partition_by, cluster_by)
-        return
-    with staged_copy(merge_by_key(target.select(*updates.columns), updates, key), "merged") as merged:
-        write_table(merged, path, partition_by, cluster_by)
+    merged = updates if target is None else merge_by_key(target.select(*updates.columns), updates, key)
+    write_table(merged, path, partition_by, cluster_by)
 
 
 def upsert_partitions(
@@ -177,28 +160,29 @@ def upsert_partitions(
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Keyed upsert into a partitioned parquet table.
+    """Keyed upsert into a partitioned table.
 
-    Only the partitions the updates touch are read and rewritten: their values
-    (a row per partition, e.g. per day) go to the driver and come back as a
-    filter on the partition columns, which prunes the scan. ``key`` must
+    Only the partitions the updates touch are read and written anew: their
+    values (a row per partition, e.g. per day) go to the driver and come back as
+    a filter on the partition columns, which prunes the scan. ``key`` must
     determine the partition (e.g. contain ``event_ts`` for a table
-    partitioned by ``event_date``), so every match lies in a rewritten
-    partition. Updates and merged partitions are staged in the shared folder:
-    the updates are computed once, the write replaces files the merge reads,
-    and the staged files are deleted afterwards.
+    partitioned by ``event_date``), so every match lies in such a partition.
+    Updates are staged in the shared folder, to be computed once.
     """
     with staged_copy(updates, "updates") as fresh:
+        base = current(spark, path)
         target = read_target(spark, path)
-        if target is None:
-            write_table(fresh, path, partition_by, cluster_by)
+        if target is None or base is None:
+            merged = fresh if target is None else merge_by_key(target.select(*fresh.columns), fresh, key)
+            write_table(merged, path, partition_by, cluster_by)
             return
         touched = fresh.select(*partition_by).distinct().collect()
         if not touched:
             return
-        affected = target.filter(touched_partitions(touched, partition_by))
-        with staged_copy(merge_by_key(affected, fresh, key), "merged") as merged:
-            replace_partitions(merged, path, partition_by, cluster_by)
+        # The merge reads the very version that the change is based on.
+        affected = read_version(spark, path, _based(spark, path, partition_by)).filter(touched_partitions(touched, partition_by))
+        merged = merge_by_key(affected.select(*fresh.columns), fresh, key)
+        publish_change(spark, path, base, _laid_out(merged, partition_by, cluster_by), partition_by, lambda _: True)
 
 
 def touched_partitions(rows: Sequence, partition_by: Sequence[str]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from growthloom.plans.catalog import staged
 from growthloom.plans.loader import load_fact
+from growthloom.sources.sinks import read_target
 from tests.conftest import SF_SMALL
 
 
@@ -22,15 +23,15 @@ def test_incremental_twice_equals_once(spark):
     path = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
     stg = staged(spark, SF_SMALL, "events")
     load_fact(spark, stg, path, "incremental")
-    first = spark.read.parquet(path).cache()
+    first = read_target(spark, path).cache()
     n = first.count()
     load_fact(spark, stg, path, "incremental")
-    again = spark.read.parquet(path)
+    again = read_target(spark, path)
     assert again.count() == n
     assert _same(first, again)
     full = tempfile.mkdtemp(prefix="fct-") + "/full"
     load_fact(spark, stg, full, "full")
-    assert _same(spark.read.parquet(full), again)
+    assert _same(read_target(spark, full), again)
 
 
 def test_incremental_picks_up_new_days_and_last_day_late_rows(spark):
@@ -42,13 +43,13 @@ def test_incremental_picks_up_new_days_and_last_day_late_rows(spark):
     load_fact(spark, early, path, "incremental")
     # late rows of the last loaded day and all later days arrive
     load_fact(spark, stg, path, "incremental")
-    out = spark.read.parquet(path)
+    out = read_target(spark, path)
     assert out.count() == stg.count()
     # a late row dated before the high-water mark is not picked up
     path2 = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
     load_fact(spark, stg.filter(F.col("event_date") != dt.date(2024, 1, 5)), path2, "incremental")
     load_fact(spark, stg, path2, "incremental")
-    assert spark.read.parquet(path2).filter(F.col("event_date") == dt.date(2024, 1, 5)).count() == 0
+    assert read_target(spark, path2).filter(F.col("event_date") == dt.date(2024, 1, 5)).count() == 0
 
 
 def test_backfill_replaces_partitions(spark):
@@ -57,7 +58,7 @@ def test_backfill_replaces_partitions(spark):
     missing = dt.date(2024, 1, 5)
     load_fact(spark, stg.filter(F.col("event_date") != missing), path, "incremental")
     load_fact(spark, stg, path, "backfill", backfill_start_date="2024-01-03")
-    out = spark.read.parquet(path)
+    out = read_target(spark, path)
     assert out.count() == stg.count()
     assert out.filter(F.col("event_date") == missing).count() == stg.filter(F.col("event_date") == missing).count()
 
@@ -66,7 +67,7 @@ def test_full_with_backfill_date(spark):
     path = tempfile.mkdtemp(prefix="fct-") + "/fct_events"
     stg = staged(spark, SF_SMALL, "events")
     load_fact(spark, stg, path, "full", backfill_start_date="2024-01-10")
-    out = spark.read.parquet(path)
+    out = read_target(spark, path)
     assert out.agg(F.min("event_date")).first()[0] == dt.date(2024, 1, 10)
     assert out.count() == stg.filter(F.col("event_date") >= dt.date(2024, 1, 10)).count()
 
@@ -99,7 +100,7 @@ def test_full_load_replaces_every_partition(spark):
     stg = staged(spark, SF_SMALL, "events")
     load_fact(spark, stg, path, "full")
     load_fact(spark, stg, path, "full", backfill_start_date="2024-01-20")
-    out = spark.read.parquet(path)
+    out = read_target(spark, path)
     assert out.agg(F.min("event_date")).first()[0] == dt.date(2024, 1, 20)
     assert out.count() == stg.filter(F.col("event_date") >= dt.date(2024, 1, 20)).count()
 
@@ -110,7 +111,7 @@ def test_backfill_drops_days_gone_from_the_source(spark):
     load_fact(spark, stg, path, "full")
     gone = dt.date(2024, 1, 25)
     load_fact(spark, stg.filter(F.col("event_date") != gone), path, "backfill", backfill_start_date="2024-01-20")
-    out = spark.read.parquet(path)
+    out = read_target(spark, path)
     assert out.filter(F.col("event_date") == gone).count() == 0
     assert out.count() == stg.filter(F.col("event_date") != gone).count()
 
@@ -141,12 +142,12 @@ def test_every_mode_gives_the_same_table(spark):
     load_fact(spark, stg, f"{base}/inc", "incremental")
     load_fact(spark, stg.filter(F.col("event_date") < dt.date(2024, 1, 10)), f"{base}/back", "full")
     load_fact(spark, stg, f"{base}/back", "backfill", backfill_start_date=first_day)
-    assert _same(spark.read.parquet(f"{base}/full"), want)
-    assert _same(spark.read.parquet(f"{base}/back"), want)
+    assert _same(read_target(spark, f"{base}/full"), want)
+    assert _same(read_target(spark, f"{base}/back"), want)
     for _ in range(3):
-        assert _same(spark.read.parquet(f"{base}/inc"), want)
+        assert _same(read_target(spark, f"{base}/inc"), want)
         load_fact(spark, stg, f"{base}/inc", "incremental")
-    assert _same(spark.read.parquet(f"{base}/inc"), want)
+    assert _same(read_target(spark, f"{base}/inc"), want)
 
 
 def test_upsert_keeps_other_rows_of_the_null_partition(spark):
@@ -156,7 +157,7 @@ def test_upsert_keeps_other_rows_of_the_null_partition(spark):
     schema = "k string, v int, d date"
     write_table(spark.createDataFrame([("a", 1, None), ("b", 1, None), (None, 1, None), ("x", 1, dt.date(2024, 1, 1))], schema), path, ["d"])
     upsert_partitions(spark, spark.createDataFrame([("c", 2, None), ("a", 2, None), (None, 2, None)], schema), path, ["k", "d"], ["d"])
-    rows = sorted((r.k or "", r.v, r.d) for r in spark.read.parquet(path).collect())
+    rows = sorted((r.k or "", r.v, r.d) for r in read_target(spark, path).collect())
     assert rows == [("", 2, None), ("a", 2, None), ("b", 1, None), ("c", 2, None), ("x", 1, dt.date(2024, 1, 1))]
 
 
@@ -167,7 +168,7 @@ def test_event_id_is_the_key_where_present(spark):
     last = stg.agg(F.max("event_date")).first()[0]
     changed = stg.withColumn("event_type", F.when(F.col("event_date") == last, F.lit("like")).otherwise(F.col("event_type")))
     load_fact(spark, changed, path, "incremental")
-    out = spark.read.parquet(path)
+    out = read_target(spark, path)
     assert out.count() == stg.count()
     assert {r[0] for r in out.filter(F.col("event_date") == last).select("event_type").distinct().collect()} == {"like"}
 
@@ -179,7 +180,7 @@ def test_upsert_reads_only_the_touched_partitions(spark):
     stg = staged(spark, SF_SMALL, "events")
     load_fact(spark, stg, path, "full")
     days = stg.filter(F.col("event_date") >= dt.date(2024, 1, 28)).select("event_date").distinct().collect()
-    plan = spark.read.parquet(path).filter(touched_partitions(days, ["event_date"]))._jdf.queryExecution().executedPlan().toString()
+    plan = read_target(spark, path).filter(touched_partitions(days, ["event_date"]))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [event_date" in plan and "2024-01-28" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
 
 

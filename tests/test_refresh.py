@@ -5,6 +5,7 @@ import tempfile
 from growthloom.plans.catalog import queries
 from growthloom.plans.refresh import MODELS, refresh
 from growthloom.sources.adapters import raw_events
+from growthloom.sources.sinks import read_target
 from tests.conftest import SF_SMALL
 
 
@@ -19,7 +20,7 @@ def test_full_build_then_daily_refresh(spark):
     raw = raw_events(spark, SF_SMALL, "events")
     built = refresh(spark, raw, wh)
     assert built == [m.name for m in MODELS]
-    report = spark.read.parquet(f"{wh}/marts/rpt_growth_reporting")
+    report = read_target(spark, f"{wh}/marts/rpt_growth_reporting")
     assert _same(report, queries()["growth_report"](spark, SF_SMALL))
     first = report.cache()
     first.count()
@@ -29,14 +30,14 @@ def test_full_build_then_daily_refresh(spark):
     # weekly cohorts are read back from the warehouse by the combined view
     combined = spark.table("fct_cohort_retention_combined")
     assert combined.filter("period_grain = 'week'").count() > 0
-    assert _same(spark.read.parquet(f"{wh}/marts/rpt_growth_reporting"), first)
+    assert _same(read_target(spark, f"{wh}/marts/rpt_growth_reporting"), first)
     weekly = refresh(spark, raw, wh, tag="refresh_weekly")
     assert weekly == [
         "int_user_features_weekly", "int_user_growth_status_weekly",
         "fct_growth_user_features_weekly", "fct_cohort_retention_weekly",
     ]
     assert _same(
-        spark.read.parquet(f"{wh}/marts/fct_cohort_retention_weekly"),
+        read_target(spark, f"{wh}/marts/fct_cohort_retention_weekly"),
         queries()["cohort_week_events"](spark, SF_SMALL),
     )
 
@@ -89,9 +90,9 @@ def test_built_tables_keep_their_column_order(spark):
     wh = tempfile.mkdtemp(prefix="wh-")
     raw = raw_events(spark, SF_SMALL, "events")
     refresh(spark, raw, wh)
-    # Plain parquet reads list the partition column last ...
-    assert spark.read.parquet(f"{wh}/core/dim_user").columns[-1] == "first_seen_date"
-    # ... the models are read back in their declared order.
+    # Plain parquet reads list the partition column last; tables and models are
+    # read back in their declared order.
+    assert tuple(read_target(spark, f"{wh}/core/dim_user").columns) == DIM_USER_COLUMNS
     ctx = Context(spark, raw, wh)
     assert tuple(ctx.ref("dim_user").columns) == DIM_USER_COLUMNS
     assert tuple(ctx.ref("fct_events").columns) == FACT_COLUMNS
@@ -110,10 +111,10 @@ def test_command_line_backfill(spark, capsys):
     raw.write.parquet(f"{base}/raw_v2")
     # A full build first: the daily group reads the weekly/monthly tables.
     assert main(["build", "--raw", f"{base}/raw_v1", "--warehouse", f"{base}/wh"], spark) == 0
-    before = spark.read.parquet(f"{base}/wh/core/fct_events").count()
+    before = read_target(spark, f"{base}/wh/core/fct_events").count()
     args = ["build", "--raw", f"{base}/raw_v2", "--warehouse", f"{base}/wh", "--tag", "refresh_daily",
             "--fact-mode", "backfill", "--backfill-start-date", "2024-01-20"]
     assert main(args, spark) == 0
-    fct = spark.read.parquet(f"{base}/wh/core/fct_events")
+    fct = read_target(spark, f"{base}/wh/core/fct_events")
     assert fct.filter(F.col("event_date") == dt.date(2024, 1, 25)).count() > 0
     assert fct.count() == raw.count() > before

@@ -10,6 +10,7 @@ from growthloom.operators.core import fact_events
 from growthloom.operators.staging import stage_events
 from growthloom.sources.adapters import raw_events
 from growthloom.streaming.ingest import start_fact_ingest
+from growthloom.sources.sinks import read_target
 from tests.conftest import SF_SMALL
 
 
@@ -27,7 +28,7 @@ def test_stream_equals_batch(spark):
                           checkpoint_location=f"{scratch}/ckpt", available_now=True)
     q.awaitTermination(300)
     assert q.exception() is None
-    got = spark.read.parquet(fact_path)
+    got = read_target(spark, fact_path)
     expected = fact_events(stage_events(raw))
     cols = sorted(expected.columns)
     try:
@@ -43,7 +44,7 @@ def _ingest(spark, scratch, schema, name):
     q = start_fact_ingest(spark, f"{scratch}/raw", schema, f"{scratch}/fct", query_name=name, checkpoint_location=f"{scratch}/ckpt-{name}", available_now=True)
     q.awaitTermination(300)
     assert q.exception() is None
-    return spark.read.parquet(f"{scratch}/fct")
+    return read_target(spark, f"{scratch}/fct")
 
 
 def test_late_first_time_events_and_replays(spark):
