@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from growthloom.functions.cells import day_cells, events_of, first_value, top_value, value_counts
 from growthloom.functions.periods import GRAINS, period_from_index, period_index
-from growthloom.functions.picks import (
-    any_value_det,
-    approx_top_value,
-    first_by_time,
-    most_frequent_with_null,
-)
+from growthloom.functions.picks import any_value_det, approx_top_value, first_by_time
 
 FEATURE_ATTRIBUTES = ("utm_source", "event_type", "transaction_category", "platform")
 
@@ -31,6 +27,47 @@ def _miles_of(event_type: str):
     )
 
 
+def _rolled_exact(fct: DataFrame, structs: Column) -> DataFrame:
+    """One row per (user, grain, period), from counts of values by day cell."""
+    # Miles go with the values of event_type, the first of the attributes here.
+    attributes = sorted([*FEATURE_ATTRIBUTES, "country", "gender"], key=lambda a: a != "event_type")
+    keys = ["user_id", "period_grain", "pidx"]
+    ex = day_cells(fct, attributes).select("user_id", "_n", "_miles", "_ts", *attributes, F.inline(structs))
+    place = {a: i for i, a in enumerate(attributes)}
+    counts = value_counts(ex, keys, attributes)
+    zero = F.lit(0).cast("decimal(38,9)")
+
+    def miles(event_type: str) -> Column:
+        return F.sum(F.when(F.col("_attr") == 0, F.when(F.col("_value") == event_type, F.col("_miles")).otherwise(zero)))
+
+    return counts.groupBy(*keys).agg(
+        first_value(place["country"]).alias("country"),
+        first_value(place["gender"]).alias("gender"),
+        events_of().alias("event_count"),
+        miles("miles_earned").alias("miles_earned"),
+        miles("miles_redeemed").alias("miles_redeemed"),
+        *[first_value(place[a]).alias(f"first_{a}") for a in FEATURE_ATTRIBUTES],
+        *[top_value(place[a], with_null=True).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES],
+    )
+
+
+def _rolled_approx(fct: DataFrame, structs: Column) -> DataFrame:
+    """As ``_rolled_exact`` with sketches, which take events one by one."""
+    ex = fct.select(
+        "user_id", "event_ts", "event_type", "transaction_category", "miles_amount",
+        "platform", "utm_source", "country", "gender", F.inline(structs),
+    )
+    return ex.groupBy("user_id", "period_grain", "pidx").agg(
+        any_value_det("country", "event_ts").alias("country"),
+        any_value_det("gender", "event_ts").alias("gender"),
+        F.count(F.lit(1)).alias("event_count"),
+        _miles_of("miles_earned").alias("miles_earned"),
+        _miles_of("miles_redeemed").alias("miles_redeemed"),
+        *[first_by_time(a, "event_ts").alias(f"first_{a}") for a in FEATURE_ATTRIBUTES],
+        *[approx_top_value(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES],
+    )
+
+
 def user_period_features(
     fct: DataFrame,
     grain: str | tuple[str, ...] = "day",
@@ -53,23 +90,7 @@ def user_period_features(
     structs = F.array(
         *[F.struct(F.lit(g).alias("period_grain"), period_index(F.col("event_date"), g, week_start).alias("pidx")) for g in grains]
     )
-    ex = fct.select(
-        "user_id", "event_ts", "event_type", "transaction_category", "miles_amount",
-        "platform", "utm_source", "country", "gender", F.inline(structs),
-    )
-    if primary == "exact":
-        primaries = [most_frequent_with_null(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
-    else:
-        primaries = [approx_top_value(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
-    rolled = ex.groupBy("user_id", "period_grain", "pidx").agg(
-        any_value_det("country", "event_ts").alias("country"),
-        any_value_det("gender", "event_ts").alias("gender"),
-        F.count(F.lit(1)).alias("event_count"),
-        _miles_of("miles_earned").alias("miles_earned"),
-        _miles_of("miles_redeemed").alias("miles_redeemed"),
-        *[first_by_time(a, "event_ts").alias(f"first_{a}") for a in FEATURE_ATTRIBUTES],
-        *primaries,
-    )
+    rolled = (_rolled_exact if primary == "exact" else _rolled_approx)(fct, structs)
     # A user's rows here are bounded by the number of periods, so a window
     # within the user is cheap whatever the user's event volume.
     first_period = F.min("pidx").over(Window.partitionBy("user_id", "period_grain"))

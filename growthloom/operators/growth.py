@@ -3,12 +3,12 @@ per-panel-row growth features.
 
 Plan (no range join, no per-row Python):
 
-1. explode each event into its grains x engagement types and aggregate to
-   one row per active (user, grain, period, type); the aggregate combines
-   map-side, so a hot user's events shrink to at most one row per period
-   before the shuffle;
-2. one repartition by user_id; a user's rows are bounded by the number of
-   calendar periods, never by the number of events;
+1. reduce events to user-days (for the features: to day cells, see
+   ``functions.cells``) by a hash aggregate that combines map-side, so a hot
+   user's events shrink before the shuffle, and before anything is multiplied;
+2. one repartition by user_id; then grains x engagement types multiply the
+   days, and aggregates within the user give one row per active (user, grain,
+   period, type), bounded by the number of calendar periods;
 3. windows within the user give the previous and next active period and the
    user's first period overall;
 4. each active row emits itself plus the idle periods up to its next active
@@ -25,13 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from growthloom.functions.cells import day_cells, events_of, first_value, top_value, value_counts
 from growthloom.functions.periods import (
     GRAINS,
     engagement_types,
     period_from_index,
     period_index,
 )
-from growthloom.functions.picks import first_by_time, flag_any, most_frequent
 
 ATTRIBUTES = ("platform", "utm_source", "event_type", "transaction_category")
 
@@ -83,27 +83,26 @@ def _explode_grains(df: DataFrame, grains: tuple[str, ...], week_start: str, kee
 def _active_rows(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
     keys = ["user_id", "period_grain", "pidx", "engagement_type"]
     base = fct.filter(F.col("user_id").isNotNull() & F.col("event_date").isNotNull())
-    keep = ["user_id", "engagement_bucket"]
     if with_metrics:
-        keep += ["event_ts", "miles_amount", *ATTRIBUTES]
-    ex = _explode_grains(base, grains, week_start, keep)
-    ex = ex.select(
-        *[c for c in ex.columns if c != "engagement_bucket"],
-        "engagement_bucket",
-        F.explode(engagement_types("engagement_bucket")).alias("engagement_type"),
-    )
+        days = day_cells(base, ATTRIBUTES)
+        keep = ["user_id", "engagement_bucket", "_n", "_miles", "_ts", *ATTRIBUTES]
+    else:
+        keep = ["user_id", "engagement_bucket"]
+        days = base.select("user_id", "event_date", "engagement_bucket").distinct().repartition("user_id")
+    ex = _explode_grains(days, grains, week_start, keep)
+    ex = ex.select(*ex.columns, F.explode(engagement_types("engagement_bucket")).alias("engagement_type"))
     if not with_metrics:
         return ex.select(*keys).distinct()
-    bucket = F.col("engagement_bucket")
-    aggs = [
-        F.count(F.lit(1)).alias("period_event_count"),
-        F.sum(F.coalesce(F.col("miles_amount"), F.lit(0))).alias("period_miles_amount"),
-        flag_any(bucket == "transaction").alias("has_transaction_event"),
-        flag_any(bucket == "pre_engagement").alias("has_pre_engagement_event"),
-    ]
-    aggs += [first_by_time(a, "event_ts").alias(f"first_{a}_in_period") for a in ATTRIBUTES]
-    aggs += [most_frequent(a).alias(f"primary_{a}_in_period") for a in ATTRIBUTES]
-    return ex.groupBy(*keys).agg(*aggs)
+    bucket = F.coalesce(F.col("engagement_bucket"), F.lit(""))
+    counts = value_counts(ex, keys, ATTRIBUTES, {"_transaction": bucket == "transaction", "_pre": bucket == "pre_engagement"})
+    return counts.groupBy(*keys).agg(
+        events_of().alias("period_event_count"),
+        F.sum("_miles").alias("period_miles_amount"),
+        F.max("_transaction").alias("has_transaction_event"),
+        F.max("_pre").alias("has_pre_engagement_event"),
+        *[first_value(i).alias(f"first_{a}_in_period") for i, a in enumerate(ATTRIBUTES)],
+        *[top_value(i).alias(f"primary_{a}_in_period") for i, a in enumerate(ATTRIBUTES)],
+    )
 
 
 def sequenced_activity(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
@@ -117,7 +116,7 @@ def sequenced_activity(fct: DataFrame, grains: tuple[str, ...], week_start: str,
     """
     # Last period over all events (NULL users included), a scalar subquery.
     last_date = fct.select(F.max("event_date")).scalar()
-    act = _active_rows(fct, grains, week_start, with_metrics).repartition("user_id")
+    act = _active_rows(fct, grains, week_start, with_metrics)
 
     by_user = Window.partitionBy("user_id")
     by_seq = Window.partitionBy("user_id", "period_grain", "engagement_type").orderBy("pidx")
@@ -160,8 +159,17 @@ def _panel(
         # are generated: the join sorts the active rows (already ordered by
         # user from the window) instead of the much larger dense panel.
         act = act.join(users.select("user_id", "gender", "country"), "user_id", "left")
+    return _panel_rows(act, week_start, with_metrics, users is not None)
+
+
+def _panel_rows(act: DataFrame, week_start: str, with_metrics: bool, with_users: bool, since: int | None = None) -> DataFrame:
+    """Sequenced active rows as panel rows: themselves and the idle periods after them."""
     grain = F.col("period_grain")
-    rows = act.withColumn("_p", F.explode(F.sequence(F.col("pidx"), gap_end())))
+    periods = F.sequence(F.col("pidx"), gap_end())
+    if since is not None:
+        begin = F.greatest(F.col("pidx"), F.lit(since))
+        periods = F.when(gap_end() >= begin, F.sequence(begin, gap_end()))
+    rows = act.withColumn("_p", F.explode(periods))
 
     pidx, p, prev = F.col("pidx"), F.col("_p"), F.col("_prev")
     active = p == pidx
@@ -181,7 +189,7 @@ def _panel(
         new_customer.alias("is_new_customer"),
         F.when(new_customer, F.lit("new_customer")).otherwise(F.lit("existing_customer")).alias("customer_status"),
     ]
-    if users is not None:
+    if with_users:
         cols += [F.col("gender"), F.col("country")]
     if with_metrics:
         for a in ATTRIBUTES:
@@ -193,6 +201,16 @@ def _panel(
     return rows.select(*cols)
 
 
+def active_types(fct: DataFrame, grain: str, week_start: str = "sunday") -> DataFrame:
+    """The active periods (user_id, engagement_type, pidx) of one grain, partitioned by user."""
+    return _active_rows(fct, _grains(grain), week_start, with_metrics=False).select("user_id", "engagement_type", "pidx")
+
+
+def status_rows(act: DataFrame, week_start: str = "sunday", since: int | None = None) -> DataFrame:
+    """Panel rows of sequenced active periods (see ``sequenced_activity``); of the periods from ``since`` on, if given."""
+    return _panel_rows(act, week_start, with_metrics=False, with_users=False, since=since).select(*GROWTH_STATUS_COLUMNS)
+
+
 def growth_status(fct: DataFrame, grain: str | tuple[str, ...] = "day", week_start: str = "sunday") -> DataFrame:
     """Dense panel per user x engagement type from its first active period to
     the global last period, each row classified.
