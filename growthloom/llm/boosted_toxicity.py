@@ -69,7 +69,8 @@ class Featuriser:
 
     def _start(self) -> None:
         self.book = Vocabulary(code=lambda _: 0)
-        self.table = np.zeros((0, 6))
+        self.table = np.zeros((1 << 12, 6))
+        self.known = 0
 
     def _row(self, word: bytes) -> tuple:
         raw = word.decode("utf-8", "replace").strip(EDGE)
@@ -81,6 +82,13 @@ class Featuriser:
         stem = self.lexicon.get(text[:STEM] + "*", 0.0) if len(text) > STEM else 0.0
         return weight, stem, text in SECOND_PERSON, len(raw) > 2 and raw.isupper(), masked, bool(STRETCHED.search(text))
 
+    def _learn(self) -> None:
+        words = self.book.words
+        while len(words) > len(self.table):  # doubled, so that a row is copied a few times at most
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[self.known : len(words)] = [self._row(w) for w in words[self.known :]]
+        self.known = len(words)
+
     def features(self, text: bytes) -> list[float]:
         if self.book.trim():
             self._start()
@@ -89,8 +97,8 @@ class Featuriser:
         if n == 0:
             return [0.0] * len(FEATURES)
         numbers = self.book.numbers(words)
-        if len(self.book.words) > len(self.table):
-            self.table = np.concatenate([self.table, np.array([self._row(w) for w in self.book.words[len(self.table) :]], float)])
+        if len(self.book.words) > self.known:
+            self._learn()
         weight, stem, second, shouted, masked, stretched = self.table[numbers].T
         count = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
         letters = int(count[65:91].sum() + count[97:123].sum())
