@@ -195,6 +195,13 @@ def _hash(columns: list[Column], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
+def row_key(columns: list[Column]) -> Column:
+    """What tells rows apart: 128 bits over all columns, each with its length, nulls marked."""
+    texts = [c.cast("string") for c in columns]
+    marked = [F.when(t.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t)) for t in texts]
+    return F.unhex(F.md5(F.concat(*marked).cast("binary")))
+
+
 def source_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
     """One row per document: id, size, source_size, target, taken, source."""
     frame = picked(docs, id=id_col, source=source_col, text=text_col)
@@ -208,9 +215,9 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", source_col: str = "
     Rows alike in all columns are one row here, taken as often as they are together.
     """
     frame = positional(docs)
-    hashed = frame.withColumn("__h", _hash([F.col(c) for c in frame.columns], seed))
+    keyed = frame.withColumn("__k", row_key([F.col(c) for c in frame.columns]))
     text, source = (F.col(f"c{docs.columns.index(c)}") for c in (text_col, source_col))
-    rows = hashed.select(source.cast("string").alias("source"), word_count(text).alias("size"), "__h")
-    copies = mixed(rows).groupBy("__h").agg(F.sum("copies").alias("__copies")).where("__copies > 0")
-    taken = hashed.dropDuplicates(["__h"]).join(copies, "__h")
+    rows = keyed.select(source.cast("string").alias("source"), word_count(text).alias("size"), _hash([F.col("__k")], seed).alias("__h"), "__k")
+    copies = mixed(rows).groupBy("__k").agg(F.sum("copies").alias("__copies")).where("__copies > 0")
+    taken = keyed.dropDuplicates(["__k"]).join(copies, "__k")
     return restored(taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))), docs)
