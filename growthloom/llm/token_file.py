@@ -142,8 +142,8 @@ class Segment:
 class CachedTokenizer:
     """ids of texts; a chunk between blanks is put together the first time it is seen.
 
-    ASCII case is dropped beforehand where the tokenizer drops it, unless a
-    text may hold a special token. A chunk of letters before marks is two of the
+    ASCII case is dropped beforehand where the tokenizer drops it and nothing
+    else depends on it, unless a text may hold a special token. A chunk of letters before marks is two of the
     tokenizer's own pieces, so the letters are encoded once whatever follows
     them. The chunks of at most LIMIT are kept.
     """
@@ -205,11 +205,24 @@ class CachedTokenizer:
         self.begin[self.known + 1 : self.known + 1 + len(new)] = ends
         self.known += len(new)
 
+    def _chunks(self, text: bytes) -> list[bytes]:
+        """The chunks of a text, ASCII letters without case where that changes nothing.
+
+        The tokenizer composes letters and marks before it drops case, and some
+        letters are composed in one case only: where marks that go with ASCII letters
+        occur (U+0300 to U+037F, which begin with these two bytes), chunks that
+        aren't ASCII stay as they are."""
+        if not self.model or b"<|" in text:
+            return text.split()
+        if b"\xcc" in text or b"\xcd" in text:
+            return [w.lower() if w.isascii() else w for w in text.split()]
+        return text.lower().split()
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self.chunks.words) >= self.LIMIT or len(self.parts) >= self.LIMIT:
             self._start()
-        words = [(t.lower() if self.model and b"<|" not in t else t).split() for t in texts]
+        words = [self._chunks(t) for t in texts]
         numbers = self.chunks.numbers(list(chain.from_iterable(words)))
         if len(self.chunks.words) > self.known:
             self._learn()
