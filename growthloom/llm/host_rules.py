@@ -1,17 +1,23 @@
 """Host-level quality rules: shrunken failure rates per source.
 
 Every document is measured once (words, symbols, repeated lines and word
-windows). Rule failures are counted per source with partial aggregates, the
-spread of the sources' rates gives an empirical beta prior for each rule
-(method of moments), and each source's rate is shrunk towards it. The
-verdicts go back to the documents by a join.
+windows) and graded by each rule: near the limit, over it, or far over it.
+What is near or over is counted per source with partial aggregates, the spread
+of the sources' rates gives an empirical beta prior for each rule (method of
+moments), and each source's rate is shrunk towards it. The verdicts go back to
+the documents by a join.
 
 A document is rejected when
 
 * it fails the base rule (too short, or mostly repeated word windows);
-* it fails a further rule, and its source isn't trusted on that rule: the
-  shrunken rate is at least ``trust``; or
-* its source is bad: the shrunken rate of some rule is at least ``bad``.
+* a further rule grades it over the limit. Here its host decides on what is
+  close: a host whose shrunken rate is at least ``STRICT`` times the corpus's
+  loses documents near the limit too, one with at most ``TRUST`` times keeps
+  those that aren't far over it; or
+* its host is bad: the shrunken rate of some rule is at least ``bad``.
+
+A host with few documents is close to the corpus's rate whatever it shows, so
+that only evidence makes it strict or trusted.
 
 Nulls: a null text has no words and fails the base rule; a null source is a
 source of its own; other columns pass through unread. Repeated rows are
@@ -32,8 +38,10 @@ from growthloom.llm.common import Vocabulary, picked, positional, restored, scra
 
 SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 BLANKS = np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8)
-#: The key of the null source; no text holds these two control characters alone.
-NO_SOURCE = "\x00\x01"
+#: Times the corpus's rate at which a host is strict, or trusted.
+STRICT, TRUST = 2.0, 0.5
+#: Hosts up to this number are broadcast; of more, those with a hundredth of the documents (a hundred at most) are.
+FEW_HOSTS = 10_000
 
 #: Shorter texts have fewer than 2^21 words.
 LONG_BYTES = 4_000_000
@@ -117,86 +125,107 @@ def _measure_long(text: bytes) -> tuple[int, int, int, int, int]:
     return *_plain(text, words), int(covered.sum())
 
 
-def rule_failures() -> dict[str, Column]:
-    """The rules: name -> failed. The first two are the base rule."""
-    n = F.col("n_words")
+def rule_grades() -> dict[str, Column]:
+    """The rules: name -> 1 near the limit, 2 over it, 3 far over it, else 0. The first two are the base rule."""
+    n, chars = F.col("n_words"), F.col("word_chars")
+
+    def grade(near: Column, over: Column, far: Column) -> Column:
+        return F.when(far, 3).when(over, 2).when(near, 1).otherwise(0)
+
+    def share(count: str, near: int, over: int, far: int) -> Column:
+        of = 100 * F.col(count)
+        return grade(of > near * n, of > over * n, of > far * n)
+
     return {
-        "short": n < 50,
-        "repetitive": 100 * F.col("n_repeat_words") > 50 * n,
-        "symbols": 100 * F.col("n_symbols") > 60 * n,
-        "word_length": (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n),
-        "dup_lines": 100 * F.col("n_dup_lines") > 5 * n,
+        "short": F.when(n < 50, 2).otherwise(0),
+        "repetitive": F.when(100 * F.col("n_repeat_words") > 50 * n, 2).otherwise(0),
+        "symbols": share("n_symbols", 30, 60, 120),
+        "word_length": grade((chars < 3 * n) | (chars > 12 * n), (chars < 2 * n) | (chars > 15 * n), (2 * chars < 3 * n) | (chars > 25 * n)),
+        "dup_lines": share("n_dup_lines", 3, 5, 10),
     }
 
 
+def host_key(host_col: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(host_col)), F.lit("-"))
+
+
 def host_rates(measures: DataFrame, host_col: str = "source") -> DataFrame:
-    """Per host: documents and, per rule, the shrunken failure rate ``p_<rule>``.
+    """Per host: documents and, per rule, the shrunken rate ``p_<rule>`` of what is near
+    or over the limit, and the corpus's rate ``m_<rule>``.
 
     One row per host; the prior needs only sums over the hosts, so the second
     aggregate combines per task and moves a few numbers.
     """
-    rules = rule_failures()
-    hosts = measures.groupBy(F.coalesce(F.col(host_col), F.lit(NO_SOURCE)).alias("__host")).agg(
+    rules = rule_grades()
+    hosts = measures.groupBy(host_key(host_col).alias("__host")).agg(
         F.count(F.lit(1)).alias("n_docs"),
-        *[F.sum(failed.cast("long")).alias(f"f_{r}") for r, failed in rules.items()],
+        *[F.sum((grade > 0).cast("long")).alias(f"f_{r}") for r, grade in rules.items()],
     )
     moments = hosts.agg(
         F.count(F.lit(1)).alias("n_hosts"),
         F.sum("n_docs").alias("docs"),
-        F.sum(1 / F.col("n_docs")).alias("inv"),
+        F.sum(F.col("n_docs").cast("double") * F.col("n_docs")).alias("squares"),
         *[F.sum(f"f_{r}").alias(f"s_{r}") for r in rules],
-        *[F.sum(F.col(f"f_{r}") / F.col("n_docs")).alias(f"m1_{r}") for r in rules],
-        *[F.sum((F.col(f"f_{r}") / F.col("n_docs")) * (F.col(f"f_{r}") / F.col("n_docs"))).alias(f"m2_{r}") for r in rules],
+        *[F.sum(F.col(f"f_{r}").cast("double") * F.col(f"f_{r}") / F.col("n_docs")).alias(f"q_{r}") for r in rules],
     ).withColumn("__one", F.lit(1))
     both = hosts.withColumn("__one", F.lit(1)).join(F.broadcast(moments), "__one")  # one row
     rates = []
     for r in rules:
         mean = F.col(f"s_{r}") / F.col("docs")
-        raw_mean = F.col(f"m1_{r}") / F.col("n_hosts")
-        # Spread of the hosts' rates less what binomial noise alone gives.
-        spread = F.col(f"m2_{r}") / F.col("n_hosts") - raw_mean * raw_mean
-        noise = mean * (1 - mean) * F.col("inv") / F.col("n_hosts")
-        between = spread - noise
+        # Spread of the hosts' rates, weighted by documents, less what binomial noise alone gives.
+        spread = F.col(f"q_{r}") - F.col(f"s_{r}") * mean
+        noise = (F.col("n_hosts") - 1) * mean * (1 - mean)
+        between = (spread - noise) / (F.col("docs") - F.col("squares") / F.col("docs"))
         strength = (
             F.when((F.col("n_hosts") < 2) | (mean <= 0) | (mean >= 1), F.lit(1.0))
             .when(between <= mean * (1 - mean) / 1e6, F.lit(1e6))
             .otherwise(F.greatest(F.lit(1.0), mean * (1 - mean) / between - 1))
         )
-        rates.append(((F.col(f"f_{r}") + strength * mean) / (F.col("n_docs") + strength)).alias(f"p_{r}"))
-    return both.select("__host", "n_docs", *rates)
+        rates += [((F.col(f"f_{r}") + strength * mean) / (F.col("n_docs") + strength)).alias(f"p_{r}"), mean.alias(f"m_{r}")]
+    return both.select("__host", "n_docs", F.col("docs").alias("all_docs"), *rates)
 
 
-def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-               trust: float = 0.002, bad: float = 0.9) -> DataFrame:
+def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", bad: float = 0.9) -> DataFrame:
     """One row per document: measures, ``base_failed``, the host's rates and ``kept``."""
     rows = picked(docs, c0=id_col, c1=host_col, c2=text_col)
     measures = scratch_table(measured(rows, "c2", ("c0", "c1")), "measures")
-    return judged(measures, host_rates(measures, "c1"), "c1", trust, bad).withColumnsRenamed({"c0": id_col, "c1": host_col})
+    return judged(measures, "c1", bad).withColumnsRenamed({"c0": id_col, "c1": host_col})
 
 
-def kept_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-                   trust: float = 0.002, bad: float = 0.9) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns. Texts aren't
-    shuffled: they are measured again next to the rates of the hosts."""
+def kept_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source", bad: float = 0.9) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. Texts are
+    measured once and written beside their measures."""
     frame = positional(docs)
     text, host = (f"c{docs.columns.index(c)}" for c in (text_col, host_col))
-    rates = scratch_table(host_rates(measured(frame, text, (host,)), host), "host-rates")
-    return restored(judged(measured(frame, text, tuple(frame.columns)), rates, host, trust, bad).where("kept"), docs)
+    measures = scratch_table(measured(frame, text, tuple(frame.columns)), "measures")
+    return restored(judged(measures, host, bad).where("kept"), docs)
+
+
+def _with_rates(measures: DataFrame, rates: DataFrame, host_col: str) -> DataFrame:
+    """``measures`` with their hosts' rates. A host with a large share of all
+    rows never meets in one task: few hosts are broadcast, and of many the large
+    ones are; only the others' rows are shuffled."""
+    keyed = measures.withColumn("__host", host_key(host_col))
+    if rates.limit(FEW_HOSTS + 1).count() <= FEW_HOSTS:
+        return keyed.join(F.broadcast(rates), "__host")
+    large = F.broadcast(rates.where("100 * n_docs >= all_docs"))  # a hundred hosts at most
+    rest = keyed.join(large.select("__host"), "__host", "left_anti").join(rates, "__host")
+    return keyed.join(large, "__host").unionByName(rest)
 
 
-def judged(measures: DataFrame, rates: DataFrame, host_col: str = "source", trust: float = 0.002, bad: float = 0.9) -> DataFrame:
+def judged(measures: DataFrame, host_col: str = "source", bad: float = 0.9) -> DataFrame:
     """Verdicts for measured documents (see the module's text for the rules)."""
-    rules = rule_failures()
-    joined = measures.withColumn("__host", F.coalesce(F.col(host_col), F.lit(NO_SOURCE))).join(rates, "__host", "left")
-    base = rules["short"] | rules["repetitive"]
+    rules = rule_grades()
+    joined = _with_rates(measures, scratch_table(host_rates(measures, host_col), "host-rates"), host_col)
+    base = (rules["short"] > 0) | (rules["repetitive"] > 0)
     host_bad = F.greatest(*[F.col(f"p_{r}") for r in rules]) >= bad
-    further = [failed & (F.col(f"p_{r}") >= trust) for r, failed in list(rules.items())[2:]]
-    own = further[0]
-    for f in further[1:]:
-        own = own | f
+    own = F.lit(False)
+    for r, grade in list(rules.items())[2:]:
+        rate, mean = F.col(f"p_{r}"), F.col(f"m_{r}")
+        own = own | (grade >= F.when(rate >= STRICT * mean, 1).when(rate <= TRUST * mean, 3).otherwise(2))
     return (
         joined.withColumn("base_failed", base)
         .withColumn("host_bad", host_bad)
         .withColumn("kept", ~base & ~host_bad & ~own)
-        .drop("__host", "n_docs")
+        .drop("__host", "n_docs", "all_docs", *[f"m_{r}" for r in rules])
     )

@@ -19,7 +19,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, columns: t
     """(id, label, *columns) of at most ``rows`` labelled documents outside fold 0, drawn by hash.
 
     An id that is null, or labelled or found more than once, counts once: its
-    least label, and the row of its least text. The drawn ids are few enough
+    least label, and the row that is least in ``columns``, nulls first. The drawn ids are few enough
     to be broadcast, so texts aren't shuffled to find them.
     """
     drawn = (
@@ -32,4 +32,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, columns: t
     )
     drawn = scratch_table(drawn, "drawn")
     found = picked(docs, **{id_col: id_col}, **{c: c for c in columns}).join(F.broadcast(drawn), F.col(id_col) == F.col("__id"))  # ``rows`` ids at most
-    return scratch_table(found.select(F.col("__id").alias("id"), "label", *columns).dropDuplicates(["id"]), "labelled")
+    least = found.groupBy(F.col("__id").alias("id"), "label").agg(F.min(F.struct(*columns)).alias("row"))
+    return scratch_table(least.select("id", "label", "row.*"), "labelled")

@@ -24,23 +24,26 @@ m AS (
     coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
   FROM d JOIN lists USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN covered USING (rid)),
 failed AS (
-  SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repetitive,
-    100 * n_symbols > 60 * n_words AS symbols, word_chars < 2 * n_words OR word_chars > 15 * n_words AS word_length,
-    100 * n_dup_lines > 5 * n_words AS dup_lines FROM m),
-long_form AS (UNPIVOT failed ON short, repetitive, symbols, word_length, dup_lines INTO NAME rule VALUE bad),
-host AS (SELECT source, rule, count(*)::DOUBLE AS n, sum(bad::INT)::DOUBLE AS f FROM long_form GROUP BY ALL),
+  SELECT *, 2 * (n_words < 50)::INT AS short, 2 * (100 * n_repeat_words > 50 * n_words)::INT AS repetitive,
+    (100 * n_symbols > 30 * n_words)::INT + (100 * n_symbols > 60 * n_words)::INT + (100 * n_symbols > 120 * n_words)::INT AS symbols,
+    (word_chars < 3 * n_words OR word_chars > 12 * n_words)::INT + (word_chars < 2 * n_words OR word_chars > 15 * n_words)::INT
+      + (2 * word_chars < 3 * n_words OR word_chars > 25 * n_words)::INT AS word_length,
+    (100 * n_dup_lines > 3 * n_words)::INT + (100 * n_dup_lines > 5 * n_words)::INT + (100 * n_dup_lines > 10 * n_words)::INT AS dup_lines FROM m),
+long_form AS (UNPIVOT failed ON short, repetitive, symbols, word_length, dup_lines INTO NAME rule VALUE grade),
+host AS (SELECT source, rule, count(*)::DOUBLE AS n, count(*) FILTER (WHERE grade > 0)::DOUBLE AS f FROM long_form GROUP BY ALL),
 prior AS (
   SELECT rule, count(*) AS hosts, sum(f) / sum(n) AS mean,
-    avg((f / n) * (f / n)) - avg(f / n) * avg(f / n) - (sum(f) / sum(n)) * (1 - sum(f) / sum(n)) * avg(1 / n) AS between_hosts
+    (sum(f * f / n) - sum(f) * (sum(f) / sum(n)) - (count(*) - 1) * (sum(f) / sum(n)) * (1 - sum(f) / sum(n)))
+      / nullif(sum(n) - sum(n * n) / sum(n), 0) AS between_hosts
   FROM host GROUP BY rule),
 strength AS (
   SELECT rule, mean, CASE WHEN hosts < 2 OR mean <= 0 OR mean >= 1 THEN 1.0
     WHEN between_hosts <= mean * (1 - mean) / 1e6 THEN 1e6
     ELSE greatest(1.0, mean * (1 - mean) / between_hosts - 1) END AS s FROM prior),
-rate AS (SELECT source, rule, (f + s * mean) / (n + s) AS p FROM host JOIN strength USING (rule)),
+rate AS (SELECT source, rule, mean, (f + s * mean) / (n + s) AS p FROM host JOIN strength USING (rule)),
 judged AS (
-  SELECT l.rid, bool_or(bad AND rule IN ('short', 'repetitive')) AS base_failed, max(p) >= 0.9 AS host_bad,
-    bool_or(bad AND p >= 0.002 AND rule NOT IN ('short', 'repetitive')) AS own
+  SELECT l.rid, bool_or(grade > 0 AND rule IN ('short', 'repetitive')) AS base_failed, max(p) >= 0.9 AS host_bad,
+    bool_or(grade >= CASE WHEN p >= 2.0::DOUBLE * mean THEN 1 WHEN p <= 0.5::DOUBLE * mean THEN 3 ELSE 2 END AND rule NOT IN ('short', 'repetitive')) AS own
   FROM long_form AS l JOIN rate AS r USING (rule) WHERE l.source IS NOT DISTINCT FROM r.source GROUP BY l.rid)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT host_bad AND NOT own AS kept
@@ -84,7 +87,9 @@ p{k} AS (
     return sql + """,
 score AS (SELECT rid, any_value(verdict) AS verdict, any_value(held) AS held, sum(ln(pa) - ln(pb)) / any_value(n) AS s FROM runs JOIN p4 ON p4.g = run GROUP BY rid),
 m AS (SELECT verdict, avg(s) AS mean, sqrt(greatest(avg(s * s) - avg(s) * avg(s), 0)) + 1e-9 AS spread FROM score WHERE held AND verdict IS NOT NULL GROUP BY verdict),
-bound AS (SELECT (l.mean * r.spread + r.mean * l.spread) / (l.spread + r.spread) AS v FROM (SELECT * FROM m WHERE verdict = 'allow') AS l, (SELECT * FROM m WHERE verdict = 'block') AS r)
+bound AS (
+  SELECT (l.mean * r.spread + r.mean * l.spread) / (l.spread + r.spread) AS v FROM (SELECT * FROM m WHERE verdict = 'allow') AS l, (SELECT * FROM m WHERE verdict = 'block') AS r
+  WHERE (SELECT count(DISTINCT verdict) FROM said WHERE NOT held) = 2)
 SELECT page_id, host, path, rule, coalesce(said.verdict, CASE WHEN coalesce(s >= (SELECT v FROM bound), true) THEN 'allow' ELSE 'block' END) AS verdict
 FROM said JOIN score USING (rid)
 """
@@ -95,11 +100,11 @@ def _op4() -> str:
         ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
         ("access", r"AKIA[A-Z0-9]+", 0, 20),
         ("hex", r"[0-9a-f]+", 0, 24),
-        ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+        ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
         ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
         ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
         ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 1),
-        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+        ("jwt", r"eyJ[A-Za-z0-9_-]{8,1000}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
     ]
     parts = [
         f"""SELECT rid, {o} AS o, '{kind}' AS kind, {least} AS least, regexp_extract_all(text, '{pattern}') AS found,

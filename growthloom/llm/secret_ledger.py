@@ -36,6 +36,8 @@ class Rule:
     version: int = 1
 
 
+# No pattern repeats a group: the regular expressions would recurse once a
+# repetition, and a hostile text would overflow the stack.
 #: The base kinds, in their order, and the method's own kinds after them.
 BASE = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -43,11 +45,11 @@ BASE = (
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", version=2),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,1000}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", version=2),
 )
 RULES = BASE + MORE
 

@@ -122,7 +122,11 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     mean = {c: F.sum(F.when(on, F.col("n") * F.col("score"))) / weight[c] for c, on in side.items()}
     square = {c: F.sum(F.when(on, F.col("n") * F.col("score") * F.col("score"))) / weight[c] for c, on in side.items()}
     spread = {c: F.sqrt(F.greatest(square[c] - mean[c] * mean[c], F.lit(0.0))) + 1e-9 for c in side}
-    bound = held.agg(((mean["allow"] * spread["block"] + mean["block"] * spread["allow"]) / (spread["allow"] + spread["block"])).alias("bound")).withColumn("one", F.lit(1))
+    between = (mean["allow"] * spread["block"] + mean["block"] * spread["allow"]) / (spread["allow"] + spread["block"])
+    taught = distinct.where(learnt).agg(*[F.count(F.when(on, 1)).alias(f"taught_{c}") for c, on in side.items()])
+    # Without a bound, as where a class had nothing to learn from, nothing is blocked.
+    bound = held.agg(between.alias("between")).withColumn("one", F.lit(1)).join(F.broadcast(taught.withColumn("one", F.lit(1))), "one")  # one row each
+    bound = bound.select("one", F.when((F.col("taught_allow") > 0) & (F.col("taught_block") > 0), F.col("between")).alias("bound"))
     judged = (
         scores.where("said is null").withColumn("one", F.lit(1)).join(F.broadcast(bound), "one")  # one row
         .select("host", "path", "score", F.when(F.coalesce(F.col("score") >= F.col("bound"), F.lit(True)), "allow").otherwise("block").alias("scored"))

@@ -81,7 +81,7 @@ def url_verdicts(urls: list[str | None], rules, context: int = 4, folds: int = 5
     scores = [score(h + p) for h, p in parts]
     held = {c: [x for x, (h, p), (_, v) in zip(scores, parts, said) if v == c and not fold(h + p)] for c in counts}
     bound = None
-    if all(held.values()):
+    if all(held.values()) and all(total[c][0] for c in total):
         mean = {c: sum(x) / len(x) for c, x in held.items()}
         spread = {c: math.sqrt(max(0.0, sum(y * y for y in x) / len(x) - mean[c] ** 2)) + 1e-9 for c, x in held.items()}
         bound = (mean["allow"] * spread["block"] + mean["block"] * spread["allow"]) / (spread["allow"] + spread["block"])

@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from growthloom.llm import catalog, latent_search, mixing, oracle, prob_minhash, secret_ledger, sharding, token_file, url_filter
+from growthloom.llm import catalog, host_rules, latent_search, mixing, oracle, prob_minhash, secret_ledger, sharding, token_file, url_filter
 from growthloom.llm.common import read_table
 from tests.compare import compare, duck
 from tests.conftest import SF_SMALL
@@ -484,3 +484,130 @@ def test_pipeline(spark):
     assert len(set(brute.duplicate_classes([docs[i] for i in kept]))) == len(kept)
     assert all(len(docs[i].split()) >= 50 for i in kept)
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality rules" and len(corpus_pipeline.STAGES) == 5
+
+
+def _lines(repeated: int) -> str:
+    """A text of about 300 words whose line ``x`` occurs ``repeated`` times after the first."""
+    fresh = [" ".join(f"w{repeated}x{i}y{j}" for j in range(6)) for i in range(50)]
+    return "\n".join(line + ("\nx" if i <= repeated else "") for i, line in enumerate(fresh))
+
+
+@pytest.mark.parametrize("few", (10_000, 0))
+def test_hosts_decide_on_documents_close_to_a_limit(spark, monkeypatch, few):
+    """One text near the limit and one over it, under a strict host, a trusted one and a plain one."""
+    monkeypatch.setattr(host_rules, "FEW_HOSTS", few)
+    clean, near, over, far = (_lines(r) for r in (0, 12, 20, 40))
+    rows = []
+    for host, failing in (("strict", 300), ("trusted", 2), ("plain", 60), (None, 60)):
+        rows += [(host, over)] * failing + [(host, clean)] * (600 - failing)
+    rows += [(f"small{i % 30}", clean) for i in range(600)]
+    probes = {(h, k): len(rows) + n for n, (h, k) in enumerate((h, k) for h in ("strict", "trusted", "plain", None, "small1") for k in ("clean", "near", "over", "far"))}
+    rows += [(h, {"clean": clean, "near": near, "over": over, "far": far}[k]) for h, k in probes]
+    docs = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    kept = {r.doc_id: r.kept for r in host_rules.host_rules(docs).collect()}
+    got = {p: kept[i] for p, i in probes.items()}
+    for h in ("strict", "trusted", "plain", None, "small1"):
+        assert got[h, "clean"] and not got[h, "far"]
+    assert [got[h, "near"] for h in ("strict", "trusted", "plain", None, "small1")] == [False, True, True, True, True]
+    assert [got[h, "over"] for h in ("strict", "trusted", "plain", None, "small1")] == [False, True, False, False, False]
+    assert Counter(r.doc_id for r in host_rules.kept_documents(docs).collect()) == Counter(i for i, k in kept.items() if k)
+
+
+def test_null_and_odd_hosts_stay_apart(spark):
+    docs = spark.createDataFrame([(i, "a", h) for i, h in enumerate([None, "-", "", "=", "\x00\x01"])], "doc_id long, text string, source string")
+    assert host_rules.host_rules(docs).count() == 5
+    measures = host_rules.measured(docs, "text", ("doc_id", "source"))
+    assert host_rules.host_rates(measures).count() == 5
+
+
+def test_secret_patterns_stand_hostile_texts(spark):
+    texts = ["-----BEGIN " + "A " * 20_000, "-----BEGIN " + "AB" * 20_000, "eyJ" * 20_000, "password" + " " * 30_000, "xoxb-" + "a" * 30_000, "-----BEGIN RSA PRIVATE KEY-----"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = Counter((i, *brute.secret_row(t)) for i, t in enumerate(texts))
+    assert Counter(tuple(r) for r in secret_ledger.secrets(docs).collect()) == want
+
+
+def test_mixing_tells_rows_apart_by_all_columns(spark):
+    """Values that differ only in where the null is are rows of their own."""
+    rows = [(1, "a b c", None, "en"), (1, "a b c", "en", None), (2, "d e f", "en", "en"), (2, "d e f", "ene", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    taken = Counter(tuple(r) for r in mixing.mixed_documents(docs).collect())
+    assert set(taken) <= set(rows) and max(taken.values()) <= 2
+    sources = Counter(r[2] for r in taken.elements())
+    mixed = {r.source: r.taken for r in mixing.source_mix(docs).groupBy("source").agg({"taken": "sum"}).withColumnRenamed("sum(taken)", "taken").collect()}
+    assert {s: 3 * n for s, n in sources.items()} == {s: t for s, t in mixed.items() if t}
+
+
+def test_a_letter_composed_in_one_case_only():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["J̌", "H̱x", "T̈ The", "W̊", "Y̊Z", "THE J̌E H̱ cafÉ Café CAFÉ, (Y̊)."]
+    got = token_file.CachedTokenizer(path).encode([t.encode() for t in texts])
+    library = Tokenizer.from_file(path)
+    assert [g.tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_the_least_text_of_an_id_is_learnt_from(spark):
+    from growthloom.llm.labels import training_rows
+
+    docs = spark.createDataFrame([(1, t, 0) for t in ("zzz", "aaa", "mmm", "aaa")] + [(2, None, 1), (2, "x", 1)], "doc_id long, text string, n long")
+    known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    rows = training_rows(docs.repartition(5), known, "quality", ("text",), 10).collect()
+    assert {(r.id, r.label, r.text) for r in rows} == {(1, 1, "aaa"), (2, 0, None)} & {(r.id, r.label, r.text) for r in rows} and len(rows) >= 1
+
+
+def test_urls_without_a_class_to_learn_from_are_allowed(spark):
+    """Blocked URLs in the held-out fifth alone: nothing to learn from."""
+    held, learnt = [], []
+    for i in range(200):
+        s = f"a{i}.net/es/x"
+        (held if int(__import__("hashlib").md5(s.encode()).hexdigest()[:4], 16) % 5 == 0 else learnt).append(s)
+    urls = [f"http://{s}" for s in held] + [f"http://b{i}.com/y" for i in range(40)] + [f"http://c{i}.org/z" for i in range(20)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = url_filter.url_verdicts(pages).collect()
+    assert {r.verdict for r in rows if r.rule is None} == {"allow"}
+    assert Counter((r.host, r.path, r.rule, r.verdict) for r in rows) == Counter(brute.url_verdicts(urls, url_filter.RULES))
+
+
+def test_long_texts_in_parts_give_the_same_leaks(spark, monkeypatch):
+    rng = random.Random(21)
+    texts, items, answers, others = _benchmark(spark)
+    body = rng.choices(others, k=30_000)
+    for n, at in enumerate(range(400, 29_000, 700)):
+        i = n % len(items)
+        body[at : at + len(items[i])] = [w if rng.random() < 0.8 else rng.choice(others) for w in items[i]]
+    docs = spark.createDataFrame([(0, " ".join(body)), (1, " ".join(body[:500])), (2, "")], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    whole = {tuple(r) for r in latent_search.contaminated(docs, bench).collect()}
+    monkeypatch.setattr(latent_search, "TOGETHER", 1200)
+    parts = {tuple(r) for r in latent_search.contaminated(docs, bench).collect()}
+    assert len(whole) > 10
+    assert {(d, i, round(lcs, 9), at) for d, i, _, lcs, at in parts} == {(d, i, round(lcs, 9), at) for d, i, _, lcs, at in whole}
+
+
+def test_passages_of_parts_are_those_of_whole_texts(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    for length in (0, 5, 12, 13, 120, 121, 125, 132, 133, 240, 245, 600, 607):
+        words = rng.integers(1, 1 << 31, length).astype(np.uint32)
+        batch = pa.RecordBatch.from_arrays([pa.array([words.tobytes()], pa.binary())], names=["words"])
+        monkeypatch.setattr(latent_search, "TOGETHER", 60)
+        found = []
+        for texts in latent_search._passage_parts([batch]):
+            for t in texts:
+                _, _, at = latent_search.passage_sums(np.zeros((len(t), 1)), np.array([len(t)])) if len(t) else ([], [], [])
+                found += [tuple(t[a : a + latent_search.WINDOW]) for a in at]
+        _, _, at = latent_search.passage_sums(np.zeros((length, 1)), np.array([length])) if length else ([], [], [])
+        assert Counter(found) == Counter(tuple(words[a : a + latent_search.WINDOW]) for a in at)
+
+
+def test_orthonormal_bases():
+    rng = np.random.default_rng(6)
+    tall = (rng.standard_normal((5000, 20)) * np.logspace(0, 4, 20)).astype(np.float32)
+    basis = latent_search.orthonormal(tall).astype(np.float64)
+    assert np.abs(basis.T @ basis - np.eye(20)).max() < 1e-4
+    assert np.abs(tall - basis @ (basis.T @ tall)).max() < 1e-2 * np.abs(tall).max()
+    assert not latent_search.orthonormal(np.zeros((100, 4), np.float32)).any()
