@@ -61,25 +61,54 @@ def dim_user(staged: DataFrame) -> DataFrame:
     """One row per user over all staged events.
 
     gender/country are the first non-NULL values recorded; ``lifetime_events``
-    counts distinct timestamps. Raw events meet two hash aggregates: the time
-    span of each (user, gender, country), from whose few rows the first values
-    are picked, and the distinct (user, ts), so a user holding a large share
-    of all events is spread over many tasks. Both have one row per user in the
-    end and are joined (NULL users match).
+    counts distinct timestamps. Spark plans the distinct count in two steps
+    (first shuffled on (user, ts), then on user), so a user holding a large
+    share of all events is spread over many tasks. Columns that aren't asked
+    for (the growth tables take gender and country alone) are not computed.
     """
-    spans = staged.groupBy("user_id", "gender", "country").agg(
-        F.min("event_ts").alias("event_ts"),
-        F.max("event_ts").alias("last_ts"),
-        F.min("event_date").alias("first_date"),
-        F.max("event_date").alias("last_date"),
-    )
-    users = spans.groupBy("user_id").agg(
+    return staged.groupBy("user_id").agg(
         any_value_det("gender", "event_ts").alias("gender"),
         any_value_det("country", "event_ts").alias("country"),
         F.min("event_ts").alias("first_seen_ts"),
+        F.max("event_ts").alias("last_seen_ts"),
+        F.min("event_date").alias("first_seen_date"),
+        F.max("event_date").alias("last_seen_date"),
+        F.count_distinct("event_ts").alias("lifetime_events"),
+    )
+
+
+USER_DAY_COLUMNS = ("user_id", "event_date", "first_ts", "last_ts", "instants", "gender", "gender_ts", "country", "country_ts")
+
+
+def user_days(staged: DataFrame) -> DataFrame:
+    """The user dimension's mergeable state: one row per user and day.
+
+    A timestamp lies in one day, so distinct timestamps add up over days; the
+    first values keep their times, so that the first of several days can be told.
+    """
+
+    def first(column: str) -> Column:
+        return F.min(F.when(F.col(column).isNotNull(), F.struct(F.col("event_ts").alias("t"), F.col(column).alias("v")))).alias(f"_{column}")
+
+    days = staged.groupBy("user_id", "event_date").agg(
+        F.min("event_ts").alias("first_ts"),
+        F.max("event_ts").alias("last_ts"),
+        F.count_distinct("event_ts").alias("instants"),
+        first("gender"),
+        first("country"),
+    )
+    pairs = [F.col(f"_{c}.{k}").alias(c if k == "v" else f"{c}_ts") for c in ("gender", "country") for k in ("v", "t")]
+    return days.select("user_id", "event_date", "first_ts", "last_ts", "instants", *pairs)
+
+
+def dim_user_from_days(days: DataFrame) -> DataFrame:
+    """The user dimension from ``user_days``: a row per user and day is read, no event."""
+    return days.groupBy("user_id").agg(
+        any_value_det("gender", "gender_ts").alias("gender"),
+        any_value_det("country", "country_ts").alias("country"),
+        F.min("first_ts").alias("first_seen_ts"),
         F.max("last_ts").alias("last_seen_ts"),
-        F.min("first_date").alias("first_seen_date"),
-        F.max("last_date").alias("last_seen_date"),
+        F.min("event_date").alias("first_seen_date"),
+        F.max("event_date").alias("last_seen_date"),
+        F.sum("instants").alias("lifetime_events"),
     )
-    instants = staged.select("user_id", "event_ts").distinct().groupBy(F.col("user_id").alias("_user")).agg(F.count("event_ts").alias("lifetime_events"))
-    return users.join(instants, users["user_id"].eqNullSafe(instants["_user"])).select(*DIM_USER_COLUMNS)

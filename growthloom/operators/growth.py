@@ -236,6 +236,12 @@ def growth_user_features(
     return panel.select(*GROWTH_FEATURE_COLUMNS)
 
 
+def growth_panel(fct: DataFrame, users: DataFrame, grain: str | tuple[str, ...] = "day", week_start: str = "sunday") -> DataFrame:
+    """The columns of ``growth_status`` and ``growth_user_features`` together, in one pass."""
+    panel = _panel(fct, _grains(grain), week_start, with_metrics=True, users=users)
+    return panel.select(*GROWTH_STATUS_COLUMNS, *[c for c in GROWTH_FEATURE_COLUMNS if c not in GROWTH_STATUS_COLUMNS])
+
+
 def growth_user_features_combined(fct: DataFrame, users: DataFrame, week_start: str = "sunday") -> DataFrame:
     """Day, week and month growth features together."""
     return growth_user_features(fct, users, GRAINS, week_start)

@@ -3,14 +3,14 @@ failure counts per check, and a column-contract check."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.functions.periods import ENGAGEMENT_TYPES
+from growthloom.functions.periods import ENGAGEMENT_TYPES, GRAINS
 
 # Accepted value lists of the checks.
 EVENT_TYPES = ("like", "share", "reward_search", "miles_earned", "miles_redeemed")
@@ -140,23 +140,50 @@ def default_checks() -> list[Check]:
 # --- runner -----------------------------------------------------------------
 
 
-def _row_level_counts(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """not_null and accepted_values checks of one table in a single scan."""
+@dataclass(frozen=True)
+class Slice:
+    """A table that is part of the rows of ``base``. The checks of all slices of
+    one base are counted together, in one pass over it."""
+
+    base: DataFrame
+    where: Column | None = None
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.base if self.where is None else self.base.where(self.where)
+
+
+def grain_slices(base: DataFrame, column: str = "period_grain", grains: Sequence[str] = GRAINS) -> Callable[..., Slice]:
+    """Tables of one grain each out of a base with several: ``slices("week")``;
+    ``slices()`` is all of it. Rows of no known grain are in every slice, so that
+    a check of the grain finds them."""
+
+    def of(grain: str | None = None) -> Slice:
+        if grain is None:
+            return Slice(base)
+        return Slice(base, ~F.coalesce(F.col(column).isin(*[g for g in grains if g != grain]), F.lit(False)))
+
+    return of
+
+
+def _row_level_counts(base: DataFrame, checks: list[tuple[Check, Column | None]]) -> DataFrame:
+    """not_null and accepted_values checks of the slices of one base in a single scan."""
     exprs = []
-    for i, ch in enumerate(checks):
+    for i, (ch, where) in enumerate(checks):
         c = F.col(ch.column)
         bad = c.isNull() if ch.kind == "not_null" else (c.isNotNull() & ~c.isin(*ch.values))
+        bad = bad if where is None else bad & where
         exprs.append(F.sum(F.when(bad, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(f"_c{i}"))
-    wide = df.agg(*exprs)
+    wide = base.agg(*exprs)
     cells = F.array(
         *[
             F.struct(
-                F.lit(table).alias("table_name"),
+                F.lit(ch.table).alias("table_name"),
                 F.lit(ch.column).alias("column_name"),
                 F.lit(ch.kind).alias("check_name"),
                 F.coalesce(F.col(f"_c{i}"), F.lit(0).cast("bigint")).alias("failing_rows"),
             )
-            for i, ch in enumerate(checks)
+            for i, (ch, _) in enumerate(checks)
         ]
     )
     return wide.select(F.inline(cells))
@@ -184,28 +211,31 @@ def _unique_count(ch: Check, df: DataFrame) -> DataFrame:
     )
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] | None = None) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame | Slice], checks: Sequence[Check] | None = None) -> DataFrame:
     """(table_name, column_name, check_name, failing_rows) for every check
     whose table is given. ``failing_rows`` counts the rows the check's
     failing-row query returns.
 
-    Each table is read once for its NULL / accepted-value checks, once per
-    uniqueness check and once per relationship. Pass materialized tables,
-    as ``python -m growthloom test`` does. A table given as an unmaterialized
-    plan is recomputed by each of those reads.
+    Each table, or base of several slices, is read once for its NULL /
+    accepted-value checks, once per uniqueness check and once per relationship.
+    Pass materialized tables, as ``python -m growthloom test`` does. A table
+    given as an unmaterialized plan is recomputed by each of those reads.
     """
     chosen = [c for c in (checks or default_checks()) if c.table in tables and (c.to_table is None or c.to_table in tables)]
+    slices = {name: t if isinstance(t, Slice) else Slice(t) for name, t in tables.items()}
+    frames = {name: s.rows for name, s in slices.items() if any(name in (c.table, c.to_table) and c.kind in ("unique", "relationships") for c in chosen)}
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    by_base: dict[int, list[tuple[Check, Column | None]]] = {}
     for ch in chosen:
         if ch.kind in ("not_null", "accepted_values"):
-            by_table.setdefault(ch.table, []).append(ch)
+            by_base.setdefault(id(slices[ch.table].base), []).append((ch, slices[ch.table].where))
         elif ch.kind == "unique":
-            parts.append(_unique_count(ch, tables[ch.table]))
+            parts.append(_unique_count(ch, frames[ch.table]))
         else:
-            parts.append(_count_as_row(ch, failures(ch, tables)))
-    for table, group in by_table.items():
-        parts.insert(0, _row_level_counts(table, tables[table], group))
+            parts.append(_count_as_row(ch, failures(ch, frames)))
+    bases = {id(s.base): s.base for s in slices.values()}
+    for base, group in by_base.items():
+        parts.insert(0, _row_level_counts(bases[base], group))
     if not parts:
         raise ValueError("No check applies to the given tables")
     return reduce(DataFrame.unionByName, parts)

@@ -29,7 +29,8 @@ def _user_periods(fct: DataFrame, grains: tuple[str, ...], week_start: str) -> D
     )
     # Raw events are reduced to a row per day and values before they are
     # multiplied: a hash aggregate, as its buffer is one timestamp.
-    days = fct.groupBy("user_id", "event_date", "engagement_bucket", "country", "gender").agg(F.min("event_ts").alias("event_ts"))
+    # Dealt out by user, so that what follows within a user isn't shuffled again.
+    days = fct.groupBy("user_id", "event_date", "engagement_bucket", "country", "gender").agg(F.min("event_ts").alias("event_ts")).repartition("user_id")
     ex = days.select("user_id", "event_ts", "country", "gender", "engagement_bucket", F.inline(structs))
     ex = ex.select(
         "user_id", "event_ts", "country", "gender", "period_grain", "pidx",

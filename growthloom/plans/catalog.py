@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from growthloom.operators.activity import event_detail_activity, user_activity
 from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS, dim_user, fact_events
 from growthloom.operators.features import FEATURE_ATTRIBUTES, features_performance, user_period_features
-from growthloom.operators.growth import growth_status, growth_user_features
-from growthloom.operators.quality import run_checks
+from growthloom.operators.growth import growth_panel, growth_status, growth_user_features
+from growthloom.operators.quality import grain_slices, run_checks
 from growthloom.operators.reporting import (
     Dimension,
     Metric,
@@ -35,7 +35,9 @@ from growthloom.operators.reporting import (
 )
 from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
+from growthloom.plans.dimension import refresh_dim_user
 from growthloom.plans.loader import load_fact
+from growthloom.plans.panel import refresh_panel
 from growthloom.plans.refresh import MODELS, refresh
 from growthloom.session import apply_runtime_conf, shared_folder
 from growthloom.sources.adapters import raw_events
@@ -152,6 +154,35 @@ def _dim_user_merged(spark: SparkSession, d: str) -> DataFrame:
     return read_target(spark, path).select(*DIM_USER_COLUMNS)
 
 
+def _dim_user_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Written by days and read back: a first load up to a week before the last
+    day, of which the afternoon is missing, then two runs that read new days alone."""
+    stg = _awkward(spark, d)
+    cut = _cut(stg)
+    dim, days = scratch(spark, "dim"), scratch(spark, "days")
+    day = F.col("event_date")
+    refresh_dim_user(spark, stg.filter(day.isNull() | (day < cut) | ((day == cut) & (F.hour("event_ts") < 12))), dim, days)
+    for _ in range(2):
+        refresh_dim_user(spark, stg, dim, days)
+    return read_target(spark, dim).select(*DIM_USER_COLUMNS)
+
+
+def _panel_incremental(grain: str) -> Query:
+    """Written and read back: a panel from the orders up to some weeks before the
+    last day, then runs that read new days and the state, up to the middle of
+    these weeks, to the end, and to the end again."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        path = scratch(spark, "panel")
+        fct = fact(spark, d, "orders")
+        last = fct.agg(F.max("event_date")).first()[0]
+        for back in (75, 31, 0, 0):
+            refresh_panel(spark, fct.filter(F.col("event_date") <= F.lit(last - dt.timedelta(days=back))), path, f"{path}-state", grain)
+        return read_target(spark, path)
+
+    return run
+
+
 def _refreshed(spark: SparkSession, d: str, *tags: str) -> str:
     """A new warehouse: all models from events up to a week before the last day, then whole groups by tag from all events."""
     warehouse = scratch(spark, "warehouse")
@@ -207,28 +238,27 @@ def _dq_core(spark: SparkSession, d: str) -> DataFrame:
 
 def _dq_marts(spark: SparkSession, d: str) -> DataFrame:
     fct, du = fact(spark, d, "orders"), users(spark, d, "orders")
-    tables = {
-        "fct_growth_user_features_weekly": growth_user_features(fct, du, "week"),
-        "fct_growth_user_features_monthly": growth_user_features(fct, du, "month"),
-        "int_user_growth_status_weekly": growth_status(fct, "week"),
-        "int_user_growth_status_monthly": growth_status(fct, "month"),
-        "int_user_features_weekly": user_period_features(fct, "week"),
-        "int_user_features_monthly": user_period_features(fct, "month"),
-        "fct_cohort_retention_weekly": cohort_retention(fct, "week"),
-        "fct_cohort_retention_monthly": cohort_retention(fct, "month"),
-        "fct_cohort_retention_combined": cohort_retention(fct, ("month", "week")),
-    }
-    return run_checks(tables)
+    panel = grain_slices(growth_panel(fct, du, ("week", "month")))
+    features = grain_slices(user_period_features(fct, ("week", "month")))
+    cohorts = grain_slices(cohort_retention(fct, ("month", "week")))
+    tables = {}
+    for grain, suffix in (("week", "weekly"), ("month", "monthly")):
+        tables[f"fct_growth_user_features_{suffix}"] = panel(grain)
+        tables[f"int_user_growth_status_{suffix}"] = panel(grain)
+        tables[f"int_user_features_{suffix}"] = features(grain)
+        tables[f"fct_cohort_retention_{suffix}"] = cohorts(grain)
+    return run_checks(tables | {"fct_cohort_retention_combined": cohorts()})
 
 
 def _dq_daily(spark: SparkSession, d: str) -> DataFrame:
     fct, du = fact(spark, d, "events"), users(spark, d, "events")
     grains = ("day", "week", "month")
+    panel = grain_slices(growth_panel(fct, du, grains))
     tables = {
-        "fct_growth_user_features_daily": growth_user_features(fct, du, "day"),
-        "int_user_growth_status_daily": growth_status(fct, "day"),
+        "fct_growth_user_features_daily": panel("day"),
+        "int_user_growth_status_daily": panel("day"),
         "int_user_features_daily": user_period_features(fct, "day"),
-        "fct_growth_user_features_combined": growth_user_features(fct, du, grains),
+        "fct_growth_user_features_combined": panel(),
         "fct_user_features_performance": features_performance(user_period_features(fct, grains)),
     }
     return run_checks(tables)
@@ -290,6 +320,9 @@ def queries() -> dict[str, Query]:
         "fact_incremental": _fact_incremental,
         "fact_backfill": _fact_backfill,
         "dim_user_merged": _dim_user_merged,
+        "dim_user_incremental": _dim_user_incremental,
+        "growth_status_week_incremental": _panel_incremental("week"),
+        "growth_status_month_incremental": _panel_incremental("month"),
         "refresh_weekly": _refresh_weekly,
         "refresh_groups": _refresh_groups,
     }

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from growthloom.functions.periods import period_from_index, period_index
 from growthloom.operators.growth import active_types, growth_status, status_rows
-from growthloom.sources.sinks import read_target, replace_partitions_from, write_table
+from growthloom.sources.published import current, read_version
+from growthloom.sources.sinks import replace_partitions_from, write_table
 
 STATE_KEY = ("user_id", "engagement_type")
 PANEL_PARTITION = "period_start"
@@ -56,6 +57,19 @@ def panel_from(active: DataFrame, state: DataFrame, grain: str, as_of: int, last
     return status_rows(act, week_start, as_of)
 
 
+def changed_before(seen: dict[str, str] | None, now: dict[str, str] | None, start: dt.date) -> bool:
+    """Whether a dated partition before ``start`` was written since: the two
+    manifests name another write for it, or only one has it."""
+    if seen is None or now is None:
+        return seen is not now
+
+    def old(folders: dict[str, str]) -> set[tuple[str, str]]:
+        # NULL's folder name is above any date: undated events have no period.
+        return {(f, w) for f, w in folders.items() if f.partition("=")[2] < start.isoformat()}
+
+    return old(seen) != old(now)
+
+
 def refresh_panel(
     spark: SparkSession,
     fct: DataFrame,
@@ -63,29 +77,37 @@ def refresh_panel(
     state_path: str,
     grain: str,
     week_start: str = "sunday",
-    rebuild: bool = False,
-) -> None:
-    """Bring the panel at ``panel_path`` up to the last day of ``fct``.
-
-    ``rebuild`` starts from all days, as does a first run; it is needed when
-    days before the open period have changed (a backfill), or the week's start.
+    source: dict[str, str] | None = None,
+) -> bool:
+    """Bring the panel at ``panel_path`` up to the last day of ``fct``; whether
+    it went on from the state.
+
+    ``source`` are the folders of the fact's manifest. The state notes those it
+    was made from, so a run that finds a day before the open period written
+    again (a backfill) starts from all days, as does a first run. Without it,
+    days before the open period are taken to be as they were.
     """
-    stored = None if rebuild else read_target(spark, state_path)
-    as_of = stored.agg(F.max("as_of")).first()[0] if stored is not None else None
+    version = current(spark, state_path)
+    note = (version.note if version is not None else None) or {}
+    as_of = note.get("as_of")
     last_day: dt.date | None = fct.agg(F.max("event_date")).first()[0]
-    last = None if last_day is None else spark.range(1).select(period_index(F.lit(last_day), grain, week_start)).first()[0]
-    if as_of is None or last is None or last < as_of:
+    days = spark.range(1).select(
+        period_index(F.lit(last_day).cast("date"), grain, week_start).alias("last"),
+        period_from_index(F.lit(as_of).cast("int"), grain, week_start).alias("start"),
+    ).first()
+    usable = as_of is not None and days.last is not None and days.last >= as_of and note["week_start"] == week_start
+    if not usable or changed_before(note["source"], source, days.start):
         write_table(growth_status(fct, grain, week_start), panel_path, [PANEL_PARTITION], PANEL_CLUSTER)
-        if last is not None:
-            _store(closed_state(active_types(fct, grain, week_start), None, last), state_path, last)
-        return
-    start = spark.range(1).select(period_from_index(F.lit(as_of), grain, week_start)).first()[0]
-    active = active_types(fct.where(F.col("event_date") >= F.lit(start)), grain, week_start)
-    rows = panel_from(active, stored, grain, as_of, last, week_start)
-    replace_partitions_from(spark, rows, panel_path, PANEL_PARTITION, start, PANEL_CLUSTER)
-    _store(closed_state(active, stored, last), state_path, last)
-
-
-def _store(state: DataFrame, path: str, as_of: int) -> None:
-    # Without a user there is nothing to go on from: a next run starts from all days.
-    write_table(state.withColumn("as_of", F.lit(as_of)), path, (), ("user_id",))
+        if days.last is not None:
+            _store(closed_state(active_types(fct, grain, week_start), None, days.last), state_path, days.last, week_start, source)
+        return False
+    stored = read_version(spark, state_path, version)
+    active = active_types(fct.where(F.col("event_date") >= F.lit(days.start)), grain, week_start)
+    rows = panel_from(active, stored, grain, as_of, days.last, week_start)
+    replace_partitions_from(spark, rows, panel_path, PANEL_PARTITION, days.start, PANEL_CLUSTER)
+    _store(closed_state(active, stored, days.last), state_path, days.last, week_start, source)
+    return True
+
+
+def _store(state: DataFrame, path: str, as_of: int, week_start: str, source: dict[str, str] | None) -> None:
+    write_table(state, path, (), ("user_id",), {"as_of": as_of, "week_start": week_start, "source": source})

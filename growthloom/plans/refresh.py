@@ -24,11 +24,14 @@ from growthloom.functions.periods import GRAINS
 from growthloom.operators.activity import event_detail_activity
 from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS, dim_user, fact_events
 from growthloom.operators.features import features_performance, user_period_features
-from growthloom.operators.growth import growth_status, growth_user_features
+from growthloom.operators.growth import GROWTH_STATUS_COLUMNS, growth_status, growth_user_features
 from growthloom.operators.reporting import event_activity_report, growth_report_from_events
 from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
+from growthloom.plans.dimension import refresh_dim_user
 from growthloom.plans.loader import load_fact
+from growthloom.plans.panel import refresh_panel
+from growthloom.sources.published import current
 from growthloom.sources.sinks import merge_table, read_target, write_table
 
 SUFFIX = {"day": "daily", "week": "weekly", "month": "monthly"}
@@ -38,7 +41,7 @@ SUFFIX = {"day": "daily", "week": "weekly", "month": "monthly"}
 class Model:
     name: str
     layer: str
-    materialized: str  # view | table | fact | merge (by the first cluster column)
+    materialized: str  # view | table | fact | merge (by the first cluster column) | panel (from new days and a state)
     build: Callable[["Context"], DataFrame] | None
     tags: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
@@ -46,6 +49,7 @@ class Model:
     # Declared column order of a partitioned table (parquet lists partition
     # columns last when the table is read back).
     columns: tuple[str, ...] = ()
+    grain: str | None = None
 
     def read(self, spark: SparkSession, path: str) -> DataFrame | None:
         df = read_target(spark, path)
@@ -92,8 +96,8 @@ def _grain_models() -> list[Model]:
                          lambda c, g=g: user_period_features(c.ref("fct_events"), g, week_start=c.week_start)))
     for g in GRAINS:
         s = SUFFIX[g]
-        out.append(Model(f"int_user_growth_status_{s}", "intermediate", "table",
-                         lambda c, g=g: growth_status(c.ref("fct_events"), g, c.week_start)))
+        out.append(Model(f"int_user_growth_status_{s}", "intermediate", "panel",
+                         lambda c, g=g: growth_status(c.ref("fct_events"), g, c.week_start), grain=g, columns=GROWTH_STATUS_COLUMNS))
     for g in GRAINS:
         s = SUFFIX[g]
         out.append(Model(f"fct_growth_user_features_{s}", "intermediate", "table",
@@ -142,6 +146,10 @@ MODELS: list[Model] = [
 MODELS_BY_NAME = {m.name: m for m in MODELS}
 
 
+def _as_date(value: str | dt.date) -> dt.date:
+    return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
+
+
 def refresh(
     spark: SparkSession,
     raw: DataFrame,
@@ -151,14 +159,21 @@ def refresh(
     backfill_start_date: str | dt.date | None = None,
     week_start: str = "sunday",
     models: Sequence[str] | None = None,
+    dimension: str = "all",
 ) -> list[str]:
     """Build the models carrying ``tag`` (all models if None), or those named
     in ``models``, in order.
 
+    The growth panels go on from their states and the fact's new days (see
+    ``panel``). ``dimension`` says what the user dimension reads: ``all`` staged
+    events, or the new ``days`` alone (see ``dimension``).
+
     The rebuilt marts are full rewrites and the user dimension is merged by
     user (users gone from the source stay), so running a refresh twice leaves
     the same tables as running it once. Returns the names built.
     """
+    if dimension not in ("all", "days"):
+        raise ValueError(f"Unknown dimension mode: {dimension}")
     ctx = Context(spark, raw, warehouse, week_start)
     built: list[str] = []
     for model in MODELS:
@@ -171,6 +186,15 @@ def refresh(
         elif model.materialized == "fact":
             load_fact(spark, ctx.ref("stg_event_stream"), ctx.path(model), fact_mode, backfill_start_date)
             ctx.frames[model.name] = model.read(spark, ctx.path(model))
+        elif model.materialized == "panel":
+            fact = current(spark, ctx.path(MODELS_BY_NAME["fct_events"]))
+            refresh_panel(spark, ctx.ref("fct_events"), ctx.path(model), ctx.path(model) + "__state", model.grain, week_start, fact and fact.folders)
+            ctx.frames[model.name] = model.read(spark, ctx.path(model))
+        elif model.materialized == "merge" and dimension == "days":
+            since = None if backfill_start_date is None else _as_date(backfill_start_date)
+            since = dt.date.min if fact_mode == "full" else since
+            refresh_dim_user(spark, ctx.ref("stg_event_stream"), ctx.path(model), ctx.path(model) + "__days", since)
+            ctx.frames[model.name] = model.read(spark, ctx.path(model))
         elif model.materialized == "merge":
             merge_table(spark, model.build(ctx), ctx.path(model), model.cluster_by[:1], model.partition_by, model.cluster_by)
             ctx.frames[model.name] = model.read(spark, ctx.path(model))

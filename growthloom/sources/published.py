@@ -45,20 +45,22 @@ def file_system(spark: SparkSession, path: str):
 
 @dataclass(frozen=True)
 class Manifest:
-    """A version: ``folders`` maps a partition's folder ("" without partitions) to its write."""
+    """A version: ``folders`` maps a partition's folder ("" without partitions)
+    to its write; ``note`` is what the writer has to say about it."""
 
     version: int
     schema: StructType
     partition_by: tuple[str, ...]
     folders: dict[str, str] = field(default_factory=dict)
+    note: dict | None = None
 
     def to_json(self) -> str:
-        return json.dumps({"version": self.version, "schema": json.loads(self.schema.json()), "partition_by": self.partition_by, "folders": self.folders})
+        return json.dumps({"version": self.version, "schema": json.loads(self.schema.json()), "partition_by": self.partition_by, "folders": self.folders, "note": self.note})
 
     @staticmethod
     def from_json(text: str) -> Manifest:
         raw = json.loads(text)
-        return Manifest(raw["version"], StructType.fromJson(raw["schema"]), tuple(raw["partition_by"]), raw["folders"])
+        return Manifest(raw["version"], StructType.fromJson(raw["schema"]), tuple(raw["partition_by"]), raw["folders"], raw.get("note"))
 
     def places(self) -> set[tuple[str, str]]:
         return {(write, folder) for folder, write in self.folders.items()}
@@ -179,14 +181,14 @@ def publish_change(
     fresh: DataFrame,
     partition_by: Sequence[str],
     keep: Callable[[str], bool],
-    schema: StructType | None = None,
+    note: dict | None = None,
 ) -> None:
     """One new version: the partitions in ``fresh``, and those of ``base`` whose
     folder ``keep`` accepts and ``fresh`` doesn't have."""
     written = write_files(fresh, path, partition_by)
     kept = {f: w for f, w in (base.folders if base else {}).items() if keep(f) and f not in written}
     try:
-        publish(spark, path, Manifest(base.version + 1 if base else 1, schema or fresh.schema, tuple(partition_by), kept | written))
+        publish(spark, path, Manifest(base.version + 1 if base else 1, fresh.schema, tuple(partition_by), kept | written, note))
     except ConcurrentWrite:
         for write in set(written.values()):
             _delete(spark, f"{path}/{WRITE}={write}")

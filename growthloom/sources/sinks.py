@@ -72,11 +72,12 @@ def write_table(
     path: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    note: dict | None = None,
 ) -> None:
     """Full rebuild: a new version that holds ``df`` alone. See ``_laid_out``
-    for the file layout."""
+    for the file layout; ``note`` is kept in the version's manifest."""
     spark = df.sparkSession
-    publish_change(spark, path, current(spark, path), _laid_out(df, partition_by, cluster_by), partition_by, lambda _: False)
+    publish_change(spark, path, current(spark, path), _laid_out(df, partition_by, cluster_by), partition_by, lambda _: False, note)
 
 
 def _based(spark: SparkSession, path: str, partition_by: Sequence[str]):
