@@ -33,11 +33,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from growthloom.llm.common import Vocabulary, picked, scratch_path, text_bytes
+from growthloom.llm.common import Vocabulary, picked, scratch_path
 
 WIDTHS = (8, 8, 16)
 RANK_BITS = 512
@@ -55,6 +56,7 @@ def _byte_names() -> dict[int, str]:
 
 
 BYTE_NAMES = _byte_names()
+LINE_NAMES = {b: name for b, name in BYTE_NAMES.items() if b != 0x0A}
 
 
 def _padded(raw: bytes) -> bytes:
@@ -163,35 +165,39 @@ class CachedTokenizer:
         self._start()
 
     @staticmethod
-    def _piece(word: str) -> str | None:
-        """What the tokenizer's model gets for a word of Latin letters, which is one
-        piece: composed, without case, bytes as characters. Null for other chunks."""
-        plain = word if word.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", word))
-        if not plain.isalpha() or max(plain) >= "\u0250" or (word.isascii() and word != word.lower()):
-            return None
-        return plain if plain.isascii() else plain.encode().decode("latin-1").translate(BYTE_NAMES)
+    def _pieces(words: list[str]) -> list[str | None]:
+        """What the tokenizer's model gets for words of Latin letters beyond ASCII, each of
+        which is one piece: composed, without case, bytes as characters. Null for other chunks.
+
+        All words at once: they hold no line ends, which no step changes or joins."""
+        plain = unicodedata.normalize("NFC", "\n".join(words)).lower().split("\n")  # below U+0250 a letter's case depends on no other
+        named = "\n".join(plain).encode().decode("latin-1").translate(LINE_NAMES).split("\n")
+        return [n if w.isalpha() and max(w) < "\u0250" else None for n, w in zip(named, plain)]
 
     def _start(self) -> None:
         self.chunks = Vocabulary(self.LIMIT, code=_no_code)
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {"": []}
         self.flat = np.zeros(1 << 20, np.uint32)
         self.begin = np.zeros(1 << 16, np.int64)
         self.known = 0
 
     def _learn(self) -> None:
-        new = [w.decode("utf-8", "replace") for w in self.chunks.words[self.known :]]
-        cut = []
-        for text in new:
-            letters = text.rstrip(self.MARKS)
-            cut.append((letters, text[len(letters) :]) if letters.isalpha() else (text, ""))
-        missing = [p for p in dict.fromkeys(p for pair in cut for p in pair) if p and p not in self.parts]
-        whole = []
-        for p in missing:
-            piece = self._piece(p) if self.model else None
-            if piece is None:
-                whole.append(p)
-            else:
-                self.parts[p] = [x.id for x in self.model.tokenize(piece)]
+        new = b"\n".join(self.chunks.words[self.known :]).decode("utf-8", "replace").split("\n")
+        heads = [t.rstrip(self.MARKS) for t in new]
+        # U+0130 ends in a mark once its case is dropped, and marks go together.
+        cut = [(h, t[len(h) :]) if h.isalpha() and "\u0130" not in h else (t, "") for h, t in zip(heads, new)]
+        missing = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.parts]
+        whole = missing
+        if self.model:
+            tokenize = self.model.tokenize
+            whole = [p for p in missing if not (p.isascii() and p.isalpha() and p.islower())]
+            for p in missing:
+                if p.isascii() and p.isalpha() and p.islower():
+                    self.parts[p] = [x.id for x in tokenize(p)]
+            for p, piece in zip(whole, self._pieces(whole)):
+                if piece is not None:
+                    self.parts[p] = [x.id for x in tokenize(piece)]
+            whole = [p for p in whole if p not in self.parts]
         if whole:
             for p, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
                 self.parts[p] = found.ids
@@ -205,46 +211,50 @@ class CachedTokenizer:
         self.begin[self.known + 1 : self.known + 1 + len(new)] = ends
         self.known += len(new)
 
-    def _chunks(self, text: bytes) -> list[bytes]:
-        """The chunks of a text, ASCII letters without case where that changes nothing.
+    def _chunks(self, texts: pa.Array) -> pa.Array:
+        """The chunks of texts (binary), ASCII letters without case where that changes nothing.
 
         The tokenizer composes letters and marks before it drops case, and some
-        letters are composed in one case only: where marks that go with ASCII letters
-        occur (U+0300 to U+037F, which begin with these two bytes), chunks that
-        aren't ASCII stay as they are."""
-        if not self.model or b"<|" in text:
-            return text.split()
-        if b"\xcc" in text or b"\xcd" in text:
-            return [w.lower() if w.isascii() else w for w in text.split()]
-        return text.lower().split()
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
+        letters are composed in one case only: in texts with marks that go with
+        ASCII letters (U+0300 to U+037F, which begin with two certain bytes), and in
+        those that may hold a special token, the case of chunks stays."""
+        plain = pc.ascii_lower(texts.cast(pa.large_string(), safe=False)) if self.model else texts.cast(pa.large_string(), safe=False)
+        if self.model:
+            kept = pa.array([b"<|" in t or b"\xcc" in t or b"\xcd" in t for t in texts.to_pylist()], pa.bool_())
+            if kept.true_count:
+                plain = pc.if_else(kept, texts.cast(pa.large_string(), safe=False), plain)
+        return pc.ascii_split_whitespace(plain)
+
+    def encode(self, texts: pa.Array | list[bytes]) -> list[np.ndarray]:
+        """The ids of each text (UTF-8; none of them null)."""
         if len(self.chunks.words) >= self.LIMIT or len(self.parts) >= self.LIMIT:
             self._start()
-        words = [self._chunks(t) for t in texts]
-        numbers = self.chunks.numbers(list(chain.from_iterable(words)))
+        chunks = self._chunks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_binary()))
+        # Distinct chunks are looked up; the others follow by their place.
+        coded = chunks.values.dictionary_encode()
+        numbers = self.chunks.numbers(coded.dictionary.cast(pa.large_binary()).to_pylist())
         if len(self.chunks.words) > self.known:
             self._learn()
+        numbers = numbers[coded.indices.to_numpy()]
         begin = self.begin[numbers]
         size = self.begin[numbers + 1] - begin
         before = np.cumsum(size) - size
         ids = self.flat[np.repeat(begin - before, size) + np.arange(int(size.sum()))]
-        upto = np.append(0, np.cumsum(size))[np.cumsum([len(w) for w in words])]
-        return np.split(ids, upto[:-1])
+        upto = np.append(0, np.cumsum(size))[chunks.offsets.to_numpy()]
+        return np.split(ids, upto[1:-1])
 
 
-def _encoded(encoder: CachedTokenizer, texts: Iterator[bytes], together: int = 1 << 20) -> Iterator[np.ndarray]:
+def _encoded(encoder: CachedTokenizer, texts: pa.Array, together: int = 1 << 22) -> Iterator[np.ndarray]:
     """ids of texts, encoded ``together`` bytes at a time."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    begin, size = 0, 0
+    for row, length in enumerate(pc.binary_length(texts).to_pylist()):
+        size += length
         if size >= together:
-            yield from encoder.encode(held)
-            held, size = [], 0
-    if held:
-        yield from encoder.encode(held)
+            yield from encoder.encode(texts.slice(begin, row + 1 - begin))
+            begin, size = row + 1, 0
+    if begin < len(texts):
+        yield from encoder.encode(texts.slice(begin))
 
 
 def _no_code(word: bytes) -> int:
@@ -288,7 +298,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, id
 
         for batch in batches:
             part = batch.column(0)[0].as_py() if batch.num_rows else part
-            for id_, encoded in zip(batch.column(1).to_pylist(), _encoded(encoder, text_bytes(batch.column(2)))):
+            for id_, encoded in zip(batch.column(1).to_pylist(), _encoded(encoder, batch.column(2))):
                 texts += [encoded, end]
                 ids.append(id_)
                 lengths.append(len(encoded) + 1)
