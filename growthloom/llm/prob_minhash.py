@@ -228,41 +228,50 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: f
 
 
 def _differing(placed: DataFrame) -> DataFrame:
-    """Rows (key, k, n, label, size) of keys that hold several labels, with ``main``
-    (the label of the key's largest component) and ``blocks`` (into which the key is cut)."""
+    """Rows (key, k, n, label) of keys that hold several labels, with ``main`` (the
+    label of the key's largest component), ``blocks`` (into which the key is cut)
+    and ``out_blocks`` (into which its rows outside the main component are)."""
     several = (
         placed.groupBy("key")
         .agg(F.max(F.struct("size", "label")).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("rows"))
         .where("lo != hi")
         .select("key", F.col("main.label").alias("main"), F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     )
-    return placed.join(several, "key").select("key", "k", "n", "label", "main", "blocks")
+    rows = scratch_table(placed.join(several, "key").select("key", "k", "n", "label", "main", "blocks"), "differing")
+    outside = rows.where("label != main").groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("out_blocks"))
+    return rows.join(outside, "key")
 
 
 def _cross_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) that join what is still apart inside the keys of ``rows``.
 
-    A key's rows are cut into blocks of about BLOCK by hash, and a task holds
-    two blocks at a time. It compares the sketches of rows of different
-    components, verifies those that may be similar, likeliest first, and stops
-    once two components are joined: it returns the joining links alone, at
-    most one less than there are components. A pair that meets in several
-    buckets is looked at in the least of them.
+    A key's rows are cut into blocks of about BLOCK by hash, those outside its
+    main component also into blocks of their own, and a task holds one block of
+    either: what is dealt out grows with the rows outside times the blocks, and
+    a large component with a stray text is dealt once. The task compares the
+    sketches of rows of different components, verifies those that may be similar,
+    likeliest first, and stops once two components are joined: it returns the
+    joining links alone, at most one less than there are components. A pair that
+    meets in several buckets is looked at in the least of them.
     """
-    rows = scratch_table(rows, "differing")
+    rows = scratch_table(rows, "apart")
     sets = _shingles_of(rows.select("k").distinct(), texts, nodes)
     members = rows.join(nodes.select("k", "sketch", "bands"), "k").join(sets, "k")
-    mine = F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = members.withColumn("mine", mine).withColumn("other", other).withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
+    block, out_block = (F.pmod(F.xxhash64("k", F.lit(seed)), F.col(c)).cast("int") for seed, c in ((1, "blocks"), (2, "out_blocks")))
+
+    def every(column: str):
+        return F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+
+    seekers = members.where("label != main").withColumn("seeks", F.lit(True)).withColumn("i", out_block).withColumn("j", every("blocks"))
+    sought = members.withColumn("seeks", F.lit(False)).withColumn("j", block).withColumn("i", every("out_blocks"))
     least = (FLOOR + (1 - FLOOR) / 256) * SIZE
 
     def link(table: pa.Table) -> pa.Table:
         key = table.column("key")[0].as_py()
         keys, labels, main = (table.column(c).to_pylist() for c in ("k", "label", "main"))
         n = table.column("n").to_numpy()
-        mine = table.column("mine").to_numpy()
-        split = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        seeks = table.column("seeks").to_numpy(zero_copy_only=False)
+        order = np.array(keys, "S16")
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SIZE)
         bands = np.array(table.column("bands").to_pylist(), np.int64)
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")]
@@ -278,12 +287,10 @@ def _cross_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold:
             return x
 
         out = []
-        for x in np.flatnonzero(outside).tolist():
-            able = (label != label[x]) & (np.minimum(n, n[x]) >= threshold * np.maximum(n, n[x]))
-            # Two rows outside the main component meet once.
-            able &= ~outside | (np.arange(len(n)) > x)
-            if split:
-                able &= mine != mine[x]
+        for x in np.flatnonzero(seeks).tolist():
+            able = ~seeks & (label != label[x]) & (np.minimum(n, n[x]) >= threshold * np.maximum(n, n[x]))
+            # Two rows outside the main component seek each other: once is enough.
+            able &= ~outside | (order > order[x])
             ys = np.flatnonzero(able)
             agree = (sketch[ys] == sketch[x]).sum(axis=1)
             ys, agree = ys[agree >= least], agree[agree >= least]
@@ -304,8 +311,9 @@ def _cross_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold:
                     parent[max(u, v)] = min(u, v)
         return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
 
-    columns = ["key", "i", "j", "mine", "k", "n", "label", "main", "sketch", "bands", "shingles"]
-    return scratch_table(dealt.select(*columns).groupBy("key", "i", "j").applyInArrow(link, "a binary, b binary"), "cross")
+    columns = ["key", "i", "j", "seeks", "k", "n", "label", "main", "sketch", "bands", "shingles"]
+    dealt = seekers.select(*columns).unionByName(sought.select(*columns))
+    return scratch_table(dealt.groupBy("key", "i", "j").applyInArrow(link, "a binary, b binary"), "cross")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
