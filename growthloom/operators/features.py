@@ -104,6 +104,22 @@ def user_period_features(
     )
 
 
+def top_value_states(fct: DataFrame, items: int = 32) -> DataFrame:
+    """Top-k sketches of every attribute by user and day: a stored state from
+    which any period's approximate primary values can be had. ``items`` bounds a
+    sketch: the values it tracks."""
+    return fct.groupBy("user_id", "event_date").agg(*[F.expr(f"approx_top_k_accumulate(`{a}`, {items})").alias(a) for a in FEATURE_ATTRIBUTES])
+
+
+def approx_primaries(states: DataFrame, grain: str, week_start: str = "sunday") -> DataFrame:
+    """(reporting_date, user_id, primary_*) from ``top_value_states``: days'
+    sketches are combined, no event is read."""
+    pidx = period_index(F.col("event_date"), grain, week_start).alias("pidx")
+    combined = states.select("user_id", pidx, *FEATURE_ATTRIBUTES).groupBy("user_id", "pidx").agg(*[F.expr(f"approx_top_k_combine(`{a}`)").alias(a) for a in FEATURE_ATTRIBUTES])
+    tops = [F.get(F.expr(f"approx_top_k_estimate(`{a}`, 1)"), 0)["item"].alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
+    return combined.select(period_from_index(F.col("pidx"), grain, week_start).alias("reporting_date"), "user_id", *tops)
+
+
 def features_performance(features: DataFrame) -> DataFrame:
     """Group the features of all grains by every non-measure column.
 

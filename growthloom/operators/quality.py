@@ -166,15 +166,24 @@ def grain_slices(base: DataFrame, column: str = "period_grain", grains: Sequence
     return of
 
 
+def _failing(ch: Check, where: Column | None = None) -> Column:
+    """Number of rows that fail a not_null or accepted_values check."""
+    c = F.col(ch.column)
+    bad = c.isNull() if ch.kind == "not_null" else (c.isNotNull() & ~c.isin(*ch.values))
+    bad = bad if where is None else bad & where
+    return F.coalesce(F.sum(F.when(bad, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")
+
+
+def row_checks(table: str, checks: Sequence[Check] | None = None) -> dict[str, tuple[Check, Column]]:
+    """name -> (check, failing rows as an aggregate): the checks of one table
+    that need its rows alone, for a write to measure on its way."""
+    chosen = [c for c in (checks or default_checks()) if c.table == table and c.kind in ("not_null", "accepted_values")]
+    return {f"_c{i}": (c, _failing(c).alias(f"_c{i}")) for i, c in enumerate(chosen)}
+
+
 def _row_level_counts(base: DataFrame, checks: list[tuple[Check, Column | None]]) -> DataFrame:
     """not_null and accepted_values checks of the slices of one base in a single scan."""
-    exprs = []
-    for i, (ch, where) in enumerate(checks):
-        c = F.col(ch.column)
-        bad = c.isNull() if ch.kind == "not_null" else (c.isNotNull() & ~c.isin(*ch.values))
-        bad = bad if where is None else bad & where
-        exprs.append(F.sum(F.when(bad, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(f"_c{i}"))
-    wide = base.agg(*exprs)
+    wide = base.agg(*[_failing(ch, where).alias(f"_c{i}") for i, (ch, where) in enumerate(checks)])
     cells = F.array(
         *[
             F.struct(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from growthloom.operators.activity import event_detail_activity, user_activity
 from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS, dim_user, fact_events
-from growthloom.operators.features import FEATURE_ATTRIBUTES, features_performance, user_period_features
+from growthloom.operators.features import FEATURE_ATTRIBUTES, approx_primaries, features_performance, top_value_states, user_period_features
 from growthloom.operators.growth import growth_panel, growth_status, growth_user_features
 from growthloom.operators.quality import grain_slices, run_checks
 from growthloom.operators.reporting import (
@@ -41,7 +41,7 @@ from growthloom.plans.panel import refresh_panel
 from growthloom.plans.refresh import MODELS, refresh
 from growthloom.session import apply_runtime_conf, shared_folder
 from growthloom.sources.adapters import raw_events
-from growthloom.sources.sinks import merge_table, read_target
+from growthloom.sources.sinks import merge_table, read_target, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,9 +218,21 @@ def _refresh_weekly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _approx_tops(spark: SparkSession, d: str) -> DataFrame:
-    """Per attribute: user-periods, and those whose approximate primary value is a most frequent one by exact counts."""
+    """The approximate primary values of user-months, from events."""
     fct = fact(spark, d, "orders")
-    picks = user_period_features(fct, "month", primary="approx")
+    return _hits(fct, user_period_features(fct, "month", primary="approx"))
+
+
+def _sketched_tops(spark: SparkSession, d: str) -> DataFrame:
+    """The approximate primary values of user-months, from stored sketches of user-days."""
+    fct = fact(spark, d, "orders")
+    path = scratch(spark, "sketches")
+    write_table(top_value_states(fct), path)
+    return _hits(fct, approx_primaries(read_target(spark, path), "month"))
+
+
+def _hits(fct: DataFrame, picks: DataFrame) -> DataFrame:
+    """Per attribute: user-months, and those whose picked primary value is a most frequent one by exact counts."""
     values = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).alias("v")) for a in FEATURE_ATTRIBUTES])
     chosen = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(f"primary_{a}").alias("pick")) for a in FEATURE_ATTRIBUTES])
     period = F.trunc("event_date", "month").alias("reporting_date")
@@ -282,6 +294,7 @@ def queries() -> dict[str, Query]:
         "user_features_week": lambda s, d: user_period_features(fact(s, d, "events"), "week"),
         "user_features_month": lambda s, d: user_period_features(fact(s, d, "orders"), "month"),
         "user_features_approx_month": _approx_tops,
+        "user_features_sketch_month": _sketched_tops,
         "features_performance": lambda s, d: features_performance(user_period_features(fact(s, d, "events"), ("day", "week", "month"))),
         "growth_status_day": lambda s, d: growth_status(fact(s, d, "events"), "day"),
         "growth_status_week": lambda s, d: growth_status(fact(s, d, "events"), "week"),

@@ -15,7 +15,8 @@ activity report, so a daily run starts from fresh facts.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +26,14 @@ from growthloom.operators.activity import event_detail_activity
 from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS, dim_user, fact_events
 from growthloom.operators.features import features_performance, user_period_features
 from growthloom.operators.growth import GROWTH_STATUS_COLUMNS, growth_status, growth_user_features
+from growthloom.operators.quality import row_checks
 from growthloom.operators.reporting import event_activity_report, growth_report_from_events
 from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
 from growthloom.plans.dimension import refresh_dim_user
 from growthloom.plans.loader import load_fact
 from growthloom.plans.panel import refresh_panel
-from growthloom.sources.published import current
+from growthloom.sources.published import Observed, current
 from growthloom.sources.sinks import merge_table, read_target, write_table
 
 SUFFIX = {"day": "daily", "week": "weekly", "month": "monthly"}
@@ -146,6 +148,16 @@ MODELS: list[Model] = [
 MODELS_BY_NAME = {m.name: m for m in MODELS}
 
 
+@contextmanager
+def _observed(model: Model, results: list | None) -> Iterator[Observed | None]:
+    """What the write of ``model`` is to measure, put into ``results`` afterwards."""
+    checks = row_checks(model.name) if results is not None else {}
+    observed = Observed([failing for _, failing in checks.values()])
+    yield observed if checks else None
+    if results is not None:
+        results += [(c.table, c.column, c.kind, observed.values[name]) for name, (c, _) in checks.items()]
+
+
 def _as_date(value: str | dt.date) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 
@@ -160,6 +172,7 @@ def refresh(
     week_start: str = "sunday",
     models: Sequence[str] | None = None,
     dimension: str = "all",
+    check_results: list[tuple[str, str, str, int]] | None = None,
 ) -> list[str]:
     """Build the models carrying ``tag`` (all models if None), or those named
     in ``models``, in order.
@@ -168,6 +181,10 @@ def refresh(
     ``panel``). ``dimension`` says what the user dimension reads: ``all`` staged
     events, or the new ``days`` alone (see ``dimension``).
 
+    A list given as ``check_results`` takes (table, column, check, failing rows)
+    of every declared check of the merged and rebuilt tables that needs a
+    table's rows alone: the write measures them, nothing is read again.
+
     The rebuilt marts are full rewrites and the user dimension is merged by
     user (users gone from the source stay), so running a refresh twice leaves
     the same tables as running it once. Returns the names built.
@@ -196,10 +213,12 @@ def refresh(
             refresh_dim_user(spark, ctx.ref("stg_event_stream"), ctx.path(model), ctx.path(model) + "__days", since)
             ctx.frames[model.name] = model.read(spark, ctx.path(model))
         elif model.materialized == "merge":
-            merge_table(spark, model.build(ctx), ctx.path(model), model.cluster_by[:1], model.partition_by, model.cluster_by)
+            with _observed(model, check_results) as observed:
+                merge_table(spark, model.build(ctx), ctx.path(model), model.cluster_by[:1], model.partition_by, model.cluster_by, observed)
             ctx.frames[model.name] = model.read(spark, ctx.path(model))
         else:
-            write_table(model.build(ctx), ctx.path(model), model.partition_by, model.cluster_by)
+            with _observed(model, check_results) as observed:
+                write_table(model.build(ctx), ctx.path(model), model.partition_by, model.cluster_by, observed=observed)
             ctx.frames[model.name] = model.read(spark, ctx.path(model))
         built.append(model.name)
     return built

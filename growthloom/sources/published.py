@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 WRITE = "__write"
@@ -134,10 +134,21 @@ def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     return found
 
 
-def write_files(df: DataFrame, path: str, partition_by: Sequence[str]) -> dict[str, str]:
+class Observed:
+    """Aggregates (named columns) of the rows that a write takes, measured by the write itself."""
+
+    def __init__(self, columns: Sequence[Column]):
+        self.columns = list(columns)
+        self.values: dict = {}
+
+
+def write_files(df: DataFrame, path: str, partition_by: Sequence[str], observed: Observed | None = None) -> dict[str, str]:
     """Write ``df`` to a new folder of the table: {partition folder: write}. A failure leaves nothing behind."""
     spark, write = df.sparkSession, uuid.uuid4().hex
     folder = f"{path}/{WRITE}={write}"
+    watch = Observation(f"write-{write}") if observed is not None and observed.columns else None
+    if watch is not None:
+        df = df.observe(watch, *observed.columns)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -146,6 +157,8 @@ def write_files(df: DataFrame, path: str, partition_by: Sequence[str]) -> dict[s
     except BaseException:
         _delete(spark, folder)
         raise
+    if watch is not None:
+        observed.values = watch.get
     return {f: write for f in _partition_folders(spark, folder, len(partition_by))}
 
 
@@ -182,10 +195,11 @@ def publish_change(
     partition_by: Sequence[str],
     keep: Callable[[str], bool],
     note: dict | None = None,
+    observed: Observed | None = None,
 ) -> None:
     """One new version: the partitions in ``fresh``, and those of ``base`` whose
     folder ``keep`` accepts and ``fresh`` doesn't have."""
-    written = write_files(fresh, path, partition_by)
+    written = write_files(fresh, path, partition_by, observed)
     kept = {f: w for f, w in (base.folders if base else {}).items() if keep(f) and f not in written}
     try:
         publish(spark, path, Manifest(base.version + 1 if base else 1, fresh.schema, tuple(partition_by), kept | written, note))

@@ -73,11 +73,14 @@ def write_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     note: dict | None = None,
+    observed: published.Observed | None = None,
 ) -> None:
     """Full rebuild: a new version that holds ``df`` alone. See ``_laid_out``
-    for the file layout; ``note`` is kept in the version's manifest."""
+    for the file layout; ``note`` is kept in the version's manifest. ``observed``
+    is measured in the writing stage, after the layout's shuffle (which samples
+    the rows first), so each row counts once."""
     spark = df.sparkSession
-    publish_change(spark, path, current(spark, path), _laid_out(df, partition_by, cluster_by), partition_by, lambda _: False, note)
+    publish_change(spark, path, current(spark, path), _laid_out(df, partition_by, cluster_by), partition_by, lambda _: False, note, observed)
 
 
 def _based(spark: SparkSession, path: str, partition_by: Sequence[str]):
@@ -144,13 +147,14 @@ def merge_table(
     key: Sequence[str],
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    observed: published.Observed | None = None,
 ) -> None:
     """Keyed upsert into a table whose key does not determine the partition
     (a user's first day may change): the whole table is merged into a new
     version. Rows whose key is not in ``updates`` stay."""
     target = read_target(spark, path)
     merged = updates if target is None else merge_by_key(target.select(*updates.columns), updates, key)
-    write_table(merged, path, partition_by, cluster_by)
+    write_table(merged, path, partition_by, cluster_by, observed=observed)
 
 
 def upsert_partitions(

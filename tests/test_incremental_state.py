@@ -126,3 +126,19 @@ def test_slices_count_rows_of_unknown_grains(spark):
     checks += [Check("w", "v", "unique")]
     got = {(r.table_name, r.column_name, r.check_name): r.failing_rows for r in run_checks({"w": of("week"), "m": of("month"), "both": of()}, checks).collect()}
     assert got == {("w", "period_grain", "accepted_values"): 1, ("m", "period_grain", "accepted_values"): 1, ("w", "v", "not_null"): 2, ("m", "v", "not_null"): 2, ("both", "v", "not_null"): 3, ("w", "v", "unique"): 2}
+
+
+def test_checks_measured_by_the_writes(spark):
+    """The refresh's own counts equal those of the check runner over the written tables."""
+    from growthloom.operators.quality import run_checks
+    from growthloom.plans.refresh import MODELS, refresh
+    from growthloom.sources.adapters import raw_events
+
+    raw = raw_events(spark, SF_SMALL, "events")
+    raw = raw.withColumn("user_id", F.when(F.minute("event_time") != 7, F.col("user_id")))
+    wh, found = tempfile.mkdtemp(prefix="wh-"), []
+    refresh(spark, raw, wh, check_results=found)
+    tables = {m.name: read_target(spark, f"{wh}/{m.layer}/{m.name}") for m in MODELS if m.materialized in ("table", "merge")}
+    want = {(r.table_name, r.column_name, r.check_name): r.failing_rows for r in run_checks(tables).collect() if r.check_name in ("not_null", "accepted_values")}
+    assert {(t, c, k): n for t, c, k, n in found} == want
+    assert sum(want.values()) > 0 and len(want) > 40
