@@ -1,6 +1,6 @@
 """Events reduced to mergeable counts before they are multiplied.
 
-``day_cells`` is the first aggregate of everything that rolls up to periods:
+``day_cells`` is a first aggregate for what rolls up to periods:
 one row per user, day, bucket and combination of attribute values, whose
 buffers are numbers only, so it is a hash aggregate with a partial step on the
 map side. Grains, engagement types and attributes multiply cells, never events,

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from growthloom.functions.cells import day_cells, events_of, first_value, top_value, value_counts
 from growthloom.functions.periods import GRAINS, period_from_index, period_index
-from growthloom.functions.picks import any_value_det, approx_top_value, first_by_time
+from growthloom.functions.picks import (
+    any_value_det,
+    approx_top_value,
+    first_by_time,
+    most_frequent_with_null,
+)
 
 FEATURE_ATTRIBUTES = ("utm_source", "event_type", "transaction_category", "platform")
 
@@ -27,8 +32,30 @@ def _miles_of(event_type: str):
     )
 
 
-def _rolled_exact(fct: DataFrame, structs: Column) -> DataFrame:
-    """One row per (user, grain, period), from counts of values by day cell."""
+def _rolled_events(fct: DataFrame, structs: Column, primary: str) -> DataFrame:
+    """One row per (user, grain, period), from events."""
+    ex = fct.select(
+        "user_id", "event_ts", "event_type", "transaction_category", "miles_amount",
+        "platform", "utm_source", "country", "gender", F.inline(structs),
+    )
+    if primary == "exact":
+        primaries = [most_frequent_with_null(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
+    else:
+        primaries = [approx_top_value(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
+    return ex.groupBy("user_id", "period_grain", "pidx").agg(
+        any_value_det("country", "event_ts").alias("country"),
+        any_value_det("gender", "event_ts").alias("gender"),
+        F.count(F.lit(1)).alias("event_count"),
+        _miles_of("miles_earned").alias("miles_earned"),
+        _miles_of("miles_redeemed").alias("miles_redeemed"),
+        *[first_by_time(a, "event_ts").alias(f"first_{a}") for a in FEATURE_ATTRIBUTES],
+        *primaries,
+    )
+
+
+def _rolled_cells(fct: DataFrame, structs: Column) -> DataFrame:
+    """One row per (user, grain, period), from counts of values by day cell: events
+    are reduced by a hash aggregate before anything multiplies them."""
     # Miles go with the values of event_type, the first of the attributes here.
     attributes = sorted([*FEATURE_ATTRIBUTES, "country", "gender"], key=lambda a: a != "event_type")
     keys = ["user_id", "period_grain", "pidx"]
@@ -51,23 +78,6 @@ def _rolled_exact(fct: DataFrame, structs: Column) -> DataFrame:
     )
 
 
-def _rolled_approx(fct: DataFrame, structs: Column) -> DataFrame:
-    """As ``_rolled_exact`` with sketches, which take events one by one."""
-    ex = fct.select(
-        "user_id", "event_ts", "event_type", "transaction_category", "miles_amount",
-        "platform", "utm_source", "country", "gender", F.inline(structs),
-    )
-    return ex.groupBy("user_id", "period_grain", "pidx").agg(
-        any_value_det("country", "event_ts").alias("country"),
-        any_value_det("gender", "event_ts").alias("gender"),
-        F.count(F.lit(1)).alias("event_count"),
-        _miles_of("miles_earned").alias("miles_earned"),
-        _miles_of("miles_redeemed").alias("miles_redeemed"),
-        *[first_by_time(a, "event_ts").alias(f"first_{a}") for a in FEATURE_ATTRIBUTES],
-        *[approx_top_value(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES],
-    )
-
-
 def user_period_features(
     fct: DataFrame,
     grain: str | tuple[str, ...] = "day",
@@ -79,18 +89,23 @@ def user_period_features(
     ``first_*``: first non-NULL value by time. ``primary_*``: most frequent
     value where NULL counts as a value; ``primary="exact"`` breaks ties to the
     smallest value (NULL smallest), ``primary="approx"`` uses a top-k sketch.
+    ``primary="cells"`` is exact too, from counts by day cell: for sources with
+    many events a user and day.
     ``user_type`` is ``new`` in the user's first period, else ``existing``.
     """
     grains = (grain,) if isinstance(grain, str) else tuple(grain)
     for g in grains:
         if g not in GRAINS:
             raise ValueError(f"Invalid grain: {g}")
-    if primary not in ("exact", "approx"):
+    if primary not in ("exact", "approx", "cells"):
         raise ValueError(f"Invalid primary mode: {primary}")
     structs = F.array(
         *[F.struct(F.lit(g).alias("period_grain"), period_index(F.col("event_date"), g, week_start).alias("pidx")) for g in grains]
     )
-    rolled = (_rolled_exact if primary == "exact" else _rolled_approx)(fct, structs)
+    if primary == "cells":
+        rolled = _rolled_cells(fct, structs)
+    else:
+        rolled = _rolled_events(fct, structs, primary)
     # A user's rows here are bounded by the number of periods, so a window
     # within the user is cheap whatever the user's event volume.
     first_period = F.min("pidx").over(Window.partitionBy("user_id", "period_grain"))

@@ -296,6 +296,7 @@ def queries() -> dict[str, Query]:
         "user_features_approx_month": _approx_tops,
         "user_features_sketch_month": _sketched_tops,
         "features_performance": lambda s, d: features_performance(user_period_features(fact(s, d, "events"), ("day", "week", "month"))),
+        "features_performance_cells": lambda s, d: features_performance(user_period_features(fact(s, d, "events"), ("day", "week", "month"), primary="cells")),
         "growth_status_day": lambda s, d: growth_status(fact(s, d, "events"), "day"),
         "growth_status_week": lambda s, d: growth_status(fact(s, d, "events"), "week"),
         "growth_status_week_orders": lambda s, d: growth_status(fact(s, d, "orders"), "week"),

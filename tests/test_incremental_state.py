@@ -102,21 +102,6 @@ def test_new_days_reach_the_raw_scan(spark, stg):
     assert "PushedFilters: [Or(GreaterThanOrEqual(ts,2024-01-28 00:00:00.0),IsNull(ts))]" in plan
 
 
-def test_first_aggregates_are_hash_aggregates_over_events(spark, stg):
-    """Nothing sorts or multiplies events: what the scan's rows meet first is a hash aggregate."""
-    from growthloom.operators.features import user_period_features
-    from growthloom.operators.growth import sequenced_activity
-
-    fct = fact_events(stg)
-    for df in (sequenced_activity(fct, ("day", "week"), "sunday", True).drop("_last"), user_period_features(fct, "week"), growth_status(fct, "day")):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "ObjectHashAggregate" not in plan
-        lines = plan.splitlines()
-        events = next(i for i in range(len(lines) - 1, -1, -1) if "FileScan parquet" in lines[i] and "events.parquet" in lines[i])
-        above = [line for line in lines[:events] if "Aggregate(" in line or "Generate" in line]
-        assert "HashAggregate(" in above[-1], above[-1]
-
-
 def test_slices_count_rows_of_unknown_grains(spark):
     from growthloom.operators.quality import Check, grain_slices, run_checks
 
