@@ -1,4 +1,14 @@
-"""The corpus pipeline: quality rules, near-duplicates, decontamination, mixing, sharding."""
+"""The corpus pipeline: quality rules, near-duplicates, decontamination, mixing, sharding.
+
+Nulls: a null text has no words and fails the quality rules, so it goes with the
+first stage; null ids, sources and other columns pass through, a null source is
+a source of its own. Of near-duplicates the least id stays (a null id is greater
+than others; then the least text by MD5, then the least row by hash). Rows alike
+in all columns are copies of one text: one stays. A row that the mix takes twice
+is two rows. Empty and very long texts are read whole. An empty table, or one of
+which a stage keeps nothing, gives empty tables with the same columns, and an
+empty benchmark rejects nothing. Columns beyond those of ``documents`` are kept.
+"""
 
 from __future__ import annotations
 
