@@ -239,7 +239,8 @@ def _hits(fct: DataFrame, picks: DataFrame) -> DataFrame:
     counts = fct.select("user_id", period, F.inline(values)).groupBy("user_id", "reporting_date", "attribute", "v").agg(F.count(F.lit(1)).alias("times"))
     tops = counts.groupBy("user_id", "reporting_date", "attribute").agg(F.max("times").alias("most"), F.max(F.when(F.col("v").isNotNull(), F.col("times"))).alias("most_known"), F.collect_list(F.struct("v", "times")).alias("all"))
     both = picks.select(F.col("user_id").alias("u"), F.col("reporting_date").alias("r"), F.inline(chosen)).withColumnRenamed("attribute", "a")
-    joined = both.join(tops, both["u"].eqNullSafe(tops["user_id"]) & (both["r"] == tops["reporting_date"]) & (both["a"] == tops["attribute"]))
+    # Sorted on both sides: files of sketches are small, the rows made from them aren't, so neither is broadcast by its files' size.
+    joined = both.hint("merge").join(tops.hint("merge"), both["u"].eqNullSafe(tops["user_id"]) & (both["r"] == tops["reporting_date"]) & (both["a"] == tops["attribute"]))
     hit = F.exists("all", lambda x: x["v"].eqNullSafe(F.col("pick")) & ((x["times"] == F.col("most")) | (x["times"] == F.col("most_known"))))
     return joined.groupBy("attribute").agg(F.count(F.lit(1)).alias("user_periods"), F.count(F.when(hit, 1)).alias("with_a_top_value"))
 

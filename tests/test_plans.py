@@ -37,3 +37,11 @@ def test_backfill_date_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # The bound, and the null test that keeps undated events.
     assert "PushedFilters: [Or(GreaterThanOrEqual(ts,2024-01-15 00:00:00.0),IsNull(ts))]" in plan
+
+
+def test_rows_of_sketches_are_not_broadcast(spark):
+    # Their files are small, the user-months read from them grow with the users.
+    df = QUERIES["user_features_sketch_month"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "coalesce(u#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
