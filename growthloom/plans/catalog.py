@@ -39,15 +39,16 @@ from growthloom.plans.dimension import refresh_dim_user
 from growthloom.plans.loader import load_fact
 from growthloom.plans.panel import refresh_panel
 from growthloom.plans.refresh import MODELS, refresh
-from growthloom.session import apply_runtime_conf, shared_folder
+from growthloom.session import apply_runtime_conf, leave_task_sizes, shared_folder
 from growthloom.sources.adapters import raw_events
 from growthloom.sources.sinks import merge_table, read_target, write_table
+from growthloom.sources.tables import table_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def staged(spark: SparkSession, base_dir: str, source: str) -> DataFrame:
-    apply_runtime_conf(spark)
+    apply_runtime_conf(spark, table_bytes(spark, base_dir, source))
     return stage_events(raw_events(spark, base_dir, source))
 
 
@@ -188,6 +189,7 @@ def _refreshed(spark: SparkSession, d: str, *tags: str) -> str:
     warehouse = scratch(spark, "warehouse")
     raw = raw_events(spark, d, "events")
     cut = _cut(staged(spark, d, "events"))
+    leave_task_sizes(spark)
     refresh(spark, raw.filter(F.to_date(F.col("event_time").cast("timestamp")) <= cut), warehouse)
     for tag in tags:
         refresh(spark, raw, warehouse, tag=tag)

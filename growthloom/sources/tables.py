@@ -22,3 +22,9 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(path)
     schema = zoned(df.schema)
     return df if schema == df.schema else spark.read.schema(schema).parquet(path)
+
+
+def table_bytes(spark: SparkSession, base_dir: str, name: str) -> int:
+    """Size of the files of ``<base_dir>/<name>.parquet``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base_dir.rstrip('/')}/{name}.parquet")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()

@@ -45,3 +45,22 @@ def test_rows_of_sketches_are_not_broadcast(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line and "coalesce(u#" in line]
     assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_tasks_grow_in_number_with_the_source(spark):
+    from growthloom.plans.catalog import staged
+    from growthloom.session import ADVISORY, INITIAL, TASK_BYTES, apply_runtime_conf, leave_task_sizes
+
+    staged(spark, SF_SMALL, "orders")
+    assert int(spark.conf.get(ADVISORY)) == TASK_BYTES
+    found = []
+    for gb in (1, 6):
+        apply_runtime_conf(spark, gb << 30)
+        found.append(int(spark.conf.get(INITIAL)))
+    assert found[1] == 6 * found[0] and (1 << 30) / found[0] <= TASK_BYTES
+    # A smaller size that the session names stays.
+    spark.conf.set(ADVISORY, "1k")
+    apply_runtime_conf(spark, 1 << 30)
+    assert spark.conf.get(ADVISORY) == "1k"
+    leave_task_sizes(spark)
+    assert spark.conf.get(INITIAL, None) is None
