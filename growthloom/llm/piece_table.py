@@ -42,7 +42,8 @@ MARKER = "▁"
 CHUNK = re.compile(r" +[^ \n]*|\n[^ \n]*")
 #: Characters that normalisers change, spaces and line ends: a model that leaves them alone is taken to leave all alone.
 PROBE = "a  ﬁ ＡÅÅ\n\n \t 　​ B "
-LIMIT = 1_000_000
+#: Chunks of a table: a worker meets any number of them, half a million take 100 MB, and an executor has several workers.
+LIMIT = 150_000
 #: Bytes of text whose chunks are looked up together.
 TOGETHER = 1 << 20
 

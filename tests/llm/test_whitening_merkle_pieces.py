@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -214,6 +215,20 @@ def test_a_full_table_starts_afresh(library, monkeypatch):
         assert ids.tolist() == library.encode(text) and n.tolist() == [len(ids), 0]
 
 
+def test_a_table_of_many_chunks_stays_small(library):
+    tracemalloc.start()
+    try:
+        table = piece_table.PieceTable(MODEL)
+        for begin in range(0, 600_000, 20_000):
+            table.encode([" ".join(f"w{n:x}" for n in range(begin, begin + 20_000))])
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert held < 40e6
+    ids, _ = table.encode(["w0 w927bf w0"])
+    assert ids.tolist() == library.encode("w0 w927bf w0")
+
+
 def _digests(library, text: str | None) -> tuple:
     ids = library.encode(text or "")
     return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()
