@@ -55,6 +55,8 @@ LAST = np.iinfo(np.int64).max
 BLOCK = 1_000
 #: Shingles that are sketched together, to bound a task's memory.
 TOGETHER = 400_000
+#: Words whose hashes a task keeps.
+WORDS = 100_000
 
 
 def weighted_shingles(hashes: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +126,7 @@ def band_keys(kept: np.ndarray) -> np.ndarray:
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, k, text) -> (id, k, n shingles, sketch without weights of one byte a component, bucket
     keys of the sketch without weights, then of the weighted one)."""
-    vocabulary = Vocabulary()
+    vocabulary = Vocabulary(limit=WORDS)
     for batch in batches:
         ids, keys = batch.column(0), batch.column(1)
         begin, sets, total = 0, [], 0
@@ -170,7 +172,7 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary = Vocabulary()
+    vocabulary = Vocabulary(limit=WORDS)
     for batch in batches:
         keys, out, size, begin = batch.column(0), [], 0, 0
         for row, text in enumerate(text_bytes(batch.column(1))):

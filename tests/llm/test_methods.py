@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from growthloom.llm import catalog, host_rules, latent_search, mixing, oracle, prob_minhash, secret_ledger, sharding, token_file, url_filter
@@ -611,3 +613,15 @@ def test_orthonormal_bases():
     assert np.abs(basis.T @ basis - np.eye(20)).max() < 1e-4
     assert np.abs(tall - basis @ (basis.T @ tall)).max() < 1e-2 * np.abs(tall).max()
     assert not latent_search.orthonormal(np.zeros((100, 4), np.float32)).any()
+
+
+def test_sketching_many_words_stays_small():
+    texts = [" ".join(f"w{n:x}" for n in range(begin, begin + 1000)) for begin in range(0, 350_000, 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.encode() for t in texts], pa.binary()), pa.array(texts)], names=["id", "k", "text"])
+    tracemalloc.start()
+    try:
+        before, _ = tracemalloc.get_traced_memory()
+        held = [tracemalloc.get_traced_memory()[0] - before for _ in prob_minhash._sketched(iter([batch]))]
+    finally:
+        tracemalloc.stop()
+    assert max(held) < 40e6
