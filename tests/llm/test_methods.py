@@ -285,6 +285,58 @@ def test_bound_by_common_words_loses_nothing_that_the_verdict_accepts():
     assert able[leak].all() and not able.all()
 
 
+def test_windows_that_are_not_asked_hold_nothing_that_the_verdict_accepts():
+    """Every window and query that the verdict accepts is among those asked; most others aren't."""
+    rng = random.Random(17)
+    vocabulary = [f"w{int(rng.paretovariate(0.15)) % 3000}" for _ in range(4000)]
+    items, rows = [], []
+    for n in [*range(8, 66, 4), 90]:
+        words = rng.choices(vocabulary, k=n)
+        answer = max(0, n - max(5, n // 4))
+        items.append((_coded(" ".join(words)), answer))
+        for kept in (range(n), rng.sample(range(n), -(-6 * n // 10)), [*range(answer, n), *rng.sample(range(answer), max(0, -(-45 * n // 100) - (n - answer)))], ()):
+            rows.append(_coded(_planted(rng, words, answer, list(kept), vocabulary)))
+    rows += [np.concatenate([*rows[:8], rows[8][:37]]), rows[-2][3:], rows[0][:5]]
+    space = np.random.default_rng(1).standard_normal((latent_search.FEATURES, 4), np.float32)
+    wanted, order, known, groups, queries = latent_search.ItemBlock(items).ready(space)
+    assert sorted(order) == list(range(len(items))) and len(groups) == 1
+    texts = latent_search.Texts(rows, known)
+    texts.group(*groups[0])
+    n, answer = np.array([len(w) for w, _ in wanted]), np.array([a for _, a in wanted])
+    owned = np.ones(len(texts.whose), bool)
+    asked = set()
+    for block, item, query in latent_search._asked(texts, latent_search._begins(texts, n, answer), queries[0], n, owned):
+        asked |= set(zip(texts.whose[block].tolist(), texts.place[block].tolist(), item.tolist(), queries[0].offsets[query].tolist()))
+    accepted, tried = set(), 0
+    for t, row in enumerate(rows):
+        for i, (words, start) in enumerate(wanted):
+            offsets = queries[0].offsets[queries[0].first[i] : queries[0].first[i] + queries[0].many[i]].tolist()
+            for at in range(0, len(row), latent_search.GRID):
+                tried += len(offsets)
+                accepted |= {(t, at, i, o) for o in offsets if latent_search.verdict(row, at, words, o, start)[1]}
+    assert len({(t, i) for t, _, i, _ in accepted}) >= len(items)
+    assert accepted <= asked and len(asked) < 0.5 * tried
+
+
+def test_windows_that_can_hold_no_item_are_not_projected(monkeypatch):
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    rng = random.Random(18)
+    item = _coded(" ".join(f"item{j}" for j in range(30)))
+    clean = [_coded(" ".join(rng.choices([f"other{j}" for j in range(500)], k=400))) for _ in range(40)]
+    leaking = np.concatenate([clean[0], item, clean[1]])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(41)), pa.array([b"k"] * 41), pa.array([c.tobytes() for c in [*clean, leaking]], pa.binary())], names=["id", "k", "words"])
+    space = np.random.default_rng(1).standard_normal((latent_search.FEATURES, latent_search.RANK), np.float32)
+    projected = []
+    windows = latent_search.grid_windows
+    monkeypatch.setattr(latent_search, "grid_windows", lambda blocks, whose: projected.append(len(blocks)) or windows(blocks, whose))
+    found = [r for b in latent_search._searched(Shared(space), Shared(latent_search.ItemBlock([(item, 25)])))(iter([batch])) for r in b.to_pylist()]
+    assert [(r["id"], r["item"], r["position"], r["lcs"]) for r in found] == [(40, 0, 400, 1.0)]
+    assert sum(projected) < 100
+
+
 def test_a_paraphrase_with_its_answer_is_found(spark):
     """The rows of test_paraphrase_needs_its_answer, by what must be found."""
     rng = random.Random(4)
