@@ -22,6 +22,8 @@ the join moves and sorts only the dimension.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,10 +168,10 @@ def _panel(
 def _panel_rows(act: DataFrame, week_start: str, with_metrics: bool, with_users: bool, since: int | None = None) -> DataFrame:
     """Sequenced active rows as panel rows: themselves and the idle periods after them."""
     grain = F.col("period_grain")
-    periods = F.sequence(F.col("pidx"), gap_end())
-    if since is not None:
-        begin = F.greatest(F.col("pidx"), F.lit(since))
-        periods = F.when(gap_end() >= begin, F.sequence(begin, gap_end()))
+    if "_begin" in act.columns:
+        periods = F.sequence(F.col("_begin"), F.col("_end"))
+    else:
+        periods = _idle_or_active(since, lambda begin, end: F.sequence(begin, end))
     rows = act.withColumn("_p", F.explode(periods))
 
     pidx, p, prev = F.col("pidx"), F.col("_p"), F.col("_prev")
@@ -202,13 +204,33 @@ def _panel_rows(act: DataFrame, week_start: str, with_metrics: bool, with_users:
     return rows.select(*cols)
 
 
+def _idle_or_active(since: int | None, build: Callable[[Column, Column], Column]) -> Column:
+    """``build`` of the first and last period (``since`` at least) of an active row's panel rows; NULL if it has none."""
+    if since is None:
+        return build(F.col("pidx"), gap_end())
+    begin = F.greatest(F.col("pidx"), F.lit(since))
+    return F.when(gap_end() >= begin, build(begin, gap_end()))
+
+
+def spans(act: DataFrame, of: int, since: int | None = None) -> DataFrame:
+    """Sequenced active rows, each as the runs of its panel rows that lie in one stretch (``_stretch``) of ``of``
+    periods, from ``_begin`` to ``_end``. Few rows that stand for many: to be moved and sorted before
+    ``status_rows`` makes the panel rows of them."""
+    stretch = _idle_or_active(since, lambda begin, end: F.sequence(F.floor(begin / of).cast("int"), F.floor(end / of).cast("int")))
+    first = F.col("pidx") if since is None else F.greatest(F.col("pidx"), F.lit(since))
+    rows = act.withColumn("_stretch", F.explode(stretch))
+    low = F.col("_stretch") * of
+    return rows.withColumn("_begin", F.greatest(first, low)).withColumn("_end", F.least(gap_end(), low + (of - 1)))
+
+
 def active_types(fct: DataFrame, grain: str, week_start: str = "sunday") -> DataFrame:
     """The active periods (user_id, engagement_type, pidx) of one grain."""
     return _active_rows(fct, _grains(grain), week_start, with_metrics=False).select("user_id", "engagement_type", "pidx")
 
 
 def status_rows(act: DataFrame, week_start: str = "sunday", since: int | None = None) -> DataFrame:
-    """Panel rows of sequenced active periods (see ``sequenced_activity``); of the periods from ``since`` on, if given."""
+    """Panel rows of sequenced active periods (see ``sequenced_activity``) or of their ``spans``; of the periods
+    from ``since`` on, if given."""
     return _panel_rows(act, week_start, with_metrics=False, with_users=False, since=since).select(*GROWTH_STATUS_COLUMNS)
 
 

@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from growthloom.functions.periods import period_from_index, period_index
-from growthloom.operators.growth import active_types, growth_status, status_rows
+from growthloom.operators.growth import active_types, sequenced_activity, spans, status_rows
 from growthloom.sources.published import current, read_version
 from growthloom.sources.sinks import replace_partitions_from, write_table
 
 STATE_KEY = ("user_id", "engagement_type")
 PANEL_PARTITION = "period_start"
 PANEL_CLUSTER = ("user_id",)
+#: Periods whose rows a task makes and writes together.
+STRETCH = 8
 
 
 def closed_state(active: DataFrame, state: DataFrame | None, as_of: int) -> DataFrame:
@@ -39,22 +41,36 @@ def closed_state(active: DataFrame, state: DataFrame | None, as_of: int) -> Data
     return rows.groupBy(*STATE_KEY).agg(F.min("first_pidx").alias("first_pidx"), F.max("last_pidx").alias("last_pidx"))
 
 
-def panel_from(active: DataFrame, state: DataFrame, grain: str, as_of: int, last: int, week_start: str = "sunday") -> DataFrame:
-    """Panel rows of the periods from ``as_of`` to ``last``, from the active
+def sequenced_from(active: DataFrame, state: DataFrame, grain: str, as_of: int, last: int) -> DataFrame:
+    """Sequenced active periods from ``as_of`` on and the last one before, from the active
     periods (user, type, pidx) there and the state before."""
     known = state.select(*STATE_KEY, F.col("last_pidx").alias("pidx"), F.col("first_pidx").alias("_first"))
     new = active.where(F.col("pidx") >= as_of).select(*STATE_KEY, "pidx", F.col("pidx").alias("_first"))
     # A user's rows here are bounded by the number of open periods.
     rows = known.unionByName(new).repartition("user_id")
     by_seq = Window.partitionBy(*STATE_KEY).orderBy("pidx")
-    act = rows.select(
+    return rows.select(
         *STATE_KEY, "pidx", F.lit(grain).alias("period_grain"),
         F.lag("pidx").over(by_seq).alias("_prev"),
         F.lead("pidx").over(by_seq).alias("_next"),
         F.min("_first").over(Window.partitionBy("user_id")).alias("_first_overall"),
         F.lit(last).alias("_last"),
     )
-    return status_rows(act, week_start, as_of)
+
+
+def panel_from(active: DataFrame, state: DataFrame, grain: str, as_of: int, last: int, week_start: str = "sunday") -> DataFrame:
+    """Panel rows of the periods from ``as_of`` to ``last``, from the active
+    periods (user, type, pidx) there and the state before."""
+    return status_rows(sequenced_from(active, state, grain, as_of, last), week_start, as_of)
+
+
+def laid_out_panel(act: DataFrame, week_start: str, since: int | None = None) -> DataFrame:
+    """The panel rows of sequenced active periods, laid out for the writer: a task has a range of users in a
+    stretch of STRETCH periods. What is sampled, moved and sorted by user are spans, which stand for several
+    rows each; the task that writes the rows makes them, and sorts them by the period alone (one key that is a
+    number, so that rows of a period keep their order by user while the sort fits in memory)."""
+    cut = spans(act, STRETCH, since).repartitionByRange("_stretch", *PANEL_CLUSTER).sortWithinPartitions(*PANEL_CLUSTER)
+    return status_rows(cut, week_start).sortWithinPartitions(PANEL_PARTITION)
 
 
 def changed_before(seen: dict[str, str] | None, now: dict[str, str] | None, start: dt.date) -> bool:
@@ -97,14 +113,15 @@ def refresh_panel(
     ).first()
     usable = as_of is not None and days.last is not None and days.last >= as_of and note["week_start"] == week_start
     if not usable or changed_before(note["source"], source, days.start):
-        write_table(growth_status(fct, grain, week_start), panel_path, [PANEL_PARTITION], PANEL_CLUSTER)
+        act = sequenced_activity(fct, (grain,), week_start, with_metrics=False)
+        write_table(laid_out_panel(act, week_start), panel_path, [PANEL_PARTITION], laid_out=True)
         if days.last is not None:
             _store(closed_state(active_types(fct, grain, week_start), None, days.last), state_path, days.last, week_start, source)
         return False
     stored = read_version(spark, state_path, version)
     active = active_types(fct.where(F.col("event_date") >= F.lit(days.start)), grain, week_start)
-    rows = panel_from(active, stored, grain, as_of, days.last, week_start)
-    replace_partitions_from(spark, rows, panel_path, PANEL_PARTITION, days.start, PANEL_CLUSTER)
+    rows = laid_out_panel(sequenced_from(active, stored, grain, as_of, days.last), week_start, as_of)
+    replace_partitions_from(spark, rows, panel_path, PANEL_PARTITION, days.start, laid_out=True)
     _store(closed_state(active, stored, days.last), state_path, days.last, week_start, source)
     return True
 

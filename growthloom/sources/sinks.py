@@ -74,13 +74,15 @@ def write_table(
     cluster_by: Sequence[str] = (),
     note: dict | None = None,
     observed: published.Observed | None = None,
+    laid_out: bool = False,
 ) -> None:
     """Full rebuild: a new version that holds ``df`` alone. See ``_laid_out``
-    for the file layout; ``note`` is kept in the version's manifest. ``observed``
+    for the file layout, unless ``df`` is laid out already; ``note`` is kept in the version's manifest. ``observed``
     is measured in the writing stage, after the layout's shuffle (which samples
     the rows first), so each row counts once."""
     spark = df.sparkSession
-    publish_change(spark, path, current(spark, path), _laid_out(df, partition_by, cluster_by), partition_by, lambda _: False, note, observed)
+    rows = df if laid_out else _laid_out(df, partition_by, cluster_by)
+    publish_change(spark, path, current(spark, path), rows, partition_by, lambda _: False, note, observed)
 
 
 def _based(spark: SparkSession, path: str, partition_by: Sequence[str]):
@@ -113,6 +115,7 @@ def replace_partitions_from(
     column: str,
     start: dt.date,
     cluster_by: Sequence[str] = (),
+    laid_out: bool = False,
 ) -> None:
     """Make every partition with ``column >= start`` (dates), and the NULL
     partition, equal to ``fresh``; those that ``fresh`` doesn't have go. One
@@ -122,7 +125,8 @@ def replace_partitions_from(
         value = folder.partition("=")[2]
         return value != NULL_PARTITION and value < start.isoformat()
 
-    publish_change(spark, path, _based(spark, path, [column]), _laid_out(fresh, [column], cluster_by), [column], before)
+    rows = fresh if laid_out else _laid_out(fresh, [column], cluster_by)
+    publish_change(spark, path, _based(spark, path, [column]), rows, [column], before)
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:

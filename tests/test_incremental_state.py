@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from growthloom.operators.core import DIM_USER_COLUMNS, dim_user, dim_user_from_days, fact_events, user_days
-from growthloom.operators.growth import growth_status
+from growthloom.operators.growth import growth_status, sequenced_activity, spans, status_rows
 from growthloom.plans import panel as panel_module
 from growthloom.plans.catalog import staged
 from growthloom.plans.dimension import days_to_read, refresh_dim_user
@@ -47,6 +47,33 @@ def test_panel_by_increments_equals_the_full_one(spark, stg, grain):
     assert again == (grain == "month") and _same(read_target(spark, f"{base}/panel"), growth_status(fct, grain))
 
 
+@pytest.mark.parametrize("grain", ["day", "week", "month"])
+def test_panel_rows_are_made_after_what_is_moved(spark, stg, grain):
+    """Spans of a few periods are shuffled, the rows are made of them by the tasks that write them."""
+    fct = fact_events(stg).where((F.col("user_id") % 3 != 0) | (F.dayofmonth("event_date") % 11 == 2))
+    # Days before 1970 too: their periods have numbers below zero.
+    fct = fct.unionByName(fct.where("user_id < 20").withColumn("event_date", F.date_sub("event_date", 19_760)))
+    act = sequenced_activity(fct, (grain,), "sunday", False).localCheckpoint()
+    laid = panel_module.laid_out_panel(act, "sunday")
+    assert _same(laid, growth_status(fct, grain))
+    since = act.agg(F.max("_last")).first()[0] - 3
+    assert _same(panel_module.laid_out_panel(act, "sunday", since), status_rows(act, "sunday", since))
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan.index("RepartitionByExpression")
+    assert plan.index("explode(sequence(_begin") < moved < plan.index("explode(", moved)
+    assert spans(act, panel_module.STRETCH).count() < 0.6 * laid.count() or grain == "month"
+
+
+def test_panel_files_are_ordered_by_user(spark, stg):
+    base = tempfile.mkdtemp(prefix="panel-")
+    refresh_panel(spark, fact_events(stg), f"{base}/panel", f"{base}/state", "day")
+    rows = read_target(spark, f"{base}/panel").select("user_id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).collect()
+    users: dict[str, list] = {}
+    for r in sorted(rows, key=lambda r: r.i):
+        users.setdefault(r.f, []).append(r.user_id)
+    assert len(users) > 5 and all(u == sorted(u) for u in users.values())
+
+
 def test_panel_after_a_run_lost_between_panel_and_state(spark, stg, monkeypatch):
     base = tempfile.mkdtemp(prefix="panel-")
     fct = fact_events(stg)
