@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthloom.functions.cells import day_cells, events_of, first_value, top_value, value_counts
+from growthloom.functions.codes import Values, coded, counted, first_of, top_of
 from growthloom.functions.periods import GRAINS, period_from_index, period_index
-from growthloom.functions.picks import (
-    any_value_det,
-    approx_top_value,
-    first_by_time,
-    most_frequent_with_null,
-)
+from growthloom.functions.picks import approx_top_value
 
 FEATURE_ATTRIBUTES = ("utm_source", "event_type", "transaction_category", "platform")
+USER_CONSTANTS = ("country", "gender")
 
 USER_FEATURE_COLUMNS = (
     "reporting_date", "user_id", "period_grain", "user_type", "country", "gender",
@@ -26,29 +23,29 @@ USER_FEATURE_COLUMNS = (
 PERFORMANCE_DIMENSIONS = tuple(c for c in USER_FEATURE_COLUMNS if c not in ("user_id", "event_count", "miles_earned", "miles_redeemed"))
 
 
-def _miles_of(event_type: str):
-    return F.sum(
-        F.when(F.col("event_type") == event_type, F.coalesce(F.col("miles_amount"), F.lit(0))).otherwise(F.lit(0))
-    )
+def _amount_of(event_type: str) -> Column:
+    return F.when(F.col("event_type") == event_type, F.coalesce(F.col("miles_amount"), F.lit(0))).otherwise(F.lit(0))
 
 
-def _rolled_events(fct: DataFrame, structs: Column, primary: str) -> DataFrame:
+def _rolled_events(fct: DataFrame, structs: Column, primary: str, values: Values | None = None) -> DataFrame:
     """One row per (user, grain, period), from events."""
-    ex = fct.select(
-        "user_id", "event_ts", "event_type", "transaction_category", "miles_amount",
-        "platform", "utm_source", "country", "gender", F.inline(structs),
-    )
+    known: dict = {}
     if primary == "exact":
-        primaries = [most_frequent_with_null(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
+        known = {c: v for c, v in (values or {}).items() if c in USER_CONSTANTS} | counted(values or {}, FEATURE_ATTRIBUTES)
+        primaries = [top_of(a, known, with_null=True).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
     else:
         primaries = [approx_top_value(a).alias(f"primary_{a}") for a in FEATURE_ATTRIBUTES]
+    fct = fct.withColumns({"_earned": _amount_of("miles_earned"), "_redeemed": _amount_of("miles_redeemed")})
+    ex = (coded(fct, known) if known else fct).select(
+        "user_id", "event_ts", "event_type", "transaction_category", "_earned", "_redeemed",
+        "platform", "utm_source", "country", "gender", F.inline(structs),
+    )
     return ex.groupBy("user_id", "period_grain", "pidx").agg(
-        any_value_det("country", "event_ts").alias("country"),
-        any_value_det("gender", "event_ts").alias("gender"),
+        *[first_of(c, "event_ts", known).alias(c) for c in USER_CONSTANTS],
         F.count(F.lit(1)).alias("event_count"),
-        _miles_of("miles_earned").alias("miles_earned"),
-        _miles_of("miles_redeemed").alias("miles_redeemed"),
-        *[first_by_time(a, "event_ts").alias(f"first_{a}") for a in FEATURE_ATTRIBUTES],
+        F.sum("_earned").alias("miles_earned"),
+        F.sum("_redeemed").alias("miles_redeemed"),
+        *[first_of(a, "event_ts", known).alias(f"first_{a}") for a in FEATURE_ATTRIBUTES],
         *primaries,
     )
 
@@ -83,6 +80,7 @@ def user_period_features(
     grain: str | tuple[str, ...] = "day",
     primary: str = "exact",
     week_start: str = "sunday",
+    values: Values | None = None,
 ) -> DataFrame:
     """One row per user x period (NULL users form a group of their own).
 
@@ -92,6 +90,7 @@ def user_period_features(
     ``primary="cells"`` is exact too, from counts by day cell: for sources with
     many events a user and day.
     ``user_type`` is ``new`` in the user's first period, else ``existing``.
+    ``values`` are those of ``few_values``, if known: the same rows, sooner.
     """
     grains = (grain,) if isinstance(grain, str) else tuple(grain)
     for g in grains:
@@ -105,7 +104,7 @@ def user_period_features(
     if primary == "cells":
         rolled = _rolled_cells(fct, structs)
     else:
-        rolled = _rolled_events(fct, structs, primary)
+        rolled = _rolled_events(fct, structs, primary, values)
     # A user's rows here are bounded by the number of periods, so a window
     # within the user is cheap whatever the user's event volume.
     first_period = F.min("pidx").over(Window.partitionBy("user_id", "period_grain"))

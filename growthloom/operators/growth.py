@@ -27,13 +27,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from growthloom.functions.codes import Values, coded, counted, first_of, top_of
 from growthloom.functions.periods import (
     GRAINS,
     engagement_types,
     period_from_index,
     period_index,
 )
-from growthloom.functions.picks import first_by_time, flag_any, most_frequent
+from growthloom.functions.picks import flag_any
 
 ATTRIBUTES = ("platform", "utm_source", "event_type", "transaction_category")
 
@@ -82,9 +83,14 @@ def _explode_grains(df: DataFrame, grains: tuple[str, ...], week_start: str, kee
     return df.select(*keep, F.inline(structs))
 
 
-def _active_rows(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
+def _active_rows(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool, values: Values | None = None) -> DataFrame:
+    """``values``: every value of an attribute, by attribute, as ``few_values`` finds
+    them in ``fct``; few enough of them are aggregated as numbers (see ``codes``)."""
     keys = ["user_id", "period_grain", "pidx", "engagement_type"]
     base = fct.filter(F.col("user_id").isNotNull() & F.col("event_date").isNotNull())
+    known = counted(values or {}, ATTRIBUTES)
+    if with_metrics and known:
+        base = coded(base, known)
     keep = ["user_id", "engagement_bucket"]
     if with_metrics:
         keep += ["event_ts", "miles_amount", *ATTRIBUTES]
@@ -103,12 +109,12 @@ def _active_rows(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_
         flag_any(bucket == "transaction").alias("has_transaction_event"),
         flag_any(bucket == "pre_engagement").alias("has_pre_engagement_event"),
     ]
-    aggs += [first_by_time(a, "event_ts").alias(f"first_{a}_in_period") for a in ATTRIBUTES]
-    aggs += [most_frequent(a).alias(f"primary_{a}_in_period") for a in ATTRIBUTES]
+    aggs += [first_of(a, "event_ts", known).alias(f"first_{a}_in_period") for a in ATTRIBUTES]
+    aggs += [top_of(a, known).alias(f"primary_{a}_in_period") for a in ATTRIBUTES]
     return ex.groupBy(*keys).agg(*aggs)
 
 
-def sequenced_activity(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool) -> DataFrame:
+def sequenced_activity(fct: DataFrame, grains: tuple[str, ...], week_start: str, with_metrics: bool, values: Values | None = None) -> DataFrame:
     """Active (user, grain, period index, type) rows with the previous and next
     active period of the same user and type (``_prev``, ``_next``), the
     user's first period over all types (``_first_overall``) and the global
@@ -119,7 +125,7 @@ def sequenced_activity(fct: DataFrame, grains: tuple[str, ...], week_start: str,
     """
     # Last period over all events (NULL users included), a scalar subquery.
     last_date = fct.select(F.max("event_date")).scalar()
-    act = _active_rows(fct, grains, week_start, with_metrics).repartition("user_id")
+    act = _active_rows(fct, grains, week_start, with_metrics, values).repartition("user_id")
 
     by_user = Window.partitionBy("user_id")
     by_seq = Window.partitionBy("user_id", "period_grain", "engagement_type").orderBy("pidx")
@@ -155,8 +161,9 @@ def _panel(
     week_start: str,
     with_metrics: bool,
     users: DataFrame | None = None,
+    values: Values | None = None,
 ) -> DataFrame:
-    act = sequenced_activity(fct, grains, week_start, with_metrics)
+    act = sequenced_activity(fct, grains, week_start, with_metrics, values)
     if users is not None:
         # Join the user attributes to the active rows, before the idle periods
         # are generated: the join sorts the active rows (already ordered by
@@ -249,13 +256,15 @@ def growth_user_features(
     users: DataFrame,
     grain: str | tuple[str, ...] = "day",
     week_start: str = "sunday",
+    values: Values | None = None,
 ) -> DataFrame:
     """Growth panel rows with the user's gender/country and per-row activity:
     event count, miles, 0/1 bucket flags, first and most frequent value of
     platform, utm_source, event_type and transaction_category (NULLs skipped;
-    ties go to the smaller value). Churned rows carry 0 and NULL.
+    ties go to the smaller value). Churned rows carry 0 and NULL. ``values`` are
+    those of ``few_values``, if known: the same rows, sooner.
     """
-    panel = _panel(fct, _grains(grain), week_start, with_metrics=True, users=users)
+    panel = _panel(fct, _grains(grain), week_start, with_metrics=True, users=users, values=values)
     return panel.select(*GROWTH_FEATURE_COLUMNS)
 
 

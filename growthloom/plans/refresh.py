@@ -21,10 +21,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from growthloom.functions.codes import Values, few_values
 from growthloom.functions.periods import GRAINS
 from growthloom.operators.activity import event_detail_activity
 from growthloom.operators.core import DIM_USER_COLUMNS, FACT_COLUMNS, dim_user, fact_events
-from growthloom.operators.features import features_performance, user_period_features
+from growthloom.operators.features import FEATURE_ATTRIBUTES, USER_CONSTANTS, features_performance, user_period_features
 from growthloom.operators.growth import GROWTH_STATUS_COLUMNS, growth_status, growth_user_features
 from growthloom.operators.quality import row_checks
 from growthloom.operators.reporting import event_activity_report, growth_report_from_events
@@ -72,6 +73,7 @@ class Context:
     warehouse: str
     week_start: str = "sunday"
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    found: Values | None = None
 
     def path(self, model: Model) -> str:
         return f"{self.warehouse.rstrip('/')}/{model.layer}/{model.name}"
@@ -89,13 +91,19 @@ class Context:
         self.frames[name] = df
         return df
 
+    def values(self) -> Values | None:
+        """The values of the fact's attributes that have few (see ``codes``), found in one pass and kept for the run."""
+        if self.found is None:
+            self.found = few_values(self.ref("fct_events"), [*FEATURE_ATTRIBUTES, *USER_CONSTANTS])
+        return self.found
+
 
 def _grain_models() -> list[Model]:
     out: list[Model] = []
     for g in GRAINS:
         s = SUFFIX[g]
         out.append(Model(f"int_user_features_{s}", "intermediate", "table",
-                         lambda c, g=g: user_period_features(c.ref("fct_events"), g, week_start=c.week_start)))
+                         lambda c, g=g: user_period_features(c.ref("fct_events"), g, week_start=c.week_start, values=c.values())))
     for g in GRAINS:
         s = SUFFIX[g]
         out.append(Model(f"int_user_growth_status_{s}", "intermediate", "panel",
@@ -103,7 +111,7 @@ def _grain_models() -> list[Model]:
     for g in GRAINS:
         s = SUFFIX[g]
         out.append(Model(f"fct_growth_user_features_{s}", "intermediate", "table",
-                         lambda c, g=g: growth_user_features(c.ref("fct_events"), c.ref("dim_user"), g, c.week_start)))
+                         lambda c, g=g: growth_user_features(c.ref("fct_events"), c.ref("dim_user"), g, c.week_start, c.values())))
     return out
 
 
@@ -135,7 +143,7 @@ MODELS: list[Model] = [
     # Equal to the report over the combined features, computed from the
     # active rows: the dense panel tables are not read again.
     Model("rpt_growth_reporting", "marts", "table",
-          lambda c: growth_report_from_events(c.ref("fct_events"), c.ref("dim_user"), GRAINS, c.week_start), DAILY),
+          lambda c: growth_report_from_events(c.ref("fct_events"), c.ref("dim_user"), GRAINS, c.week_start, c.values()), DAILY),
     Model("fct_cohort_retention_weekly", "marts", "table",
           lambda c: cohort_retention(c.ref("fct_events"), "week", week_start=c.week_start)),
     Model("fct_cohort_retention_monthly", "marts", "table",
@@ -229,6 +237,9 @@ class _LazyContext(Context):
 
     backfill_start_date: str | dt.date | None = None
 
+    def values(self) -> Values | None:
+        return None  # nothing is run before it is asked for
+
     def ref(self, name: str) -> DataFrame:
         if name not in self.frames:
             model = MODELS_BY_NAME[name]
