@@ -21,10 +21,11 @@ from growthloom.functions.picks import first_by_time, most_frequent, most_freque
 Values = Mapping[str, Sequence[str]]
 
 #: Most values of a column that are counted (a counter each) and that are told apart at all.
-COUNTED, TOLD = 16, 256
+COUNTED, _BITS = 16, 8
+TOLD = 1 << _BITS
 # Times this far from 1970 (some 280 years) leave room for a place beside them.
 _FAR = (1 << 63) // TOLD // 4
-_NEVER = -(1 << 63)  # an unknown time comes first, as NULL does; a multiple of TOLD
+_NEVER = -(1 << 63)  # an unknown time comes first, as NULL does
 
 
 def few_values(df: DataFrame, columns: Sequence[str], ts: str = "event_ts") -> dict[str, list[str]]:
@@ -63,30 +64,53 @@ def coded(df: DataFrame, values: Values) -> DataFrame:
     return df.withColumns({c: place(c) for c in values})
 
 
-def _value(place: Column, values: Sequence[str]) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), place.cast("int")) if values else F.lit(None).cast("string")
+def _value(place: Column, values: Sequence[str | None]) -> Column:
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values or [None]]), place.cast("int"))
+
+
+def timed(column: str, ts: str) -> Column:
+    """A coded column's value and its time as one long, by which values are in order of time, then of value."""
+    return F.coalesce(F.shiftleft(F.unix_micros(ts), _BITS), F.lit(_NEVER)).bitwiseOR(F.col(column).cast("long"))
+
+
+def value_of(first: Column, values: Sequence[str]) -> Column:
+    """The value of a ``timed`` long."""
+    return _value(first.bitwiseAND(F.lit(TOLD - 1).cast("long")), values)
 
 
 def first_of(column: str, ts: str, values: Values) -> Column:
     """``first_by_time`` of a column, coded if it is among ``values``."""
     if column not in values:
         return first_by_time(column, ts)
-    at = F.coalesce(F.unix_micros(ts) * TOLD, F.lit(_NEVER))
-    return _value(F.pmod(F.min(at + F.col(column)), F.lit(TOLD)), values[column])
+    return value_of(F.min(timed(column, ts)), values[column])
 
 
 def top_of(column: str, values: Values, with_null: bool = False) -> Column:
     """``most_frequent`` (or ``most_frequent_with_null``) of a column, coded if it is among ``values``."""
     if column not in values:
         return most_frequent_with_null(column) if with_null else most_frequent(column)
-    # The count above, the smaller value's higher number below: the greatest is the pick.
-    scale = COUNTED + 1
-    counts = [F.count(F.when(F.col(column) == i, F.lit(1))) * scale + (COUNTED - 1 - i) for i in range(len(values[column]))]
-    if with_null:
-        counts.append(F.count(F.when(F.col(column).isNull(), F.lit(1))) * scale + COUNTED)
-    if not counts:
-        return F.lit(None).cast("string")
-    best = F.greatest(*counts) if len(counts) > 1 else counts[0]
-    # NULL's place is -1: no value.
-    place = COUNTED - 1 - best % scale
-    return F.when((best >= scale) & (place >= 0), _value(place, values[column]))
+    # The count in the high bits, below it a number that is higher for smaller values:
+    # the greatest is the pick, and its number the place in ``picks``.
+    picks = [*reversed(values[column]), None]
+    counts = [F.count(F.when(F.col(column) == i, F.lit(1))) for i in range(len(values[column]))]
+    ranked = [F.shiftleft(n, 5).bitwiseOR(F.lit(len(counts) - 1 - i).cast("long")) for i, n in enumerate(counts)]
+    # NULL, the smallest; where it is no value it has no count, and is the pick of a group without values.
+    none = F.shiftleft(F.count(F.when(F.col(column).isNull(), F.lit(1))), 5) if with_null else F.lit(0).cast("long")
+    ranked.append(none.bitwiseOR(F.lit(len(counts)).cast("long")))
+    best = F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
+    return _value(best.bitwiseAND(F.lit(31).cast("long")), picks)
+
+
+def packed(columns: Sequence[str]) -> Column:
+    """Up to six coded columns as one long, NULL being a value like others."""
+    cell = F.lit(0).cast("long")
+    for column in columns:
+        cell = F.shiftleft(cell, _BITS + 1).bitwiseOR(F.coalesce(F.col(column) + 1, F.lit(0)).cast("long"))
+    return cell
+
+
+def unpacked(cell: Column, columns: Sequence[str], values: Values) -> list[Column]:
+    """The values of the columns that were ``packed``."""
+    bits = _BITS + 1
+    places = [F.shiftright(cell, bits * i).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) for i in reversed(range(len(columns)))]
+    return [_value(place, [None, *values[c]]).alias(c) for c, place in zip(columns, places)]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from growthloom.functions.codes import Values, coded, timed, value_of
 from growthloom.functions.periods import engagement_types, period_from_index, period_index
 
 RETENTION_GRAINS = ("week", "month")
@@ -15,21 +16,24 @@ COHORT_COLUMNS = (
 )
 
 
-def _first_struct(value: str):
+def _first(value: str, known: Values) -> Column:
+    if value in known:
+        return F.min(timed(value, "event_ts"))
     v, t = F.col(value), F.col("event_ts")
     return F.min(F.when(v.isNotNull(), F.struct(t.alias("t"), v.alias("v"))))
 
 
-def _user_periods(fct: DataFrame, grains: tuple[str, ...], week_start: str) -> DataFrame:
+def _user_periods(fct: DataFrame, grains: tuple[str, ...], week_start: str, known: Values) -> DataFrame:
     """One row per (user, grain, period, engagement type), with the first
-    recorded country/gender of that group kept as (ts, value) structs so they
-    can be combined again at the (user, type) level."""
+    recorded country/gender of that group kept as (ts, value) structs, or longs
+    where ``known``, so they can be combined again at the (user, type) level."""
     structs = F.array(
         *[F.struct(F.lit(g).alias("period_grain"), period_index(F.col("event_date"), g, week_start).alias("pidx")) for g in grains]
     )
     # Raw events are reduced to a row per day and values before they are
     # multiplied: a hash aggregate, as its buffer is one timestamp.
     # Dealt out by user, so that what follows within a user isn't shuffled again.
+    fct = coded(fct, known) if known else fct
     days = fct.groupBy("user_id", "event_date", "engagement_bucket", "country", "gender").agg(F.min("event_ts").alias("event_ts")).repartition("user_id")
     ex = days.select("user_id", "event_ts", "country", "gender", "engagement_bucket", F.inline(structs))
     ex = ex.select(
@@ -37,8 +41,8 @@ def _user_periods(fct: DataFrame, grains: tuple[str, ...], week_start: str) -> D
         F.explode(engagement_types("engagement_bucket")).alias("engagement_type"),
     )
     return ex.groupBy("user_id", "period_grain", "pidx", "engagement_type").agg(
-        _first_struct("country").alias("_country"),
-        _first_struct("gender").alias("_gender"),
+        _first("country", known).alias("_country"),
+        _first("gender", known).alias("_gender"),
     )
 
 
@@ -47,6 +51,7 @@ def cohort_retention(
     grain: str | tuple[str, ...] = "month",
     join_on: str = "all",
     week_start: str = "sunday",
+    values: Values | None = None,
 ) -> DataFrame:
     """Cohort = first active period per user x engagement type.
 
@@ -55,7 +60,8 @@ def cohort_retention(
     keys (NULL-safe), so rates never exceed 1 and NULL users drop out.
     ``join_on="cohort"`` matches sizes on cohort and type only, as the
     published SQL does: rows multiply across countries/genders, and a NULL
-    user adds a size-0 group.
+    user adds a size-0 group. ``values`` are those of ``few_values``, if known:
+    the same rows, sooner.
     """
     grains = (grain,) if isinstance(grain, str) else tuple(grain)
     for g in grains:
@@ -64,14 +70,20 @@ def cohort_retention(
     if join_on not in ("all", "cohort"):
         raise ValueError(f"Invalid join_on: {join_on}")
 
-    up = _user_periods(fct, grains, week_start)
+    known = {c: values[c] for c in ("country", "gender") if c in values} if values else {}
+    up = _user_periods(fct, grains, week_start, known)
     # Rows of one (user, grain, type) are bounded by the number of periods.
     per_user = Window.partitionBy("user_id", "period_grain", "engagement_type")
+
+    def earliest(c: str) -> Column:
+        first = F.min(f"_{c}").over(per_user)
+        return (value_of(first, known[c]) if c in known else first["v"]).alias(c)
+
     up = up.select(
         "user_id", "period_grain", "pidx", "engagement_type",
         F.min("pidx").over(per_user).alias("cohort_idx"),
-        F.min("_country").over(per_user)["v"].alias("country"),
-        F.min("_gender").over(per_user)["v"].alias("gender"),
+        earliest("country"),
+        earliest("gender"),
     )
     group = ["period_grain", "cohort_idx", "engagement_type", "country", "gender"]
     # One row per user and period, so counting rows counts distinct users.

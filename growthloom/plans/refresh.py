@@ -73,7 +73,7 @@ class Context:
     warehouse: str
     week_start: str = "sunday"
     frames: dict[str, DataFrame] = field(default_factory=dict)
-    found: Values | None = None
+    found: dict[str, Values] = field(default_factory=dict)
 
     def path(self, model: Model) -> str:
         return f"{self.warehouse.rstrip('/')}/{model.layer}/{model.name}"
@@ -91,11 +91,11 @@ class Context:
         self.frames[name] = df
         return df
 
-    def values(self) -> Values | None:
-        """The values of the fact's attributes that have few (see ``codes``), found in one pass and kept for the run."""
-        if self.found is None:
-            self.found = few_values(self.ref("fct_events"), [*FEATURE_ATTRIBUTES, *USER_CONSTANTS])
-        return self.found
+    def values(self, name: str = "fct_events") -> Values | None:
+        """The values of a model's attributes that have few (see ``codes``), found in one pass and kept for the run."""
+        if name not in self.found:
+            self.found[name] = few_values(self.ref(name), [*FEATURE_ATTRIBUTES, *USER_CONSTANTS])
+        return self.found[name]
 
 
 def _grain_models() -> list[Model]:
@@ -145,13 +145,13 @@ MODELS: list[Model] = [
     Model("rpt_growth_reporting", "marts", "table",
           lambda c: growth_report_from_events(c.ref("fct_events"), c.ref("dim_user"), GRAINS, c.week_start, c.values()), DAILY),
     Model("fct_cohort_retention_weekly", "marts", "table",
-          lambda c: cohort_retention(c.ref("fct_events"), "week", week_start=c.week_start)),
+          lambda c: cohort_retention(c.ref("fct_events"), "week", week_start=c.week_start, values=c.values())),
     Model("fct_cohort_retention_monthly", "marts", "table",
-          lambda c: cohort_retention(c.ref("fct_events"), "month", week_start=c.week_start)),
+          lambda c: cohort_retention(c.ref("fct_events"), "month", week_start=c.week_start, values=c.values())),
     Model("fct_cohort_retention_combined", "marts", "view",
           _union(["fct_cohort_retention_monthly", "fct_cohort_retention_weekly"]), DAILY),
     Model("rpt_event_activity", "marts", "table",
-          lambda c: event_activity_report(c.ref("int_event_detail_activity")), DAILY),
+          lambda c: event_activity_report(c.ref("int_event_detail_activity"), values=c.values("int_event_detail_activity")), DAILY),
 ]
 MODELS_BY_NAME = {m.name: m for m in MODELS}
 
@@ -237,7 +237,7 @@ class _LazyContext(Context):
 
     backfill_start_date: str | dt.date | None = None
 
-    def values(self) -> Values | None:
+    def values(self, name: str = "fct_events") -> Values | None:
         return None  # nothing is run before it is asked for
 
     def ref(self, name: str) -> DataFrame:

@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from growthloom.functions.codes import COUNTED, TOLD, counted, few_values
+from growthloom.operators.activity import event_detail_activity
 from growthloom.operators.core import dim_user, fact_events
 from growthloom.operators.features import FEATURE_ATTRIBUTES, USER_CONSTANTS, user_period_features
 from growthloom.operators.growth import growth_user_features
-from growthloom.operators.reporting import growth_report_from_events
+from growthloom.operators.reporting import event_activity_report, growth_report_from_events
+from growthloom.operators.retention import cohort_retention
 from growthloom.operators.staging import stage_events
 from growthloom.plans import refresh as plans
 from growthloom.sources.adapters import raw_events
@@ -62,6 +64,19 @@ def test_coded_aggregates_equal_the_picks(spark, grain):
     assert _same(growth_report_from_events(recent, users, grain, values=values), growth_report_from_events(recent, users, grain))
 
 
+def test_coded_cohorts_and_event_activity_equal_the_plain_ones(spark):
+    fct = fact_events(_odd(spark).cache())
+    values, detail = few_values(fct, COLUMNS), event_detail_activity(fct)
+    assert len(values) == len(COLUMNS)
+    assert _same(cohort_retention(fct, ("week", "month"), values=values), cohort_retention(fct, ("week", "month")))
+    some = {c: v for c, v in values.items() if c != "country"}
+    assert _same(cohort_retention(fct, "week", "cohort", values=some), cohort_retention(fct, "week", "cohort"))
+    plain = event_activity_report(detail)
+    assert plain.schema == event_activity_report(detail, values=values).schema
+    for known in (values, some):
+        assert _same(event_activity_report(detail, values=known), plain)
+
+
 def test_a_value_that_is_not_known_is_an_error(spark):
     fct = fact_events(_odd(spark))
     values = few_values(fct, COLUMNS) | {"platform": ["a", "b"]}
@@ -74,6 +89,6 @@ def test_the_refresh_aggregates_few_values_by_hash(spark, tmp_path):
     raw = raw_events(spark, SF_SMALL, "events")
     plans.refresh(spark, raw, str(tmp_path), models=["stg_event_stream", "fct_events", "dim_user"])
     ctx = plans.Context(spark, raw, str(tmp_path))
-    for name in ("int_user_features_weekly", "fct_growth_user_features_weekly", "rpt_growth_reporting"):
+    for name in ("int_user_features_weekly", "fct_growth_user_features_weekly", "rpt_growth_reporting", "fct_cohort_retention_weekly"):
         plan = _plan(plans.MODELS_BY_NAME[name].build(ctx))
         assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan, name
