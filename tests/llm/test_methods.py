@@ -337,6 +337,65 @@ def test_windows_that_can_hold_no_item_are_not_projected(monkeypatch):
     assert sum(projected) < 100
 
 
+class _Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def _search(space, items, rows):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([b"k"] * len(rows)), pa.array([c.tobytes() for c in rows], pa.binary())], names=["id", "k", "words"])
+    return [tuple(r.values()) for b in latent_search._searched(_Shared(space), _Shared(latent_search.ItemBlock(items)))(iter([batch])) for r in b.to_pylist()]
+
+
+def test_every_window_is_projected_and_compared_with_every_query(monkeypatch):
+    """Whether or not the words around could hold an item. (That only candidates are projected a second time,
+    for their own cosine, is what test_windows_that_can_hold_no_item_are_not_projected holds.)"""
+    rng = random.Random(19)
+    items = [(_coded(" ".join(f"item{i}x{j}" for j in range(n))), n - 5) for i, n in enumerate((14, 19, 30, 43, 90))]
+    rows = [_coded(" ".join(rng.choices([f"other{j}" for j in range(500)], k=n))) for n in (1, 3, 25, 400, 1201)] + [items[2][0]]
+    space = np.random.default_rng(1).standard_normal((latent_search.FEATURES, latent_search.RANK), np.float32)
+    compared = []
+    near = latent_search.Queries.near
+
+    def spy(queries, unit, first, end):
+        found = near(queries, unit, first, end)
+        windows = {k: len(u) for k, u in unit.items()}
+        assert len(set(windows.values())) == 1 and found.shape == (windows[6], end - first)
+        compared.append(found.size)
+        return found
+
+    monkeypatch.setattr(latent_search.Queries, "near", spy)
+    whole = _search(space, items, rows)
+    assert [(r[0], r[2]) for r in whole] == [(5, 2)]
+    windows, queries = sum(-(-len(r) // latent_search.GRID) for r in rows), sum(len(latent_search.item_windows(w)[1]) for w, _ in items)
+    assert sum(compared) == windows * queries
+    compared.clear()
+    monkeypatch.setattr(latent_search, "COMPARED", windows * 3)
+    assert _search(space, items, rows) == whole
+    assert sum(compared) == windows * queries and len(compared) == -(-queries // 3)
+
+
+def test_windows_near_queries_against_one_by_one(monkeypatch):
+    rng = random.Random(20)
+    vocabulary = [f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(2000)]
+    items = [_coded(" ".join(rng.choices(vocabulary, k=n))) for n in (2, 6, 10, 14, 19, 24, 27, 44, 70)]
+    rows = [_coded(" ".join(rng.choices(vocabulary, k=n))) for n in (1, 4, 5, 23, 24, 25, 150)]
+    space = np.random.default_rng(2).standard_normal((latent_search.FEATURES, 6), np.float32)
+    queries, texts = latent_search.Queries(items, space), latent_search.Texts(rows, np.unique(np.concatenate(items)))
+    unit = texts.projected(space, set(queries.blocks.tolist()))
+    monkeypatch.setattr(latent_search, "TILE", (7, 3))
+    found = queries.near(unit, 0, len(queries.item))
+    for b, (t, at) in enumerate(zip(texts.whose, texts.place)):
+        for q, i in enumerate(queries.item):
+            window = rows[t][at : at + queries.blocks[i] * latent_search.GRID]
+            v = space[window & np.uint32(latent_search.FEATURES - 1)].sum(axis=0)
+            cosine = float(v @ queries.vectors[q]) / float(np.sqrt(v @ v))
+            bound = float(latent_search.bound_of(queries.blocks[i]))
+            assert found[b, q] or cosine < bound
+            assert not found[b, q] or cosine > bound - 2 * latent_search.ROUNDED
+    assert 0 < found.sum() < found.size
+
+
 def test_a_paraphrase_with_its_answer_is_found(spark):
     """The rows of test_paraphrase_needs_its_answer, by what must be found."""
     rng = random.Random(4)
