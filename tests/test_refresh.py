@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 
+import pytest
+
+from growthloom.plans import refresh as plans
 from growthloom.plans.catalog import queries
 from growthloom.plans.refresh import MODELS, refresh
 from growthloom.sources.adapters import raw_events
@@ -118,3 +122,70 @@ def test_command_line_backfill(spark, capsys):
     fct = read_target(spark, f"{base}/wh/core/fct_events")
     assert fct.filter(F.col("event_date") == dt.date(2024, 1, 25)).count() > 0
     assert fct.count() == raw.count() > before
+
+
+def _models(**needs) -> list:
+    return [plans.Model(name, "core", "table", None, needs=tuple(n)) for name, n in needs.items()]
+
+
+def test_models_that_do_not_need_each_other_are_built_at_the_same_time(spark):
+    both, order = threading.Barrier(2, timeout=30), []
+
+    def build(model) -> None:
+        if model.name in ("b", "c"):
+            both.wait()
+        order.append(model.name)
+
+    plans._build_all(spark, _models(d="bc", a="", b="a", c="a", e=("not selected",)), build, 2)
+    assert sorted(order) == list("abcde") and order.index("a") < min(order.index("b"), order.index("c")) and order.index("d") > max(order.index("b"), order.index("c"))
+
+
+def test_after_an_error_no_model_is_begun(spark):
+    begun, failed = [], threading.Event()
+
+    def build(model) -> None:
+        begun.append(model.name)
+        if model.name == "a":
+            failed.set()
+            raise ValueError("a")
+        failed.wait(30)
+
+    with pytest.raises(ValueError, match="a"):
+        plans._build_all(spark, _models(a="", b="", c="a"), build, 2)
+    assert sorted(begun) == ["a", "b"]
+
+
+def test_every_model_names_the_models_it_reads(spark):
+    """A model reads itself, through views too, only from those it needs; these stand before it."""
+    ctx = plans._LazyContext(spark, raw_events(spark, SF_SMALL, "events"), "")
+    names = [m.name for m in MODELS]
+    views = {m.name: m.needs for m in MODELS if m.materialized == "view"}
+
+    class Recorded(plans._LazyContext):
+        def ref(self, name):
+            read.add(name)
+            return ctx.ref(name)
+
+        def values(self, name="fct_events"):
+            read.add(name)
+            return None
+
+    for m in MODELS:
+        assert all(names.index(n) < names.index(m.name) for n in m.needs)
+        if m.build is not None:
+            read: set[str] = set()
+            m.build(Recorded(spark, ctx.raw, ""))
+            assert {t for n in read for t in (n, *views.get(n, ()))} <= set(m.needs) | {"stg_event_stream"}, m.name
+
+
+def test_tables_built_at_once_equal_those_built_one_by_one(spark):
+    raw = raw_events(spark, SF_SMALL, "events")
+    one, many = tempfile.mkdtemp(prefix="wh-"), tempfile.mkdtemp(prefix="wh-")
+    checks: tuple[list, list] = ([], [])
+    for wh, at_once, found in ((one, 1, checks[0]), (many, 6, checks[1])):
+        assert refresh(spark, raw, wh, check_results=found, at_once=at_once) == [m.name for m in MODELS]
+        refresh(spark, raw, wh, tag="refresh_daily", at_once=at_once)
+    assert checks[0] == checks[1] and checks[0]
+    for m in MODELS:
+        if m.materialized != "view":
+            assert _same(*[read_target(spark, f"{wh}/{m.layer}/{m.name}") for wh in (one, many)]), m.name
